@@ -102,8 +102,8 @@ def apply_rule(kpi_df: DataFrame, rule: Rule, as_of_ts=None) -> DataFrame:
         .select(*rule.evidence,
                 F.lit(rule.alert_type).alias("alert_type"),
                 rule.severity.alias("severity"),
-                rule.message.alias("alert_message"))
-        .withColumn("generated_at", as_timestamp(as_of_ts))
+                rule.message.alias("alert_message"),
+                as_timestamp(as_of_ts).alias("generated_at"))
     )
 
 
@@ -145,14 +145,14 @@ def generate_speed_alerts(telemetry_df: DataFrame, speed_limit_kmh: float | None
     return (
         telemetry_df
         .filter(F.col("speed_kmh") > limit)
-        .select("event_id", "vehicle_id", "driver_id", "event_timestamp", "speed_kmh", "latitude", "longitude")
-        .withColumn("alert_type", F.lit("SPEED_VIOLATION"))
-        .withColumn("severity", F.lit("HIGH"))
-        .withColumn("alert_message", F.concat(
-            F.lit("Speed violation: vehicle "), F.col("vehicle_id"),
-            F.lit(" recorded "), _s("speed_kmh"),
-            F.lit(" km/h at "), _s("event_timestamp")))
-        .withColumn("generated_at", as_timestamp(as_of_ts))
+        .select(
+            "event_id", "vehicle_id", "driver_id", "event_timestamp", "speed_kmh", "latitude", "longitude",
+            F.lit("SPEED_VIOLATION").alias("alert_type"),
+            F.lit("HIGH").alias("severity"),
+            F.concat(F.lit("Speed violation: vehicle "), F.col("vehicle_id"), F.lit(" recorded "), _s("speed_kmh"),
+                     F.lit(" km/h at "), _s("event_timestamp")).alias("alert_message"),
+            as_timestamp(as_of_ts).alias("generated_at"),
+        )
     )
 
 
@@ -169,8 +169,8 @@ def kpi_alerts_one_pass(kpi_df: DataFrame, as_of_ts=None, thresholds: Thresholds
     return (
         kpi_df
         .select("vehicle_id", F.explode(matches).alias("_a"))
-        .select("vehicle_id", "_a.alert_type", "_a.severity", "_a.alert_message")
-        .withColumn("generated_at", as_timestamp(as_of_ts))
+        .select("vehicle_id", "_a.alert_type", "_a.severity", "_a.alert_message",
+                as_timestamp(as_of_ts).alias("generated_at"))
     )
 
 
@@ -184,13 +184,13 @@ def build_alert_summary(kpi_df: DataFrame, telemetry_df: DataFrame, as_of_ts=Non
                         thresholds: Thresholds = DEFAULT_THRESHOLDS, sort: bool = True) -> DataFrame:
     """Every KPI and speed alert with alert_id and alert_date, ordered
     by severity (CRITICAL, HIGH, MEDIUM, rest), then type and vehicle."""
-    kpi = kpi_alerts_one_pass(kpi_df, as_of_ts, thresholds).withColumn("event_id", F.lit(None).cast("string"))
+    kpi = kpi_alerts_one_pass(kpi_df, as_of_ts, thresholds).select(
+        *ALERT_COLUMNS, F.lit(None).cast("string").alias("event_id"))
     speed = generate_speed_alerts(telemetry_df, None, as_of_ts, thresholds).select(*ALERT_COLUMNS, "event_id")
-    alerts = (
-        kpi.unionByName(speed)
-        .withColumn("alert_id", alert_id("vehicle_id", "alert_type", "alert_message", "generated_at", "event_id"))
-        .withColumn("alert_date", F.to_date("generated_at"))
-        .select(*SUMMARY_COLUMNS)
+    alerts = kpi.unionByName(speed).select(
+        *ALERT_COLUMNS,
+        alert_id("vehicle_id", "alert_type", "alert_message", "generated_at", "event_id").alias("alert_id"),
+        F.to_date("generated_at").alias("alert_date"),
     )
     if sort:
         alerts = alerts.orderBy(severity_level("severity"), "alert_type", "vehicle_id", "alert_id")

@@ -44,12 +44,11 @@ def daily_telemetry_parts(telemetry_df: DataFrame) -> DataFrame:
 
 
 def daily_from_parts(parts: DataFrame) -> DataFrame:
-    return (
-        parts
-        .withColumn("avg_speed_kmh", safe_ratio("speed_sum", "speed_count"))
-        .withColumn("daily_harsh_events", F.col("daily_harsh_braking") + F.col("daily_harsh_accel"))
-        .select(*DAILY_COLUMNS)
-    )
+    derived = {
+        "avg_speed_kmh": safe_ratio("speed_sum", "speed_count"),
+        "daily_harsh_events": F.col("daily_harsh_braking") + F.col("daily_harsh_accel"),
+    }
+    return parts.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in DAILY_COLUMNS])
 
 
 def aggregate_daily_telemetry(telemetry_df: DataFrame) -> DataFrame:
@@ -82,9 +81,11 @@ def compute_rolling_kpis(daily_telemetry_df: DataFrame, thresholds: Thresholds =
     w = Window.partitionBy("vehicle_id").orderBy(F.unix_date("event_date")).rangeBetween(-(days - 1), 0)
     return (
         daily_telemetry_df
-        .withColumn("rolling_7d_distance_km", F.sum("daily_distance_km").over(w))
-        .withColumn("rolling_7d_harsh_events", F.sum("daily_harsh_events").over(w))
-        .withColumn("rolling_7d_idling_minutes", F.sum("daily_idling_minutes").over(w))
+        .withColumns({
+            "rolling_7d_distance_km": F.sum("daily_distance_km").over(w),
+            "rolling_7d_harsh_events": F.sum("daily_harsh_events").over(w),
+            "rolling_7d_idling_minutes": F.sum("daily_idling_minutes").over(w),
+        })
         .withColumn("rolling_7d_harsh_per_100km", per_100km("rolling_7d_harsh_events", "rolling_7d_distance_km"))
         .withColumn("behaviour_trend_flag",
                     flag(F.col("rolling_7d_harsh_per_100km") > thresholds.harsh_events_per_100km_max))

@@ -40,15 +40,15 @@ def daily_log_vehicle_kpis(telematics_df: DataFrame, fuel_df: DataFrame, mainten
     )
     return (
         tele.join(fuel, "vehicle_id", "left").join(maint, "vehicle_id", "left")
-        .withColumn("utilisation_pct",
-                    F.round(safe_ratio("active_days", F.lit(th.observation_days)) * F.lit(100), 1))
-        .withColumn("km_per_litre", F.round(safe_ratio("total_km", "total_litres"), 2))
-        .withColumn("fuel_cost_per_km", F.round(safe_ratio("total_fuel_cost", "total_km"), 3))
-        .withColumn("harsh_events_per_100km", F.round(safe_ratio("harsh_events", "total_km") * F.lit(100), 2))
-        .withColumn("idle_ratio", F.round(
-            safe_ratio("total_idle_min", F.col("active_days") * F.lit(th.daily_log_shift_minutes)), 3))
-        .withColumn("maint_compliance_pct",
-                    F.round(safe_ratio("completed_jobs", "scheduled_jobs") * F.lit(100), 1))
+        .withColumns({
+            "utilisation_pct": F.round(safe_ratio("active_days", F.lit(th.observation_days)) * F.lit(100), 1),
+            "km_per_litre": F.round(safe_ratio("total_km", "total_litres"), 2),
+            "fuel_cost_per_km": F.round(safe_ratio("total_fuel_cost", "total_km"), 3),
+            "harsh_events_per_100km": F.round(safe_ratio("harsh_events", "total_km") * F.lit(100), 2),
+            "idle_ratio": F.round(
+                safe_ratio("total_idle_min", F.col("active_days") * F.lit(th.daily_log_shift_minutes)), 3),
+            "maint_compliance_pct": F.round(safe_ratio("completed_jobs", "scheduled_jobs") * F.lit(100), 1),
+        })
         .select(*DAILY_LOG_KPI_COLUMNS)
     )
 

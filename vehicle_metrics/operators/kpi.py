@@ -24,30 +24,47 @@ MASTER_COLUMNS = [
 
 # -- KPI column blocks (shared by the single-KPI operators and the master) ---
 
+# Each block returns (metrics, flags): flags read the *rounded* metrics, so
+# they are added in a second projection.
+
+def _fuel_metrics() -> dict:
+    return {
+        "fuel_efficiency_km_l": F.round(safe_ratio("total_distance_km", "total_litres"), 2),
+        "fuel_cost_per_km": F.round(safe_ratio("total_fuel_cost_zar", "total_distance_km"), 4),
+    }
+
+
+def _fuel_flags(th: Thresholds) -> dict:
+    return {"fuel_efficiency_flag": flag(F.col("fuel_efficiency_km_l") < th.fuel_efficiency_min_km_l)}
+
+
+def _behaviour_metrics() -> dict:
+    events = F.col("total_harsh_braking") + F.col("total_harsh_accel")
+    return {"total_harsh_events": events, "harsh_events_per_100km": per_100km(events, "total_distance_km")}
+
+
+def _behaviour_flags(th: Thresholds) -> dict:
+    return {"harsh_driving_flag": flag(F.col("harsh_events_per_100km") > th.harsh_events_per_100km_max)}
+
+
+def _utilisation_metrics(observation_days: int) -> dict:
+    return {"utilisation_rate": F.round(safe_ratio("active_days", F.lit(observation_days)), 4)}
+
+
+def _utilisation_flags(th: Thresholds) -> dict:
+    return {"utilisation_flag": flag(F.col("utilisation_rate") < th.utilisation_min_rate)}
+
+
 def _fuel_columns(df: DataFrame, th: Thresholds) -> DataFrame:
-    return (
-        df
-        .withColumn("fuel_efficiency_km_l", F.round(safe_ratio("total_distance_km", "total_litres"), 2))
-        .withColumn("fuel_cost_per_km", F.round(safe_ratio("total_fuel_cost_zar", "total_distance_km"), 4))
-        .withColumn("fuel_efficiency_flag", flag(F.col("fuel_efficiency_km_l") < th.fuel_efficiency_min_km_l))
-    )
+    return df.withColumns(_fuel_metrics()).withColumns(_fuel_flags(th))
 
 
 def _behaviour_columns(df: DataFrame, th: Thresholds) -> DataFrame:
-    return (
-        df
-        .withColumn("total_harsh_events", F.col("total_harsh_braking") + F.col("total_harsh_accel"))
-        .withColumn("harsh_events_per_100km", per_100km("total_harsh_events", "total_distance_km"))
-        .withColumn("harsh_driving_flag", flag(F.col("harsh_events_per_100km") > th.harsh_events_per_100km_max))
-    )
+    return df.withColumns(_behaviour_metrics()).withColumns(_behaviour_flags(th))
 
 
 def _utilisation_columns(df: DataFrame, th: Thresholds, observation_days: int) -> DataFrame:
-    return (
-        df
-        .withColumn("utilisation_rate", F.round(safe_ratio("active_days", F.lit(observation_days)), 4))
-        .withColumn("utilisation_flag", flag(F.col("utilisation_rate") < th.utilisation_min_rate))
-    )
+    return df.withColumns(_utilisation_metrics(observation_days)).withColumns(_utilisation_flags(th))
 
 
 def _fuel_totals(fuel_df: DataFrame) -> DataFrame:
@@ -91,9 +108,10 @@ def compute_maintenance_compliance(maintenance_df: DataFrame,
             F.min("days_until_service").alias("min_days_until_service"),
         )
         .withColumn("compliance_rate", F.round(safe_ratio("compliant_services", "total_services"), 4))
-        .withColumn("maintenance_flag", flag(F.col("compliance_rate") < thresholds.maintenance_compliance_min))
-        .withColumn("service_due_soon_flag",
-                    flag(F.col("min_days_until_service").between(0, thresholds.service_due_soon_days)))
+        .withColumns({
+            "maintenance_flag": flag(F.col("compliance_rate") < thresholds.maintenance_compliance_min),
+            "service_due_soon_flag": flag(F.col("min_days_until_service").between(0, thresholds.service_due_soon_days)),
+        })
     )
 
 
@@ -138,20 +156,18 @@ def build_master_kpi(telemetry_df: DataFrame, fuel_df: DataFrame, maintenance_df
     days = th.observation_days if observation_days is None else observation_days
     parts = daily_parts if daily_parts is not None else daily_telemetry_parts(telemetry_df)
     tele = vehicle_totals_from_daily(parts)
-    master = tele.join(_fuel_totals(fuel_df), on="vehicle_id", how="inner")
-    master = _utilisation_columns(_behaviour_columns(_fuel_columns(master, th), th), th, days)
-    master = master.join(compute_maintenance_compliance(maintenance_df, th), on="vehicle_id", how="left")
+    master = (
+        tele.join(_fuel_totals(fuel_df), on="vehicle_id", how="inner")
+        .withColumns({**_fuel_metrics(), **_behaviour_metrics(), **_utilisation_metrics(days)})
+        .withColumns({**_fuel_flags(th), **_behaviour_flags(th), **_utilisation_flags(th)})
+        .join(compute_maintenance_compliance(maintenance_df, th), on="vehicle_id", how="left")
+    )
     score = (F.col("fuel_efficiency_flag") + F.col("harsh_driving_flag")
              + F.col("maintenance_flag") + F.col("utilisation_flag"))
-    return (
-        master
-        .withColumn("risk_score", score)
-        .withColumn(
-            "risk_tier",
-            F.when(F.col("risk_score") >= th.risk_tier_high, F.lit("HIGH"))
-            .when(F.col("risk_score") == th.risk_tier_medium, F.lit("MEDIUM"))
-            .when(F.col("risk_score") == th.risk_tier_low, F.lit("LOW"))
-            .otherwise(F.lit("NORMAL")),
-        )
-        .select(*MASTER_COLUMNS)
-    )
+    tier = (F.when(score >= th.risk_tier_high, F.lit("HIGH"))
+            .when(score == th.risk_tier_medium, F.lit("MEDIUM"))
+            .when(score == th.risk_tier_low, F.lit("LOW"))
+            .otherwise(F.lit("NORMAL")))
+    cols = {c: F.col(c) for c in MASTER_COLUMNS}
+    cols.update(risk_score=score, risk_tier=tier)
+    return master.select(*[e.alias(c) for c, e in cols.items()])

@@ -36,9 +36,8 @@ def build_fleet_trend_report(daily_telemetry_df: DataFrame, sort: bool = True) -
     the January they belong to."""
     out = (
         daily_telemetry_df
-        .withColumn("iso_week", F.weekofyear("event_date"))
-        .withColumn("year", F.expr("extract(YEAROFWEEK FROM event_date)"))
-        .groupBy("year", "iso_week")
+        .groupBy(F.expr("extract(YEAROFWEEK FROM event_date)").alias("year"),
+                 F.weekofyear("event_date").alias("iso_week"))
         .agg(
             F.sum("daily_distance_km").alias("weekly_distance_km"),
             F.sum("daily_harsh_events").alias("weekly_harsh_events"),
@@ -74,16 +73,11 @@ def build_maintenance_report(maintenance_df: DataFrame, thresholds: Thresholds =
         maintenance_df, "vehicle_id", ["service_date", "record_id"],
         [*MAINTENANCE_REPORT_COLUMNS, "cost_zar"],
     )
-    out = (
-        latest
-        .select(*MAINTENANCE_REPORT_COLUMNS, F.col("cost_zar").alias("last_service_cost_zar"))
-        .withColumn(
-            "compliance_status",
-            F.when(F.col("is_overdue") == 1, F.lit("OVERDUE"))
-            .when(F.col("days_until_service") <= thresholds.service_due_soon_days, F.lit("DUE_SOON"))
-            .otherwise(F.lit("ON_TRACK")),
-        )
-    )
+    status = (F.when(F.col("is_overdue") == 1, F.lit("OVERDUE"))
+              .when(F.col("days_until_service") <= thresholds.service_due_soon_days, F.lit("DUE_SOON"))
+              .otherwise(F.lit("ON_TRACK")))
+    out = latest.select(*MAINTENANCE_REPORT_COLUMNS, F.col("cost_zar").alias("last_service_cost_zar"),
+                        status.alias("compliance_status"))
     return out.orderBy("is_overdue", "days_until_service", "vehicle_id") if sort else out
 
 

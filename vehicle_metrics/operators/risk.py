@@ -22,17 +22,11 @@ def score_vehicle_risk(master_kpi_df: DataFrame, weights: RiskWeights = DEFAULT_
              + F.col("maintenance_flag") * w.maintenance
              + F.col("fuel_efficiency_flag") * w.fuel_efficiency
              + F.col("utilisation_flag") * w.utilisation)
-    scored = (
-        master_kpi_df
-        .withColumn("weighted_risk_score", score)
-        .withColumn(
-            "risk_category",
-            F.when(F.col("weighted_risk_score") >= w.critical_min, F.lit("CRITICAL"))
-            .when(F.col("weighted_risk_score").between(w.high_min, w.critical_min - 1), F.lit("HIGH"))
-            .when(F.col("weighted_risk_score").between(w.medium_min, w.high_min - 1), F.lit("MEDIUM"))
-            .otherwise(F.lit("LOW")),
-        )
-    )
+    category = (F.when(score >= w.critical_min, F.lit("CRITICAL"))
+                .when(score.between(w.high_min, w.critical_min - 1), F.lit("HIGH"))
+                .when(score.between(w.medium_min, w.high_min - 1), F.lit("MEDIUM"))
+                .otherwise(F.lit("LOW")))
+    scored = master_kpi_df.withColumns({"weighted_risk_score": score, "risk_category": category})
     max_score = w.harsh_driving + w.maintenance + w.fuel_efficiency + w.utilisation
     return global_rank(scored, "weighted_risk_score", "priority_rank", ascending=False,
                        bounded_domain=max_score + 1)
@@ -56,16 +50,15 @@ def build_fleet_summary(scored_kpi_df: DataFrame, as_of_ts=None,
             F.sum("utilisation_flag").cast("long").alias("vehicles_underutilised"),
             F.sum(flag(F.col("risk_category") == "CRITICAL")).cast("long").alias("vehicles_critical_risk"),
         )
-        .withColumn(
-            "fleet_health_score",
-            F.round(
+        .withColumns({
+            "fleet_health_score": F.round(
                 (F.col("fleet_avg_fuel_efficiency") / F.lit(thresholds.fuel_efficiency_min_km_l)
                  + F.col("fleet_avg_compliance_rate")
                  + F.col("fleet_avg_utilisation_rate")) / F.lit(3) * F.lit(100),
                 1,
             ),
-        )
-        .withColumn("snapshot_timestamp", as_timestamp(as_of_ts))
+            "snapshot_timestamp": as_timestamp(as_of_ts),
+        })
     )
 
 

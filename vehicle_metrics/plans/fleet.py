@@ -23,26 +23,36 @@ from vehicle_metrics.sources.ingest import clean_fuel, clean_maintenance, clean_
 from vehicle_metrics.sources.sinks import write_outputs
 
 
+def _resolve(x):
+    """Inputs may be DataFrames or zero-argument callables returning one, so
+    a plan only opens the sources its outputs need."""
+    return x() if callable(x) else x
+
+
 @dataclass
 class FleetPlan:
-    raw_telemetry: DataFrame
-    raw_fuel: DataFrame
-    raw_maintenance: DataFrame
+    raw_telemetry: object
+    raw_fuel: object
+    raw_maintenance: object
     as_of_date: object = None
     as_of_ts: object = None
     thresholds: Thresholds = DEFAULT_THRESHOLDS
     weights: RiskWeights = DEFAULT_WEIGHTS
-    customer: DataFrame | None = None
-    nation: DataFrame | None = None
+    customer: object = None
+    nation: object = None
     overrides: dict = field(default_factory=dict)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> FleetPlan:
-        tele, fuel, maint = adapters.raw_sources(spark, sf_dir)
-        return cls(tele, fuel, maint, as_of_date=adapters.AS_OF_DATE, as_of_ts=adapters.AS_OF_TS,
-                   thresholds=adapters.BENCH_THRESHOLDS,
-                   customer=adapters.table(spark, sf_dir, "customer"),
-                   nation=adapters.table(spark, sf_dir, "nation"))
+        def t(name):
+            return lambda: adapters.table(spark, sf_dir, name)
+
+        return cls(
+            lambda: adapters.telemetry_from_events(t("events")()),
+            lambda: adapters.fuel_from_lineitem(t("lineitem")()),
+            lambda: adapters.maintenance_from_orders(t("orders")(), t("customer")()),
+            as_of_date=adapters.AS_OF_DATE, as_of_ts=adapters.AS_OF_TS,
+            thresholds=adapters.BENCH_THRESHOLDS, customer=t("customer"), nation=t("nation"))
 
     def _get(self, name: str, build):
         return self.overrides[name] if name in self.overrides else build()
@@ -50,15 +60,15 @@ class FleetPlan:
     # sources
     @cached_property
     def telemetry(self) -> DataFrame:
-        return self._get("telemetry", lambda: clean_telemetry(self.raw_telemetry, self.thresholds))
+        return self._get("telemetry", lambda: clean_telemetry(_resolve(self.raw_telemetry), self.thresholds))
 
     @cached_property
     def fuel(self) -> DataFrame:
-        return self._get("fuel", lambda: clean_fuel(self.raw_fuel))
+        return self._get("fuel", lambda: clean_fuel(_resolve(self.raw_fuel)))
 
     @cached_property
     def maintenance(self) -> DataFrame:
-        return self._get("maintenance", lambda: clean_maintenance(self.raw_maintenance, self.as_of_date))
+        return self._get("maintenance", lambda: clean_maintenance(_resolve(self.raw_maintenance), self.as_of_date))
 
     @cached_property
     def coverage_issues(self) -> DataFrame:
@@ -125,7 +135,7 @@ class FleetPlan:
     @cached_property
     def daily_log_inputs(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return adapters.daily_log_views(self.daily_telemetry, self.daily_fuel, self.maintenance,
-                                        self.customer, self.nation)
+                                        _resolve(self.customer), _resolve(self.nation))
 
     @cached_property
     def daily_log_kpis(self) -> DataFrame:

@@ -53,8 +53,7 @@ def clean_telemetry(df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS)
     return (
         dedupe_by_key(df, "event_id", ["event_timestamp"])
         .filter(F.col("speed_kmh").between(thresholds.speed_valid_min_kmh, thresholds.speed_valid_max_kmh))
-        .withColumn("event_date", F.to_date("event_timestamp"))
-        .withColumn("event_hour", F.hour("event_timestamp"))
+        .withColumns({"event_date": F.to_date("event_timestamp"), "event_hour": F.hour("event_timestamp")})
     )
 
 
@@ -71,8 +70,8 @@ def clean_fuel(df: DataFrame) -> DataFrame:
     return (
         dedupe_by_key(df, "fuel_id", ["fill_timestamp"])
         .filter(F.col("litres_filled") > 0)
-        .withColumn("fill_date", F.to_date("fill_timestamp"))
-        .withColumn("cost_per_litre", safe_ratio("cost_zar", "litres_filled"))
+        .withColumns({"fill_date": F.to_date("fill_timestamp"),
+                      "cost_per_litre": safe_ratio("cost_zar", "litres_filled")})
     )
 
 
@@ -88,8 +87,10 @@ def clean_maintenance(df: DataFrame, as_of_date=None) -> DataFrame:
     as_of = as_date(as_of_date)
     return (
         dedupe_by_key(df, "record_id", ["service_date"])
-        .withColumn("is_overdue", F.when(F.col("next_service_date") < as_of, F.lit(1)).otherwise(F.lit(0)))
-        .withColumn("days_until_service", F.datediff(F.col("next_service_date"), as_of))
+        .withColumns({
+            "is_overdue": F.when(F.col("next_service_date") < as_of, F.lit(1)).otherwise(F.lit(0)),
+            "days_until_service": F.datediff(F.col("next_service_date"), as_of),
+        })
     )
 
 
