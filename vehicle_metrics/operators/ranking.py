@@ -17,11 +17,12 @@ whole input into a single partition. Here a row's rank is computed as
 Equal values always land in the same bucket, so ties are exact; NULLs form
 their own bucket placed first or last like Spark's default null ordering.
 
-Cut points are only computed when the optimizer's size estimate of the
-(value, count) table exceeds ``single_bucket_bytes``; a smaller table is
-ranked in one bucket without any extra job. Before the cut-point job the
-input is checkpointed to the cluster's checkpoint folder, so the plan that
-produced it runs once, not twice.
+The input feeds three branches (value counts, bucket offsets, the rows
+themselves), so it is first checkpointed to the cluster's checkpoint folder:
+the plan that produced it runs once, and a lost executor re-reads the
+checkpoint instead of recomputing it. Cut points are only computed when the
+optimizer's size estimate of the (value, count) table exceeds
+``single_bucket_bytes``; a smaller table is ranked in one bucket.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool =
                 nulls_first: bool | None = None, bounded_domain: int | None = None,
                 values_per_bucket: int = 1_000_000, max_buckets: int = 4096,
                 broadcast_values_limit: int = 2_000_000,
-                single_bucket_bytes: int = 32 * 1024 * 1024) -> DataFrame:
+                single_bucket_bytes: int = 32 * 1024 * 1024, materialize: bool = True) -> DataFrame:
     """Add ``rank_col`` = RANK() OVER (ORDER BY order_col [ASC|DESC]).
 
     ``nulls_first`` defaults to Spark's ordering (first for ASC, last for
@@ -75,15 +76,17 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool =
         nulls_first = ascending
     x = F.col(order_col)
     values = df.groupBy(x.alias(_V)).agg(F.count(F.lit(1)).alias(_N))
+    small = estimated_bytes(values) <= single_bucket_bytes and values_per_bucket >= 1_000_000
+    if materialize:
+        df = _checkpointed(df)
+        values = df.groupBy(x.alias(_V)).agg(F.count(F.lit(1)).alias(_N))
 
     if bounded_domain is not None:
         n_values, cuts = bounded_domain + 1, []
-    elif estimated_bytes(values) <= single_bucket_bytes and values_per_bucket >= 1_000_000:
+    elif small:
         # small by estimate: one bucket, no job; the join side is sized by AQE at run time
         n_values, cuts = broadcast_values_limit + 1, []
     else:
-        df = _checkpointed(df)
-        values = df.groupBy(x.alias(_V)).agg(F.count(F.lit(1)).alias(_N))
         n_buckets_max = max_buckets
         probs = [i / n_buckets_max for i in range(1, n_buckets_max)]
         row = values.agg(
