@@ -45,57 +45,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# The mappings are SQL expressions: each projection is parsed once on the
+# JVM side instead of being assembled column by column from Python.
+TELEMETRY_EXPRS = [
+    "CAST(event_id AS STRING) AS event_id",
+    "CAST(user_id AS STRING) AS vehicle_id",
+    "CASE WHEN event_id % 50 = 0 THEN CAST(NULL AS STRING)"
+    " ELSE CAST(user_id + CASE WHEN event_id % 10 = 1 THEN 1 ELSE 0 END AS STRING) END AS driver_id",
+    "ts AS event_timestamp",
+    "CAST(-26.5 AS DOUBLE) + (event_id % 1000) / CAST(1000 AS DOUBLE) AS latitude",
+    "CAST(27.5 AS DOUBLE) + (event_id % 1000) / CAST(1000 AS DOUBLE) AS longitude",
+    "value AS speed_kmh",
+    "CAST(NULL AS DOUBLE) AS odometer_km",
+    "CAST(NULL AS INT) AS engine_rpm",
+    "CASE WHEN event_type = 'error' THEN 3 ELSE 0 END AS harsh_braking",
+    "CASE WHEN event_type = 'purchase' THEN 2 ELSE 0 END AS harsh_accel",
+    "CASE WHEN event_type = 'view' THEN CAST(event_id % 20 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS idling_minutes",
+    "CAST(1.5 AS DOUBLE) * CAST(get_json_object(props, '$.k') AS DOUBLE) AS distance_km",
+]
+
+FUEL_EXPRS = [
+    "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS fuel_id",
+    "CAST(l_suppkey AS STRING) AS vehicle_id",
+    "l_shipdate AS fill_timestamp",
+    "l_quantity * l_discount AS litres_filled",
+    "l_extendedprice / CAST(1000 AS DOUBLE) AS cost_zar",
+    "CAST(NULL AS DOUBLE) AS odometer_km",
+    "CAST(NULL AS STRING) AS fuel_station_id",
+]
+
+MAINTENANCE_EXPRS = [
+    "CAST(o_orderkey AS STRING) AS record_id",
+    "CAST(o_custkey AS STRING) AS vehicle_id",
+    "to_date(o_orderdate) AS service_date",
+    "o_orderpriority AS service_type",
+    "o_totalprice AS next_service_km",
+    f"date_add(DATE'{AS_OF_DATE}', CAST(o_orderkey % 106 - 15 AS INT)) AS next_service_date",
+    "o_totalprice / CAST(100 AS DOUBLE) AS cost_zar",
+    "CAST(o_orderkey % 5 AS STRING) AS workshop_id",
+    "CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 1 END AS compliant",
+]
+
+
 def telemetry_from_events(events: DataFrame) -> DataFrame:
-    eid = F.col("event_id")
-    etype = F.col("event_type")
-    offset = (eid % 1000) / F.lit(1000.0)
-    driver = F.when(eid % 50 == 0, F.lit(None).cast("string")).otherwise(
-        (F.col("user_id") + F.when(eid % 10 == 1, F.lit(1)).otherwise(F.lit(0))).cast("string"))
-    return events.select(
-        eid.cast("string").alias("event_id"),
-        F.col("user_id").cast("string").alias("vehicle_id"),
-        driver.alias("driver_id"),
-        F.col("ts").alias("event_timestamp"),
-        (F.lit(-26.5) + offset).alias("latitude"),
-        (F.lit(27.5) + offset).alias("longitude"),
-        F.col("value").alias("speed_kmh"),
-        F.lit(None).cast("double").alias("odometer_km"),
-        F.lit(None).cast("int").alias("engine_rpm"),
-        F.when(etype == "error", F.lit(3)).otherwise(F.lit(0)).alias("harsh_braking"),
-        F.when(etype == "purchase", F.lit(2)).otherwise(F.lit(0)).alias("harsh_accel"),
-        F.when(etype == "view", (eid % 20).cast("double")).otherwise(F.lit(0.0)).alias("idling_minutes"),
-        (F.lit(1.5) * F.get_json_object("props", "$.k").cast("double")).alias("distance_km"),
-    )
+    return events.selectExpr(*TELEMETRY_EXPRS)
 
 
 def fuel_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-        .alias("fuel_id"),
-        F.col("l_suppkey").cast("string").alias("vehicle_id"),
-        F.col("l_shipdate").alias("fill_timestamp"),
-        (F.col("l_quantity") * F.col("l_discount")).alias("litres_filled"),
-        (F.col("l_extendedprice") / F.lit(1000.0)).alias("cost_zar"),
-        F.lit(None).cast("double").alias("odometer_km"),
-        F.lit(None).cast("string").alias("fuel_station_id"),
-    )
+    return lineitem.selectExpr(*FUEL_EXPRS)
 
 
 def maintenance_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    serviced = customer.filter(F.col("c_mktsegment") != NO_SERVICE_SEGMENT).select(
-        F.col("c_custkey").alias("o_custkey"))
-    okey = F.col("o_orderkey")
-    return orders.join(serviced, "o_custkey", "left_semi").select(
-        okey.cast("string").alias("record_id"),
-        F.col("o_custkey").cast("string").alias("vehicle_id"),
-        F.to_date("o_orderdate").alias("service_date"),
-        F.col("o_orderpriority").alias("service_type"),
-        F.col("o_totalprice").alias("next_service_km"),
-        F.date_add(F.lit(AS_OF_DATE).cast("date"), (okey % 106 - 15).cast("int")).alias("next_service_date"),
-        (F.col("o_totalprice") / F.lit(100.0)).alias("cost_zar"),
-        (okey % 5).cast("string").alias("workshop_id"),
-        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(0)).otherwise(F.lit(1)).alias("compliant"),
-    )
+    serviced = customer.where(f"c_mktsegment <> '{NO_SERVICE_SEGMENT}'").selectExpr("c_custkey AS o_custkey")
+    return orders.join(serviced, "o_custkey", "left_semi").selectExpr(*MAINTENANCE_EXPRS)
 
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
