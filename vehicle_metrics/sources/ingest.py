@@ -103,11 +103,16 @@ def ingest_maintenance(spark: SparkSession, path, fmt: str = "parquet", as_of_da
 def validate_join_keys(telemetry_df: DataFrame, fuel_df: DataFrame, maintenance_df: DataFrame) -> DataFrame:
     """Vehicles seen in telemetry without fuel rows / without maintenance rows.
 
-    ``subtract`` is EXCEPT DISTINCT: Catalyst turns it into a distinct
-    aggregate plus a null-safe left-anti join, both keyed on vehicle_id.
+    ``subtract`` is EXCEPT DISTINCT: Catalyst turns it into a null-safe
+    left-anti join keyed on vehicle_id. Both sides are reduced to distinct
+    ids first (partial aggregates), so a vehicle owning a large share of
+    the fuel or maintenance rows costs one row per map partition in the
+    join's shuffle, not all of its rows.
     """
     tele_ids = telemetry_df.select("vehicle_id").distinct()
-    missing_fuel = tele_ids.subtract(fuel_df.select("vehicle_id")).withColumn("issue", F.lit("no_fuel_records"))
-    missing_maint = tele_ids.subtract(maintenance_df.select("vehicle_id")).withColumn(
-        "issue", F.lit("no_maintenance_records"))
-    return missing_fuel.unionByName(missing_maint)
+    fuel_ids = fuel_df.select("vehicle_id").distinct()
+    maint_ids = maintenance_df.select("vehicle_id").distinct()
+    return (
+        tele_ids.subtract(fuel_ids).select("vehicle_id", F.lit("no_fuel_records").alias("issue"))
+        .unionByName(tele_ids.subtract(maint_ids).select("vehicle_id", F.lit("no_maintenance_records").alias("issue")))
+    )
