@@ -47,14 +47,23 @@ def _bucket_expr(x: Column, cuts: list, lo: int, hi: int) -> Column:
         _bucket_expr(x, cuts, mid, hi))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (no job runs)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (no job runs); None when the
+    estimate is not reachable (e.g. a Spark Connect client)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM handle: treat the size as unknown
+        return None
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    return df.checkpoint(eager=True) if sc.getCheckpointDir() else df
+    """Reliable, eager checkpoint under spark.checkpoint.dir when one is set;
+    otherwise the input is left as is (recomputed per branch)."""
+    try:
+        has_dir = bool(df.sparkSession.sparkContext.getCheckpointDir())
+    except Exception:  # noqa: BLE001 - no SparkContext on this client
+        has_dir = bool(df.sparkSession.conf.get("spark.checkpoint.dir", None))
+    return df.checkpoint(eager=True) if has_dir else df
 
 
 def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = True,
@@ -76,7 +85,8 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool =
         nulls_first = ascending
     x = F.col(order_col)
     values = df.groupBy(x.alias(_V)).agg(F.count(F.lit(1)).alias(_N))
-    small = estimated_bytes(values) <= single_bucket_bytes and values_per_bucket >= 1_000_000
+    est = estimated_bytes(values)
+    small = est is not None and est <= single_bucket_bytes and values_per_bucket >= 1_000_000
     if materialize:
         df = _checkpointed(df)
         values = df.groupBy(x.alias(_V)).agg(F.count(F.lit(1)).alias(_N))
