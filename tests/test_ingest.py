@@ -120,3 +120,18 @@ def test_write_outputs_partitions(spark, scratch):
     assert back.filter(F.col("event_date") == "2024-06-01").count() == 2
     import os
     assert any(p.startswith("event_date=") for p in os.listdir(paths["daily_telemetry"]))
+
+
+def test_validate_join_keys_null_ids_compare_equal(spark):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    ids = StructType([StructField("vehicle_id", StringType(), True)])
+    tele = spark.createDataFrame([(None,), ("V1",), ("V2",)], ids)
+    fuel = spark.createDataFrame([(None,), ("V1",)], ids)
+    maint = spark.createDataFrame([("V2",)], ids)
+    got = sorted(validate_join_keys(tele, fuel, maint).collect(), key=lambda r: (str(r[0]), r[1]))
+    exp_fuel = tele.subtract(fuel).collect()
+    exp_maint = tele.subtract(maint).collect()
+    exp = sorted([(r[0], "no_fuel_records") for r in exp_fuel] + [(r[0], "no_maintenance_records") for r in exp_maint],
+                 key=lambda r: (str(r[0]), r[1]))
+    assert [tuple(r) for r in got] == exp

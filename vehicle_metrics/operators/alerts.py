@@ -117,12 +117,38 @@ def generate_harsh_driving_alerts(kpi_df, as_of_ts=None, thresholds: Thresholds
     return apply_rule(kpi_df, _rule_by_type(thresholds, "HARSH_DRIVING"), as_of_ts)
 
 
+def apply_rules(kpi_df: DataFrame, rules: list[Rule], as_of_ts=None) -> DataFrame:
+    """Several rules in one pass, shaped like their union by name: the
+    evidence columns of all rules (first rule's first), NULL where a rule
+    has no such column, then the alert columns."""
+    evidence: list[str] = []
+    for r in rules:
+        evidence += [c for c in r.evidence if c not in evidence]
+    types = {f.name: f.dataType for f in kpi_df.schema.fields}
+
+    def as_struct(r: Rule) -> Column:
+        fields = [(F.col(c) if c in r.evidence else F.lit(None).cast(types[c])).alias(c) for c in evidence]
+        return F.struct(*fields, F.lit(r.alert_type).alias("alert_type"), r.severity.alias("severity"),
+                        r.message.alias("alert_message"))
+
+    first = rules[0].evidence
+    order = [*first, "alert_type", "severity", "alert_message", "generated_at",
+             *[c for c in evidence if c not in first]]
+    matches = F.array_compact(F.array(*[F.when(r.condition, as_struct(r)) for r in rules]))
+    return (
+        kpi_df
+        .select(F.explode(matches).alias("_a"))
+        .select("_a.*", as_timestamp(as_of_ts).alias("generated_at"))
+        .select(*order)
+    )
+
+
 def generate_maintenance_alerts(kpi_df, as_of_ts=None, thresholds: Thresholds = DEFAULT_THRESHOLDS):
-    """L3 + L4 + L5: compliance and due-soon alerts, union by name (columns
-    missing on one side are NULL)."""
-    compliance = apply_rule(kpi_df, _rule_by_type(thresholds, "MAINTENANCE_COMPLIANCE"), as_of_ts)
-    due_soon = apply_rule(kpi_df, _rule_by_type(thresholds, "SERVICE_DUE_SOON"), as_of_ts)
-    return compliance.unionByName(due_soon, allowMissingColumns=True)
+    """L3 + L4 + L5: compliance and due-soon alerts, shaped as their union
+    by name (columns missing on one side are NULL), computed in one pass
+    over the KPI table."""
+    rules = [_rule_by_type(thresholds, "MAINTENANCE_COMPLIANCE"), _rule_by_type(thresholds, "SERVICE_DUE_SOON")]
+    return apply_rules(kpi_df, rules, as_of_ts)
 
 
 def generate_utilisation_alerts(kpi_df, as_of_ts=None, thresholds: Thresholds = DEFAULT_THRESHOLDS):

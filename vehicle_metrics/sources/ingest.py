@@ -101,18 +101,25 @@ def ingest_maintenance(spark: SparkSession, path, fmt: str = "parquet", as_of_da
 # -- S5 source coverage -------------------------------------------------------
 
 def validate_join_keys(telemetry_df: DataFrame, fuel_df: DataFrame, maintenance_df: DataFrame) -> DataFrame:
-    """Vehicles seen in telemetry without fuel rows / without maintenance rows.
+    """Vehicles seen in telemetry without fuel rows / without maintenance rows
+    (EXCEPT DISTINCT semantics: NULL ids compare equal).
 
-    ``subtract`` is EXCEPT DISTINCT: Catalyst turns it into a null-safe
-    left-anti join keyed on vehicle_id. Both sides are reduced to distinct
-    ids first (partial aggregates), so a vehicle owning a large share of
-    the fuel or maintenance rows costs one row per map partition in the
-    join's shuffle, not all of its rows.
+    One pass: each source is reduced to its distinct vehicle ids (partial
+    aggregates, so a vehicle owning a large share of rows costs one row per
+    map partition), the telemetry ids are null-safe left-joined to the fuel
+    and maintenance ids, and each id emits one row per missing source.
     """
     tele_ids = telemetry_df.select("vehicle_id").distinct()
-    fuel_ids = fuel_df.select("vehicle_id").distinct()
-    maint_ids = maintenance_df.select("vehicle_id").distinct()
-    return (
-        tele_ids.subtract(fuel_ids).select("vehicle_id", F.lit("no_fuel_records").alias("issue"))
-        .unionByName(tele_ids.subtract(maint_ids).select("vehicle_id", F.lit("no_maintenance_records").alias("issue")))
+    fuel_ids = fuel_df.select(F.col("vehicle_id").alias("_fuel_vid")).distinct().withColumn("_fuel_hit", F.lit(True))
+    maint_ids = maintenance_df.select(F.col("vehicle_id").alias("_maint_vid")).distinct().withColumn(
+        "_maint_hit", F.lit(True))
+    joined = (
+        tele_ids
+        .join(fuel_ids, tele_ids["vehicle_id"].eqNullSafe(fuel_ids["_fuel_vid"]), "left")
+        .join(maint_ids, tele_ids["vehicle_id"].eqNullSafe(maint_ids["_maint_vid"]), "left")
     )
+    issues = F.array_compact(F.array(
+        F.when(F.col("_fuel_hit").isNull(), F.lit("no_fuel_records")),
+        F.when(F.col("_maint_hit").isNull(), F.lit("no_maintenance_records")),
+    ))
+    return joined.select("vehicle_id", F.explode(issues).alias("issue"))
