@@ -25,3 +25,25 @@ def test_run_daily_batch_writes_outputs(spark, scratch):
     assert alerts.count() == FleetPlan.from_testdata(spark, SF).alerts.count()
     assert alerts.filter(F.col("alert_date") == "2024-01-31").count() == alerts.count()
     assert any(d.startswith("event_date=") for d in os.listdir(paths["daily_telemetry"]))
+
+
+def test_batch_job_cli(spark, scratch):
+    """spark-submit entry point on small Parquet inputs with the fixed schemas."""
+    from fixtures import base_fuel, base_maintenance, base_telemetry
+
+    from vehicle_metrics.plans import batch_job
+    from vehicle_metrics.schemas import FUEL_SCHEMA, MAINTENANCE_SCHEMA, TELEMETRY_SCHEMA
+
+    for name, df, schema in (("tele", base_telemetry(spark), TELEMETRY_SCHEMA),
+                             ("fuel", base_fuel(spark), FUEL_SCHEMA),
+                             ("maint", base_maintenance(spark), MAINTENANCE_SCHEMA)):
+        df.select(*[f.name for f in schema.fields]).write.parquet(os.path.join(scratch, name))
+    paths = batch_job.main([
+        "--telemetry", os.path.join(scratch, "tele"), "--fuel", os.path.join(scratch, "fuel"),
+        "--maintenance", os.path.join(scratch, "maint"), "--out", os.path.join(scratch, "out"),
+        "--as-of-date", "2024-06-01", "--as-of-ts", "2024-06-03 00:00:00",
+    ], spark=spark)
+    kpi = {r["vehicle_id"]: r for r in spark.read.parquet(paths["kpi_master"]).collect()}
+    assert kpi["V001"]["harsh_driving_flag"] == 1 and kpi["V002"]["service_due_soon_flag"] == 1
+    alerts = spark.read.parquet(paths["alerts"])
+    assert alerts.filter("alert_type = 'SERVICE_DUE_SOON'").count() == 1
