@@ -1,6 +1,6 @@
 """Daily batch job for spark-submit.
 
-    spark-submit -m vehicle_metrics.plans.batch_job \\
+    spark-submit --py-files vehicle_metrics.zip vehicle_metrics/plans/batch_job.py \\
         --telemetry s3://bucket/telemetry/ --fuel s3://bucket/fuel/ \\
         --maintenance s3://bucket/maintenance/ --out s3://bucket/curated/ \\
         --as-of-date 2024-06-30 [--format parquet|csv] [--observation-days 30]
