@@ -69,6 +69,62 @@ def as_timestamp(value, ntz: bool = True) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz" if ntz else "timestamp")
 
 
+# -- SQL-text forms ------------------------------------------------------------
+# Each DataFrame-API call is a round trip to the JVM; a projection written as
+# SQL text is parsed there in one call, which keeps plan construction cheap
+# for wide projections and rule lists.
+
+def q(name: str) -> str:
+    """Backtick-quote a column name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_double(v: float) -> str:
+    """A DOUBLE literal (a bare 7.0 would be a DECIMAL in Spark SQL)."""
+    return f"{float(v)!r}D"
+
+
+def sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ratio_sql(num: str, den: str) -> str:
+    return f"try_divide({num}, {den})"
+
+
+def per_100km_sql(events: str, distance: str, scale: int = 2) -> str:
+    return f"round(try_divide({events}, {distance}) * 100, {scale})"
+
+
+def flag_sql(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
+
+
+def date_sql(value) -> str:
+    """An as-of date as SQL: None -> current_date(), else a DATE literal."""
+    if value is None:
+        return "current_date()"
+    if isinstance(value, _dt.datetime):
+        value = value.date()
+    return f"DATE{sql_str(str(value))}"
+
+
+def timestamp_sql(value, ntz: bool = True) -> str:
+    """An as-of timestamp as SQL: None -> current_timestamp(), else a
+    TIMESTAMP_NTZ literal (independent of the session time zone)."""
+    if value is None:
+        return "current_timestamp()"
+    if isinstance(value, _dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    return f"CAST({sql_str(str(value))} AS {'TIMESTAMP_NTZ' if ntz else 'TIMESTAMP'})"
+
+
+SEVERITY_LEVEL_SQL = (
+    "CASE " + " ".join(f"WHEN severity = '{name}' THEN {i}" for i, name in enumerate(SEVERITY_ORDER))
+    + f" ELSE {len(SEVERITY_ORDER)} END"
+)
+
+
 def round_doubles(df: DataFrame, scale: int = 6) -> DataFrame:
     """Round every double column to ``scale`` places.
 
@@ -78,9 +134,8 @@ def round_doubles(df: DataFrame, scale: int = 6) -> DataFrame:
     ``scale + 3`` places, so last-bit noise cannot move a value that lies
     exactly on a rounding boundary (e.g. a mean of 46.6246875) either way.
     """
-    cols = [
-        F.round(F.round(F.col(f.name), scale + 3), scale).alias(f.name)
-        if isinstance(f.dataType, DoubleType) else F.col(f.name)
+    return df.selectExpr(*[
+        f"round(round({q(f.name)}, {scale + 3}), {scale}) AS {q(f.name)}"
+        if isinstance(f.dataType, DoubleType) else q(f.name)
         for f in df.schema.fields
-    ]
-    return df.select(*cols)
+    ])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, Thresholds
-from vehicle_metrics.functions.exprs import as_timestamp, severity_level
+from vehicle_metrics.functions.exprs import SEVERITY_LEVEL_SQL, sql_double, sql_str, timestamp_sql
 
 # Alert types and message fragments.
 #   FUEL_EFFICIENCY         "Vehicle {id} fuel efficiency {km/L} km/L is below the {min} km/L threshold."
@@ -32,8 +32,8 @@ ALERT_COLUMNS = ["vehicle_id", "alert_type", "severity", "alert_message", "gener
 SUMMARY_COLUMNS = [*ALERT_COLUMNS, "alert_id", "alert_date"]
 
 
-def _s(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+def _s(expr: str) -> str:
+    return f"CAST({expr} AS STRING)"
 
 
 def _num(v: float) -> str:
@@ -47,45 +47,49 @@ def _pct_num(rate: float) -> str:
     return str(int(p)) if p == int(p) else str(p)
 
 
+def _concat(*parts: str) -> str:
+    """concat(...) of SQL parts; plain text parts are given as ('text',)."""
+    return "concat(" + ", ".join(sql_str(p[0]) if isinstance(p, tuple) else p for p in parts) + ")"
+
+
 @dataclass(frozen=True)
 class Rule:
+    """An alert rule as SQL expression text over the KPI table."""
     alert_type: str
-    condition: Column
-    severity: Column
-    message: Column
+    condition: str
+    severity: str
+    message: str
     evidence: tuple[str, ...]
 
 
 def kpi_rules(th: Thresholds = DEFAULT_THRESHOLDS) -> list[Rule]:
-    vid = F.col("vehicle_id")
     return [
-        Rule("FUEL_EFFICIENCY", F.col("fuel_efficiency_flag") == 1, F.lit("MEDIUM"),
-             F.concat(F.lit("Vehicle "), vid, F.lit(" fuel efficiency "), _s("fuel_efficiency_km_l"),
-                      F.lit(f" km/L is below the {_num(th.fuel_efficiency_min_km_l)} km/L threshold.")),
+        Rule("FUEL_EFFICIENCY", "fuel_efficiency_flag = 1", "'MEDIUM'",
+             _concat(("Vehicle ",), "vehicle_id", (" fuel efficiency ",), _s("fuel_efficiency_km_l"),
+                     (f" km/L is below the {_num(th.fuel_efficiency_min_km_l)} km/L threshold.",)),
              ("vehicle_id", "fuel_efficiency_km_l", "fuel_cost_per_km", "total_fuel_cost_zar")),
-        Rule("HARSH_DRIVING", F.col("harsh_driving_flag") == 1,
-             F.when(F.col("harsh_events_per_100km") > th.harsh_severity_high_per_100km, F.lit("HIGH"))
-             .otherwise(F.lit("MEDIUM")),
-             F.concat(F.lit("Vehicle "), vid, F.lit(" recorded "), _s("harsh_events_per_100km"),
-                      F.lit(f" harsh events per 100 km — exceeds {_num(th.harsh_events_per_100km_max)} threshold.")),
+        Rule("HARSH_DRIVING", "harsh_driving_flag = 1",
+             f"CASE WHEN harsh_events_per_100km > {sql_double(th.harsh_severity_high_per_100km)} "
+             "THEN 'HIGH' ELSE 'MEDIUM' END",
+             _concat(("Vehicle ",), "vehicle_id", (" recorded ",), _s("harsh_events_per_100km"),
+                     (f" harsh events per 100 km — exceeds {_num(th.harsh_events_per_100km_max)} threshold.",)),
              ("vehicle_id", "harsh_events_per_100km", "total_harsh_braking", "total_harsh_accel")),
-        Rule("MAINTENANCE_COMPLIANCE", F.col("maintenance_flag") == 1, F.lit("MEDIUM"),
-             F.concat(F.lit("Vehicle "), vid, F.lit(" maintenance compliance at "),
-                      _s(F.round(F.col("compliance_rate") * 100, 1)),
-                      F.lit(f"% — below the {_pct_num(th.maintenance_compliance_min)}% threshold.")),
+        Rule("MAINTENANCE_COMPLIANCE", "maintenance_flag = 1", "'MEDIUM'",
+             _concat(("Vehicle ",), "vehicle_id", (" maintenance compliance at ",),
+                     _s("round(compliance_rate * 100, 1)"),
+                     (f"% — below the {_pct_num(th.maintenance_compliance_min)}% threshold.",)),
              ("vehicle_id", "compliance_rate", "total_services", "compliant_services")),
-        Rule("SERVICE_DUE_SOON", F.col("service_due_soon_flag") == 1, F.lit("HIGH"),
-             F.concat(F.lit("Vehicle "), vid, F.lit(" service due in "), _s("min_days_until_service"),
-                      F.lit(" day(s). Schedule immediately.")),
+        Rule("SERVICE_DUE_SOON", "service_due_soon_flag = 1", "'HIGH'",
+             _concat(("Vehicle ",), "vehicle_id", (" service due in ",), _s("min_days_until_service"),
+                     (" day(s). Schedule immediately.",)),
              ("vehicle_id", "min_days_until_service")),
-        Rule("LOW_UTILISATION", F.col("utilisation_flag") == 1, F.lit("LOW"),
-             F.concat(F.lit("Vehicle "), vid, F.lit(" utilisation at "),
-                      _s(F.round(F.col("utilisation_rate") * 100, 1)),
-                      F.lit(f"% — below the {_pct_num(th.utilisation_min_rate)}% target.")),
+        Rule("LOW_UTILISATION", "utilisation_flag = 1", "'LOW'",
+             _concat(("Vehicle ",), "vehicle_id", (" utilisation at ",), _s("round(utilisation_rate * 100, 1)"),
+                     (f"% — below the {_pct_num(th.utilisation_min_rate)}% target.",)),
              ("vehicle_id", "utilisation_rate", "active_days")),
-        Rule("HIGH_RISK_VEHICLE", F.col("risk_tier") == "HIGH", F.lit("CRITICAL"),
-             F.concat(F.lit("CRITICAL: Vehicle "), vid, F.lit(" has breached "), _s("risk_score"),
-                      F.lit(" KPI thresholds simultaneously. Immediate review required.")),
+        Rule("HIGH_RISK_VEHICLE", "risk_tier = 'HIGH'", "'CRITICAL'",
+             _concat(("CRITICAL: Vehicle ",), "vehicle_id", (" has breached ",), _s("risk_score"),
+                     (" KPI thresholds simultaneously. Immediate review required.",)),
              ("vehicle_id", "risk_score", "risk_tier")),
     ]
 
@@ -96,14 +100,12 @@ def _rule_by_type(th: Thresholds, alert_type: str) -> Rule:
 
 def apply_rule(kpi_df: DataFrame, rule: Rule, as_of_ts=None) -> DataFrame:
     """Filter -> evidence columns -> alert_type, severity, message, generated_at."""
-    return (
-        kpi_df
-        .filter(rule.condition)
-        .select(*rule.evidence,
-                F.lit(rule.alert_type).alias("alert_type"),
-                rule.severity.alias("severity"),
-                rule.message.alias("alert_message"),
-                as_timestamp(as_of_ts).alias("generated_at"))
+    return kpi_df.where(rule.condition).selectExpr(
+        *rule.evidence,
+        f"{sql_str(rule.alert_type)} AS alert_type",
+        f"{rule.severity} AS severity",
+        f"{rule.message} AS alert_message",
+        f"{timestamp_sql(as_of_ts)} AS generated_at",
     )
 
 
@@ -117,6 +119,19 @@ def generate_harsh_driving_alerts(kpi_df, as_of_ts=None, thresholds: Thresholds
     return apply_rule(kpi_df, _rule_by_type(thresholds, "HARSH_DRIVING"), as_of_ts)
 
 
+def _matches_sql(rules: list[Rule], evidence: list[str], types: dict) -> str:
+    """array of the matching rules' structs (NULL for a rule that does not
+    hold, removed by array_compact)."""
+    def as_struct(r: Rule) -> str:
+        fields = [f"{sql_str(c)}, " + (c if c in r.evidence else f"CAST(NULL AS {types[c]})") for c in evidence]
+        fields += [f"'alert_type', {sql_str(r.alert_type)}", f"'severity', {r.severity}",
+                   f"'alert_message', {r.message}"]
+        return "named_struct(" + ", ".join(fields) + ")"
+
+    return "array_compact(array(" + ", ".join(f"CASE WHEN {r.condition} THEN {as_struct(r)} END"
+                                             for r in rules) + "))"
+
+
 def apply_rules(kpi_df: DataFrame, rules: list[Rule], as_of_ts=None) -> DataFrame:
     """Several rules in one pass, shaped like their union by name: the
     evidence columns of all rules (first rule's first), NULL where a rule
@@ -124,21 +139,14 @@ def apply_rules(kpi_df: DataFrame, rules: list[Rule], as_of_ts=None) -> DataFram
     evidence: list[str] = []
     for r in rules:
         evidence += [c for c in r.evidence if c not in evidence]
-    types = {f.name: f.dataType for f in kpi_df.schema.fields}
-
-    def as_struct(r: Rule) -> Column:
-        fields = [(F.col(c) if c in r.evidence else F.lit(None).cast(types[c])).alias(c) for c in evidence]
-        return F.struct(*fields, F.lit(r.alert_type).alias("alert_type"), r.severity.alias("severity"),
-                        r.message.alias("alert_message"))
-
+    types = {f.name: f.dataType.simpleString() for f in kpi_df.schema.fields}
     first = rules[0].evidence
     order = [*first, "alert_type", "severity", "alert_message", "generated_at",
              *[c for c in evidence if c not in first]]
-    matches = F.array_compact(F.array(*[F.when(r.condition, as_struct(r)) for r in rules]))
     return (
         kpi_df
-        .select(F.explode(matches).alias("_a"))
-        .select("_a.*", as_timestamp(as_of_ts).alias("generated_at"))
+        .selectExpr(f"explode({_matches_sql(rules, evidence, types)}) AS _a")
+        .selectExpr("_a.*", f"{timestamp_sql(as_of_ts)} AS generated_at")
         .select(*order)
     )
 
@@ -168,17 +176,12 @@ def generate_speed_alerts(telemetry_df: DataFrame, speed_limit_kmh: float | None
     pushed into the Parquet scan. event_id is kept so alert ids stay
     unique when two events share a message."""
     limit = thresholds.speed_limit_kmh if speed_limit_kmh is None else speed_limit_kmh
-    return (
-        telemetry_df
-        .filter(F.col("speed_kmh") > limit)
-        .select(
-            "event_id", "vehicle_id", "driver_id", "event_timestamp", "speed_kmh", "latitude", "longitude",
-            F.lit("SPEED_VIOLATION").alias("alert_type"),
-            F.lit("HIGH").alias("severity"),
-            F.concat(F.lit("Speed violation: vehicle "), F.col("vehicle_id"), F.lit(" recorded "), _s("speed_kmh"),
-                     F.lit(" km/h at "), _s("event_timestamp")).alias("alert_message"),
-            as_timestamp(as_of_ts).alias("generated_at"),
-        )
+    message = _concat(("Speed violation: vehicle ",), "vehicle_id", (" recorded ",), _s("speed_kmh"),
+                      (" km/h at ",), _s("event_timestamp"))
+    return telemetry_df.where(f"speed_kmh > {sql_double(limit)}").selectExpr(
+        "event_id", "vehicle_id", "driver_id", "event_timestamp", "speed_kmh", "latitude", "longitude",
+        "'SPEED_VIOLATION' AS alert_type", "'HIGH' AS severity", f"{message} AS alert_message",
+        f"{timestamp_sql(as_of_ts)} AS generated_at",
     )
 
 
@@ -186,38 +189,37 @@ def kpi_alerts_one_pass(kpi_df: DataFrame, as_of_ts=None, thresholds: Thresholds
     """All KPI rules in a single narrow pass: each vehicle row yields the
     array of rule structs whose condition holds; NULL conditions drop out
     with ``array_compact``; ``explode`` emits one alert per match."""
-    matches = F.array_compact(F.array(*[
-        F.when(r.condition, F.struct(F.lit(r.alert_type).alias("alert_type"),
-                                     r.severity.alias("severity"),
-                                     r.message.alias("alert_message")))
-        for r in kpi_rules(thresholds)
-    ]))
+    rules = kpi_rules(thresholds)
     return (
         kpi_df
-        .select("vehicle_id", F.explode(matches).alias("_a"))
-        .select("vehicle_id", "_a.alert_type", "_a.severity", "_a.alert_message",
-                as_timestamp(as_of_ts).alias("generated_at"))
+        .selectExpr("vehicle_id", f"explode({_matches_sql(rules, [], {})}) AS _a")
+        .selectExpr("vehicle_id", "_a.alert_type", "_a.severity", "_a.alert_message",
+                    f"{timestamp_sql(as_of_ts)} AS generated_at")
     )
 
 
-def alert_id(*cols) -> Column:
+def alert_id_sql(*cols: str) -> str:
     """Deterministic id: md5 over the identifying fields (NULLs skipped), so
     a recomputed partition yields the same ids."""
-    return F.md5(F.concat_ws("|", *[_s(c) for c in cols]))
+    return "md5(concat_ws('|', " + ", ".join(_s(c) for c in cols) + "))"
+
+
+def alert_id(*cols) -> Column:
+    return F.expr(alert_id_sql(*cols))
+
+
+ALERT_ID_FIELDS = ("vehicle_id", "alert_type", "alert_message", "generated_at", "event_id")
 
 
 def build_alert_summary(kpi_df: DataFrame, telemetry_df: DataFrame, as_of_ts=None,
                         thresholds: Thresholds = DEFAULT_THRESHOLDS, sort: bool = True) -> DataFrame:
     """Every KPI and speed alert with alert_id and alert_date, ordered
-    by severity (CRITICAL, HIGH, MEDIUM, rest), then type and vehicle."""
-    kpi = kpi_alerts_one_pass(kpi_df, as_of_ts, thresholds).select(
-        *ALERT_COLUMNS, F.lit(None).cast("string").alias("event_id"))
+    by severity (CRITICAL, HIGH, MEDIUM, rest), then type, vehicle and id."""
+    kpi = kpi_alerts_one_pass(kpi_df, as_of_ts, thresholds).selectExpr(
+        *ALERT_COLUMNS, "CAST(NULL AS STRING) AS event_id")
     speed = generate_speed_alerts(telemetry_df, None, as_of_ts, thresholds).select(*ALERT_COLUMNS, "event_id")
-    alerts = kpi.unionByName(speed).select(
-        *ALERT_COLUMNS,
-        alert_id("vehicle_id", "alert_type", "alert_message", "generated_at", "event_id").alias("alert_id"),
-        F.to_date("generated_at").alias("alert_date"),
-    )
+    alerts = kpi.unionByName(speed).selectExpr(
+        *ALERT_COLUMNS, f"{alert_id_sql(*ALERT_ID_FIELDS)} AS alert_id", "to_date(generated_at) AS alert_date")
     if sort:
-        alerts = alerts.orderBy(severity_level("severity"), "alert_type", "vehicle_id", "alert_id")
+        alerts = alerts.orderBy(F.expr(SEVERITY_LEVEL_SQL), "alert_type", "vehicle_id", "alert_id")
     return alerts

@@ -9,11 +9,11 @@ average of daily averages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, Thresholds
-from vehicle_metrics.functions.exprs import flag, per_100km, safe_ratio
+from vehicle_metrics.functions.exprs import flag_sql, per_100km_sql, sql_double
 
 DAILY_COLUMNS = [
     "vehicle_id", "event_date", "daily_distance_km", "daily_harsh_braking", "daily_harsh_accel",
@@ -21,34 +21,33 @@ DAILY_COLUMNS = [
 ]
 
 
+DAILY_PARTS_SQL = [
+    "sum(distance_km) AS daily_distance_km",
+    "sum(harsh_braking) AS daily_harsh_braking",
+    "sum(harsh_accel) AS daily_harsh_accel",
+    "sum(idling_minutes) AS daily_idling_minutes",
+    "sum(speed_kmh) AS speed_sum",
+    "count(speed_kmh) AS speed_count",
+    "max(speed_kmh) AS max_speed_kmh",
+    "count(event_id) AS event_count",
+]
+
+
 def daily_telemetry_parts(telemetry_df: DataFrame) -> DataFrame:
     """(vehicle_id, event_date) -> additive daily aggregates.
 
     A partial hash aggregate runs before the shuffle, so a vehicle with a
     huge share of events costs one row per map partition and day.
     """
-    return (
-        telemetry_df
-        .groupBy("vehicle_id", "event_date")
-        .agg(
-            F.sum("distance_km").alias("daily_distance_km"),
-            F.sum("harsh_braking").alias("daily_harsh_braking"),
-            F.sum("harsh_accel").alias("daily_harsh_accel"),
-            F.sum("idling_minutes").alias("daily_idling_minutes"),
-            F.sum("speed_kmh").alias("speed_sum"),
-            F.count("speed_kmh").alias("speed_count"),
-            F.max("speed_kmh").alias("max_speed_kmh"),
-            F.count("event_id").alias("event_count"),
-        )
-    )
+    return telemetry_df.groupBy("vehicle_id", "event_date").agg(*[F.expr(e) for e in DAILY_PARTS_SQL])
 
 
 def daily_from_parts(parts: DataFrame) -> DataFrame:
     derived = {
-        "avg_speed_kmh": safe_ratio("speed_sum", "speed_count"),
-        "daily_harsh_events": F.col("daily_harsh_braking") + F.col("daily_harsh_accel"),
+        "avg_speed_kmh": "try_divide(speed_sum, speed_count)",
+        "daily_harsh_events": "daily_harsh_braking + daily_harsh_accel",
     }
-    return parts.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in DAILY_COLUMNS])
+    return parts.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in DAILY_COLUMNS])
 
 
 def aggregate_daily_telemetry(telemetry_df: DataFrame) -> DataFrame:
@@ -58,14 +57,10 @@ def aggregate_daily_telemetry(telemetry_df: DataFrame) -> DataFrame:
 
 def aggregate_daily_fuel(fuel_df: DataFrame) -> DataFrame:
     """R2: one row per vehicle and fill_date."""
-    return (
-        fuel_df
-        .groupBy("vehicle_id", "fill_date")
-        .agg(
-            F.sum("litres_filled").alias("daily_litres"),
-            F.sum("cost_zar").alias("daily_fuel_cost_zar"),
-            F.count("fuel_id").alias("fill_count"),
-        )
+    return fuel_df.groupBy("vehicle_id", "fill_date").agg(
+        F.expr("sum(litres_filled) AS daily_litres"),
+        F.expr("sum(cost_zar) AS daily_fuel_cost_zar"),
+        F.expr("count(fuel_id) AS fill_count"),
     )
 
 
@@ -78,15 +73,18 @@ def compute_rolling_kpis(daily_telemetry_df: DataFrame, thresholds: Thresholds =
     to its partition however many raw events it has.
     """
     days = thresholds.rolling_window_days
-    w = Window.partitionBy("vehicle_id").orderBy(F.unix_date("event_date")).rangeBetween(-(days - 1), 0)
+    w = (f"OVER (PARTITION BY vehicle_id ORDER BY unix_date(event_date) "
+         f"RANGE BETWEEN {days - 1} PRECEDING AND CURRENT ROW)")
+    per100 = per_100km_sql("rolling_7d_harsh_events", "rolling_7d_distance_km")
     return (
         daily_telemetry_df
-        .withColumns({
-            "rolling_7d_distance_km": F.sum("daily_distance_km").over(w),
-            "rolling_7d_harsh_events": F.sum("daily_harsh_events").over(w),
-            "rolling_7d_idling_minutes": F.sum("daily_idling_minutes").over(w),
-        })
-        .withColumn("rolling_7d_harsh_per_100km", per_100km("rolling_7d_harsh_events", "rolling_7d_distance_km"))
-        .withColumn("behaviour_trend_flag",
-                    flag(F.col("rolling_7d_harsh_per_100km") > thresholds.harsh_events_per_100km_max))
+        .selectExpr(
+            "*",
+            f"sum(daily_distance_km) {w} AS rolling_7d_distance_km",
+            f"sum(daily_harsh_events) {w} AS rolling_7d_harsh_events",
+            f"sum(daily_idling_minutes) {w} AS rolling_7d_idling_minutes",
+        )
+        .selectExpr("*", f"{per100} AS rolling_7d_harsh_per_100km")
+        .selectExpr("*", flag_sql(f"rolling_7d_harsh_per_100km > {sql_double(thresholds.harsh_events_per_100km_max)}")
+                    + " AS behaviour_trend_flag")
     )

@@ -6,26 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, Thresholds
-from vehicle_metrics.functions.exprs import pct, per_100km, severity_level
+from vehicle_metrics.functions.exprs import SEVERITY_LEVEL_SQL, per_100km_sql, q
 from vehicle_metrics.operators.ranking import global_rank
 
 
 def build_performance_report(scored_kpi_df: DataFrame, sort: bool = True) -> DataFrame:
     """Renamed KPI columns with percentages, by priority_rank."""
-    out = scored_kpi_df.select(
+    out = scored_kpi_df.selectExpr(
         "vehicle_id",
-        F.col("fuel_efficiency_km_l").alias("fuel_eff_km_l"),
-        F.col("fuel_cost_per_km").alias("fuel_cost_per_km_zar"),
-        F.col("total_fuel_cost_zar").alias("total_fuel_spend_zar"),
+        "fuel_efficiency_km_l AS fuel_eff_km_l",
+        "fuel_cost_per_km AS fuel_cost_per_km_zar",
+        "total_fuel_cost_zar AS total_fuel_spend_zar",
         "harsh_events_per_100km",
-        F.col("total_idling_minutes").alias("total_idling_min"),
+        "total_idling_minutes AS total_idling_min",
         "utilisation_rate",
         "compliance_rate",
         "risk_score",
         "risk_category",
         "priority_rank",
-        pct("utilisation_rate").alias("utilisation_pct"),
-        pct("compliance_rate").alias("compliance_pct"),
+        "round(utilisation_rate * 100, 1) AS utilisation_pct",
+        "round(compliance_rate * 100, 1) AS compliance_pct",
     )
     return out.orderBy("priority_rank", "vehicle_id") if sort else out
 
@@ -36,15 +36,14 @@ def build_fleet_trend_report(daily_telemetry_df: DataFrame, sort: bool = True) -
     the January they belong to."""
     out = (
         daily_telemetry_df
-        .groupBy(F.expr("extract(YEAROFWEEK FROM event_date)").alias("year"),
-                 F.weekofyear("event_date").alias("iso_week"))
-        .agg(
-            F.sum("daily_distance_km").alias("weekly_distance_km"),
-            F.sum("daily_harsh_events").alias("weekly_harsh_events"),
-            F.sum("daily_idling_minutes").alias("weekly_idling_minutes"),
-            F.count_distinct("vehicle_id").alias("active_vehicles"),
-        )
-        .withColumn("fleet_harsh_per_100km", per_100km("weekly_harsh_events", "weekly_distance_km"))
+        .groupBy(F.expr("extract(YEAROFWEEK FROM event_date) AS year"), F.expr("weekofyear(event_date) AS iso_week"))
+        .agg(*[F.expr(e) for e in [
+            "sum(daily_distance_km) AS weekly_distance_km",
+            "sum(daily_harsh_events) AS weekly_harsh_events",
+            "sum(daily_idling_minutes) AS weekly_idling_minutes",
+            "count(DISTINCT vehicle_id) AS active_vehicles",
+        ]])
+        .selectExpr("*", f"{per_100km_sql('weekly_harsh_events', 'weekly_distance_km')} AS fleet_harsh_per_100km")
     )
     return out.orderBy("year", "iso_week") if sort else out
 
@@ -59,9 +58,9 @@ def latest_per_key(df: DataFrame, key: str, order_cols: list[str], keep_cols: li
     """Top-1 row per key by ``order_cols`` descending (NULLs last), as a
     grouped ``max`` over a struct: partial aggregation before the shuffle,
     so a key with millions of rows never lands whole in one task."""
-    struct_cols = [*order_cols, *[c for c in keep_cols if c not in order_cols and c != key]]
-    top = df.groupBy(key).agg(F.max(F.struct(*struct_cols)).alias("_top"))
-    return top.select(*[F.col(key) if c == key else F.col(f"_top.{c}").alias(c) for c in keep_cols])
+    struct_cols = ", ".join(q(c) for c in [*order_cols, *[c for c in keep_cols if c not in order_cols and c != key]])
+    top = df.groupBy(key).agg(F.expr(f"max(struct({struct_cols})) AS _top"))
+    return top.selectExpr(*[q(c) if c == key else f"_top.{q(c)} AS {q(c)}" for c in keep_cols])
 
 
 def build_maintenance_report(maintenance_df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS,
@@ -73,17 +72,17 @@ def build_maintenance_report(maintenance_df: DataFrame, thresholds: Thresholds =
         maintenance_df, "vehicle_id", ["service_date", "record_id"],
         [*MAINTENANCE_REPORT_COLUMNS, "cost_zar"],
     )
-    status = (F.when(F.col("is_overdue") == 1, F.lit("OVERDUE"))
-              .when(F.col("days_until_service") <= thresholds.service_due_soon_days, F.lit("DUE_SOON"))
-              .otherwise(F.lit("ON_TRACK")))
-    out = latest.select(*MAINTENANCE_REPORT_COLUMNS, F.col("cost_zar").alias("last_service_cost_zar"),
-                        status.alias("compliance_status"))
+    status = (f"CASE WHEN is_overdue = 1 THEN 'OVERDUE' "
+              f"WHEN days_until_service <= {int(thresholds.service_due_soon_days)} THEN 'DUE_SOON' "
+              f"ELSE 'ON_TRACK' END")
+    out = latest.selectExpr(*MAINTENANCE_REPORT_COLUMNS, "cost_zar AS last_service_cost_zar",
+                            f"{status} AS compliance_status")
     return out.orderBy("is_overdue", "days_until_service", "vehicle_id") if sort else out
 
 
 def build_cost_report(kpi_df: DataFrame, sort: bool = True) -> DataFrame:
     """Fuel spend per vehicle with cost_rank (RANK by total spend, desc)."""
-    out = kpi_df.select(
+    out = kpi_df.selectExpr(
         "vehicle_id", "total_distance_km", "total_litres", "total_fuel_cost_zar",
         "fuel_efficiency_km_l", "fuel_cost_per_km",
     )
@@ -94,7 +93,7 @@ def build_cost_report(kpi_df: DataFrame, sort: bool = True) -> DataFrame:
 def build_alert_report(alerts_df: DataFrame, sort: bool = True) -> DataFrame:
     """P5: alerts and distinct vehicles per (alert_type, severity)."""
     out = alerts_df.groupBy("alert_type", "severity").agg(
-        F.count("alert_id").alias("alert_count"),
-        F.count_distinct("vehicle_id").alias("vehicles_affected"),
+        F.expr("count(alert_id) AS alert_count"),
+        F.expr("count(DISTINCT vehicle_id) AS vehicles_affected"),
     )
-    return out.orderBy(severity_level("severity"), "alert_type") if sort else out
+    return out.orderBy(F.expr(SEVERITY_LEVEL_SQL), "alert_type") if sort else out

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, DEFAULT_WEIGHTS, RiskWeights, Thresholds
-from vehicle_metrics.functions.exprs import as_timestamp, flag, per_100km
+from vehicle_metrics.functions.exprs import flag_sql, per_100km_sql, sql_double, timestamp_sql
 from vehicle_metrics.operators.ranking import global_rank
 
 
@@ -18,15 +18,12 @@ def score_vehicle_risk(master_kpi_df: DataFrame, weights: RiskWeights = DEFAULT_
     points: the value table is bounded and broadcast.
     """
     w = weights
-    score = (F.col("harsh_driving_flag") * w.harsh_driving
-             + F.col("maintenance_flag") * w.maintenance
-             + F.col("fuel_efficiency_flag") * w.fuel_efficiency
-             + F.col("utilisation_flag") * w.utilisation)
-    category = (F.when(score >= w.critical_min, F.lit("CRITICAL"))
-                .when(score.between(w.high_min, w.critical_min - 1), F.lit("HIGH"))
-                .when(score.between(w.medium_min, w.high_min - 1), F.lit("MEDIUM"))
-                .otherwise(F.lit("LOW")))
-    scored = master_kpi_df.withColumns({"weighted_risk_score": score, "risk_category": category})
+    score = (f"(harsh_driving_flag * {int(w.harsh_driving)} + maintenance_flag * {int(w.maintenance)}"
+             f" + fuel_efficiency_flag * {int(w.fuel_efficiency)} + utilisation_flag * {int(w.utilisation)})")
+    category = (f"CASE WHEN {score} >= {w.critical_min} THEN 'CRITICAL' "
+                f"WHEN {score} BETWEEN {w.high_min} AND {w.critical_min - 1} THEN 'HIGH' "
+                f"WHEN {score} BETWEEN {w.medium_min} AND {w.high_min - 1} THEN 'MEDIUM' ELSE 'LOW' END")
+    scored = master_kpi_df.selectExpr("*", f"{score} AS weighted_risk_score", f"{category} AS risk_category")
     max_score = w.harsh_driving + w.maintenance + w.fuel_efficiency + w.utilisation
     return global_rank(scored, "weighted_risk_score", "priority_rank", ascending=False,
                        bounded_domain=max_score + 1)
@@ -36,29 +33,24 @@ def build_fleet_summary(scored_kpi_df: DataFrame, as_of_ts=None,
                         thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """One-row fleet snapshot (a global aggregate: partial sums per
     partition, one tiny final merge)."""
+    critical = flag_sql("risk_category = 'CRITICAL'")
+    health = (f"round((fleet_avg_fuel_efficiency / {sql_double(thresholds.fuel_efficiency_min_km_l)}"
+              " + fleet_avg_compliance_rate + fleet_avg_utilisation_rate) / 3 * 100, 1)")
     return (
         scored_kpi_df
-        .agg(
-            F.count("vehicle_id").alias("total_vehicles"),
-            F.avg("fuel_efficiency_km_l").alias("fleet_avg_fuel_efficiency"),
-            F.avg("harsh_events_per_100km").alias("fleet_avg_harsh_events_per_100km"),
-            F.avg("compliance_rate").alias("fleet_avg_compliance_rate"),
-            F.avg("utilisation_rate").alias("fleet_avg_utilisation_rate"),
-            F.sum("fuel_efficiency_flag").cast("long").alias("vehicles_low_fuel_efficiency"),
-            F.sum("harsh_driving_flag").cast("long").alias("vehicles_harsh_driving"),
-            F.sum("maintenance_flag").cast("long").alias("vehicles_maintenance_noncompliant"),
-            F.sum("utilisation_flag").cast("long").alias("vehicles_underutilised"),
-            F.sum(flag(F.col("risk_category") == "CRITICAL")).cast("long").alias("vehicles_critical_risk"),
-        )
-        .withColumns({
-            "fleet_health_score": F.round(
-                (F.col("fleet_avg_fuel_efficiency") / F.lit(thresholds.fuel_efficiency_min_km_l)
-                 + F.col("fleet_avg_compliance_rate")
-                 + F.col("fleet_avg_utilisation_rate")) / F.lit(3) * F.lit(100),
-                1,
-            ),
-            "snapshot_timestamp": as_timestamp(as_of_ts),
-        })
+        .agg(*[F.expr(e) for e in [
+            "count(vehicle_id) AS total_vehicles",
+            "avg(fuel_efficiency_km_l) AS fleet_avg_fuel_efficiency",
+            "avg(harsh_events_per_100km) AS fleet_avg_harsh_events_per_100km",
+            "avg(compliance_rate) AS fleet_avg_compliance_rate",
+            "avg(utilisation_rate) AS fleet_avg_utilisation_rate",
+            "CAST(sum(fuel_efficiency_flag) AS BIGINT) AS vehicles_low_fuel_efficiency",
+            "CAST(sum(harsh_driving_flag) AS BIGINT) AS vehicles_harsh_driving",
+            "CAST(sum(maintenance_flag) AS BIGINT) AS vehicles_maintenance_noncompliant",
+            "CAST(sum(utilisation_flag) AS BIGINT) AS vehicles_underutilised",
+            f"CAST(sum({critical}) AS BIGINT) AS vehicles_critical_risk",
+        ]])
+        .selectExpr("*", f"{health} AS fleet_health_score", f"{timestamp_sql(as_of_ts)} AS snapshot_timestamp")
     )
 
 
@@ -72,17 +64,16 @@ def rank_drivers_by_behaviour(telemetry_df: DataFrame, thresholds: Thresholds =
     ascending order)."""
     stats = (
         telemetry_df
-        .filter(F.col("driver_id").isNotNull())
+        .where("driver_id IS NOT NULL")
         .groupBy("driver_id")
-        .agg(
-            F.sum("distance_km").alias("total_distance_km"),
-            (F.sum("harsh_braking") + F.sum("harsh_accel")).alias("total_harsh_events"),
-            F.avg("speed_kmh").alias("avg_speed_kmh"),
-            F.sum("idling_minutes").alias("total_idling_minutes"),
-        )
-        .withColumn("harsh_events_per_100km", per_100km("total_harsh_events", "total_distance_km"))
+        .agg(*[F.expr(e) for e in [
+            "sum(distance_km) AS total_distance_km",
+            "sum(harsh_braking) + sum(harsh_accel) AS total_harsh_events",
+            "avg(speed_kmh) AS avg_speed_kmh",
+            "sum(idling_minutes) AS total_idling_minutes",
+        ]])
+        .selectExpr("*", f"{per_100km_sql('total_harsh_events', 'total_distance_km')} AS harsh_events_per_100km")
     )
     ranked = global_rank(stats, "harsh_events_per_100km", "driver_safety_rank", ascending=True)
-    return ranked.withColumn(
-        "driver_risk_flag", flag(F.col("harsh_events_per_100km") > thresholds.harsh_events_per_100km_max)
-    ).select(*DRIVER_COLUMNS)
+    risk = flag_sql(f"harsh_events_per_100km > {sql_double(thresholds.harsh_events_per_100km_max)}")
+    return ranked.selectExpr(*DRIVER_COLUMNS[:-1], f"{risk} AS driver_risk_flag")

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vehicle_metrics.config import Thresholds
-from vehicle_metrics.functions.exprs import safe_ratio
 
 # Fixed values for the benchmark fleet: the events span 2024-01-01..30, so
 # the observation window closes on 2024-01-31.
@@ -116,31 +115,19 @@ def daily_log_views(daily_telemetry: DataFrame, daily_fuel: DataFrame, maintenan
     nation has a fixed 25 rows, so broadcasting it is bounded; customer
     grows with the data and is left to the planner (AQE broadcasts it only
     after measuring it)."""
-    dims = customer.join(F.broadcast(nation), customer["c_nationkey"] == nation["n_nationkey"], "left").select(
-        F.col("c_custkey").cast("string").alias("vehicle_id"),
-        F.col("c_mktsegment").alias("vehicle_type"),
-        F.col("n_name").alias("route"),
+    dims = customer.join(F.broadcast(nation), customer["c_nationkey"] == nation["n_nationkey"], "left").selectExpr(
+        "CAST(c_custkey AS STRING) AS vehicle_id", "c_mktsegment AS vehicle_type", "n_name AS route")
+    telematics = daily_telemetry.join(dims, "vehicle_id", "left").selectExpr(
+        "event_date AS date", "vehicle_id", "vehicle_type", "route", "daily_distance_km AS km_driven",
+        "avg_speed_kmh", "daily_idling_minutes AS idle_minutes",
+        "CAST(daily_harsh_events AS INT) AS harsh_braking_events",
     )
-    telematics = daily_telemetry.join(dims, "vehicle_id", "left").select(
-        F.col("event_date").alias("date"),
-        "vehicle_id", "vehicle_type", "route",
-        F.col("daily_distance_km").alias("km_driven"),
-        "avg_speed_kmh",
-        F.col("daily_idling_minutes").alias("idle_minutes"),
-        F.col("daily_harsh_events").cast("int").alias("harsh_braking_events"),
+    fuel_logs = daily_fuel.selectExpr(
+        "fill_date AS date", "vehicle_id", "daily_litres AS litres",
+        "try_divide(daily_fuel_cost_zar, daily_litres) AS cost_per_litre", "daily_fuel_cost_zar AS total_cost",
     )
-    fuel_logs = daily_fuel.select(
-        F.col("fill_date").alias("date"),
-        "vehicle_id",
-        F.col("daily_litres").alias("litres"),
-        safe_ratio("daily_fuel_cost_zar", "daily_litres").alias("cost_per_litre"),
-        F.col("daily_fuel_cost_zar").alias("total_cost"),
-    )
-    maint = maintenance.select(
-        "vehicle_id",
-        F.col("service_date").alias("scheduled_date"),
-        F.col("service_type").alias("maintenance_type"),
-        F.col("cost_zar").alias("cost"),
-        F.when(F.col("compliant") == 1, F.lit("Y")).otherwise(F.lit("N")).alias("completed"),
+    maint = maintenance.selectExpr(
+        "vehicle_id", "service_date AS scheduled_date", "service_type AS maintenance_type", "cost_zar AS cost",
+        "CASE WHEN compliant = 1 THEN 'Y' ELSE 'N' END AS completed",
     )
     return telematics, fuel_logs, maint

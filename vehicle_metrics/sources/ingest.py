@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, Thresholds
-from vehicle_metrics.functions.exprs import as_date, safe_ratio
+from vehicle_metrics.functions.exprs import as_date, date_sql, q, sql_double
 from vehicle_metrics.schemas import FUEL_SCHEMA, MAINTENANCE_SCHEMA, TELEMETRY_SCHEMA
 
 
@@ -40,9 +40,9 @@ def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> Data
     partition (lost executor) picks the same survivor.
     """
     rest = [c for c in df.columns if c != key and c not in order_by]
-    ordering = [*order_by, *rest]
-    kept = df.groupBy(key).agg(F.min(F.struct(*ordering)).alias("_keep"))
-    return kept.select(*[F.col(key) if c == key else F.col(f"_keep.{c}").alias(c) for c in df.columns])
+    ordering = ", ".join(q(c) for c in [*order_by, *rest])
+    kept = df.groupBy(key).agg(F.expr(f"min(struct({ordering})) AS _keep"))
+    return kept.selectExpr(*[q(c) if c == key else f"_keep.{q(c)} AS {q(c)}" for c in df.columns])
 
 
 # -- S1 telemetry -------------------------------------------------------------
@@ -50,10 +50,11 @@ def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> Data
 def clean_telemetry(df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """Dedupe on event_id, keep speeds inside the valid range (NULL speed is
     dropped too), add event_date and event_hour."""
+    lo, hi = sql_double(thresholds.speed_valid_min_kmh), sql_double(thresholds.speed_valid_max_kmh)
     return (
         dedupe_by_key(df, "event_id", ["event_timestamp"])
-        .filter(F.col("speed_kmh").between(thresholds.speed_valid_min_kmh, thresholds.speed_valid_max_kmh))
-        .withColumns({"event_date": F.to_date("event_timestamp"), "event_hour": F.hour("event_timestamp")})
+        .where(f"speed_kmh BETWEEN {lo} AND {hi}")
+        .selectExpr("*", "to_date(event_timestamp) AS event_date", "hour(event_timestamp) AS event_hour")
     )
 
 
@@ -69,9 +70,9 @@ def clean_fuel(df: DataFrame) -> DataFrame:
     cost_per_litre."""
     return (
         dedupe_by_key(df, "fuel_id", ["fill_timestamp"])
-        .filter(F.col("litres_filled") > 0)
-        .withColumns({"fill_date": F.to_date("fill_timestamp"),
-                      "cost_per_litre": safe_ratio("cost_zar", "litres_filled")})
+        .where("litres_filled > 0")
+        .selectExpr("*", "to_date(fill_timestamp) AS fill_date",
+                    "try_divide(cost_zar, litres_filled) AS cost_per_litre")
     )
 
 
@@ -84,13 +85,17 @@ def ingest_fuel(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:
 def clean_maintenance(df: DataFrame, as_of_date=None) -> DataFrame:
     """Dedupe on record_id; is_overdue = next service before the as-of date
     (NULL date -> 0); days_until_service = days from as-of to next service."""
-    as_of = as_date(as_of_date)
-    return (
-        dedupe_by_key(df, "record_id", ["service_date"])
-        .withColumns({
+    as_of = None if isinstance(as_of_date, Column) else date_sql(as_of_date)
+    if isinstance(as_of_date, Column):
+        as_of = as_date(as_of_date)
+        return dedupe_by_key(df, "record_id", ["service_date"]).withColumns({
             "is_overdue": F.when(F.col("next_service_date") < as_of, F.lit(1)).otherwise(F.lit(0)),
             "days_until_service": F.datediff(F.col("next_service_date"), as_of),
         })
+    return dedupe_by_key(df, "record_id", ["service_date"]).selectExpr(
+        "*",
+        f"CASE WHEN next_service_date < {as_of} THEN 1 ELSE 0 END AS is_overdue",
+        f"datediff(next_service_date, {as_of}) AS days_until_service",
     )
 
 
