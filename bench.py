@@ -54,7 +54,7 @@ def main() -> None:
 
     names = [n for n in HEADLINE if n in QUERIES]
     # Warm-up: JVM start, class loading, JIT and codegen caches (not timed).
-    for warm in ("ingest_telemetry", "master_kpi"):
+    for warm in ("ingest_telemetry", "master_kpi", "alert_summary", "master_kpi"):
         QUERIES[warm](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
