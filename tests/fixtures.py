@@ -3,7 +3,7 @@ edge rows)."""
 
 import datetime as dt
 
-from pyspark.sql import Row
+
 
 from vehicle_metrics.schemas import FUEL_SCHEMA, MAINTENANCE_SCHEMA, TELEMETRY_SCHEMA
 
@@ -74,5 +74,5 @@ def by_key(df, key="vehicle_id"):
     return {r[key]: r for r in df.collect()}
 
 
-__all__ = ["Row", "D", "T", "telemetry_rows", "fuel_rows", "maintenance_rows", "base_telemetry", "base_fuel",
+__all__ = ["D", "T", "telemetry_rows", "fuel_rows", "maintenance_rows", "base_telemetry", "base_fuel",
            "base_maintenance", "by_key"]

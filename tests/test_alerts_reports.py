@@ -1,7 +1,6 @@
 """Alerts (L1-L9) and reports."""
 
 from fixtures import D, T, base_fuel, base_maintenance, base_telemetry, maintenance_rows, telemetry_rows
-from pyspark.sql import functions as F
 
 from vehicle_metrics.config import Thresholds
 from vehicle_metrics.operators.alerts import (

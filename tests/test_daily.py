@@ -1,7 +1,6 @@
 """Daily rollups and the trailing window."""
 
-from fixtures import T, base_telemetry, by_key, telemetry_rows
-from pyspark.sql import functions as F
+from fixtures import T, base_telemetry, telemetry_rows
 
 from vehicle_metrics.operators.daily import aggregate_daily_telemetry, compute_rolling_kpis
 

@@ -3,7 +3,6 @@
 import os
 
 from fixtures import T
-from pyspark.sql import functions as F
 
 from vehicle_metrics.operators.alerts import generate_speed_alerts
 from vehicle_metrics.operators.daily import aggregate_daily_telemetry
