@@ -32,6 +32,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vehicle_metrics.functions.exprs import q
+
 _V = "_rank_value"
 _N = "_rank_rows"
 _B = "_rank_bucket"
@@ -83,13 +85,17 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool =
     """
     if nulls_first is None:
         nulls_first = ascending
-    x = F.col(order_col)
-    values = df.groupBy(x.alias(_V)).agg(F.count(F.lit(1)).alias(_N))
+    x = q(order_col)
+
+    def value_counts(frame: DataFrame) -> DataFrame:
+        return frame.groupBy(F.expr(f"{x} AS {_V}")).agg(F.expr(f"count(1) AS {_N}"))
+
+    values = value_counts(df)
     est = estimated_bytes(values)
     small = est is not None and est <= single_bucket_bytes and values_per_bucket >= 1_000_000
     if materialize:
         df = _checkpointed(df)
-        values = df.groupBy(x.alias(_V)).agg(F.count(F.lit(1)).alias(_N))
+        values = value_counts(df)
 
     if bounded_domain is not None:
         n_values, cuts = bounded_domain + 1, []
@@ -97,8 +103,7 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool =
         # small by estimate: one bucket, no job; the join side is sized by AQE at run time
         n_values, cuts = broadcast_values_limit + 1, []
     else:
-        n_buckets_max = max_buckets
-        probs = [i / n_buckets_max for i in range(1, n_buckets_max)]
+        probs = [i / max_buckets for i in range(1, max_buckets)]
         row = values.agg(
             F.count(F.lit(1)).alias("n"),
             F.percentile_approx(_V, probs, 10_000).alias("cuts"),
@@ -111,32 +116,35 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool =
         cuts = sorted({c for c in picked if c is not None})
 
     k = len(cuts) + 1
-    v = F.col(_V)
-    asc_bucket = _bucket_expr(v, cuts, 0, k - 1)
-    bucket = asc_bucket if ascending else F.lit(k - 1) - asc_bucket
-    null_bucket = F.lit(-1 if nulls_first else k)
-    values = values.withColumn(_B, F.when(v.isNull(), null_bucket).otherwise(bucket))
+    if cuts:
+        v = F.col(_V)
+        asc_bucket = _bucket_expr(v, cuts, 0, k - 1)
+        bucket = asc_bucket if ascending else F.lit(k - 1) - asc_bucket
+        null_bucket = F.lit(-1 if nulls_first else k)
+        values = values.withColumn(_B, F.when(v.isNull(), null_bucket).otherwise(bucket))
+    else:
+        values = values.selectExpr("*", f"CASE WHEN {_V} IS NULL THEN {-1 if nulls_first else 1} ELSE 0 END AS {_B}")
 
-    v_order = v.asc_nulls_first() if ascending else v.desc_nulls_last()
-    within = Window.partitionBy(_B).orderBy(v_order).rowsBetween(Window.unboundedPreceding, -1)
-    values = values.withColumn("_before", F.coalesce(F.sum(_N).over(within), F.lit(0)))
+    v_order = f"{_V} ASC NULLS FIRST" if ascending else f"{_V} DESC NULLS LAST"
+    values = values.selectExpr(
+        "*",
+        f"coalesce(sum({_N}) OVER (PARTITION BY {_B} ORDER BY {v_order} "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+    )
 
     # <= k + 2 rows: a global window here is over buckets, not rows.
-    per_bucket = values.groupBy(_B).agg(F.sum(_N).alias("_bucket_rows"))
-    offsets = per_bucket.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_bucket_rows").over(
-            Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select(_B, "_offset")
-
+    offsets = (
+        values.groupBy(_B).agg(F.expr(f"sum({_N}) AS _bucket_rows"))
+        .selectExpr(_B, "coalesce(sum(_bucket_rows) OVER (ORDER BY "
+                        f"{_B} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _offset")
+    )
     ranked_values = (
         values.join(F.broadcast(offsets), on=_B)
-        .select(v, (F.lit(1) + F.col("_offset") + F.col("_before")).cast("int").alias(rank_col))
+        .selectExpr(_V, f"CAST(1 + _offset + _before AS INT) AS {q(rank_col)}")
     )
     if n_values <= broadcast_values_limit:
         ranked_values = F.broadcast(ranked_values)
-    joined = df.join(ranked_values, x.eqNullSafe(F.col(_V)), "left")
-    return joined.drop(_V)
+    return df.join(ranked_values, F.expr(f"{x} <=> {_V}"), "left").drop(_V)
 
 
 def plain_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = True) -> DataFrame:
