@@ -135,3 +135,20 @@ def test_validate_join_keys_null_ids_compare_equal(spark):
     exp = sorted([(r[0], "no_fuel_records") for r in exp_fuel] + [(r[0], "no_maintenance_records") for r in exp_maint],
                  key=lambda r: (str(r[0]), r[1]))
     assert [tuple(r) for r in got] == exp
+
+
+def test_dedupe_paths_agree(spark):
+    """No-duplicate pass-through, broadcast of rare repeated keys and the full
+    grouped form give the same rows."""
+    from vehicle_metrics.sources.ingest import _min_row_per_key
+
+    base = spark.range(0, 2000).select(
+        F.col("id").cast("string").alias("k"), (F.col("id") % 7).alias("a"), (F.col("id") * 3).alias("c"))
+    rare = base.unionByName(base.where("id % 100 = 0").withColumn("a", F.lit(-1)))  # ~1% repeated
+    many = base.unionByName(base.where("id % 3 = 0").withColumn("a", F.lit(-1)))   # ~50% repeated
+    nulls = rare.unionByName(spark.createDataFrame([(None, 1, 1), (None, 0, 2)], "k string, a long, c long"))
+    for df in (base, rare, many, nulls):
+        exp = sorted(map(tuple, _min_row_per_key(df, "k", ["a"]).collect()), key=str)
+        got = sorted(map(tuple, dedupe_by_key(df, "k", ["a"]).collect()), key=str)
+        assert got == exp
+    assert dedupe_by_key(base, "k", ["a"]) is base

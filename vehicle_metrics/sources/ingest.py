@@ -29,20 +29,57 @@ def read_source(spark: SparkSession, path, schema: StructType, fmt: str = "parqu
     return reader.format(fmt).load(paths)
 
 
-def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
+def _min_row_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    rest = [c for c in df.columns if c != key and c not in order_by]
+    ordering = ", ".join(q(c) for c in [*order_by, *rest])
+    kept = df.groupBy(key).agg(F.expr(f"min(struct({ordering})) AS _keep"))
+    return kept.selectExpr(*[q(c) if c == key else f"_keep.{q(c)} AS {q(c)}" for c in df.columns])
+
+
+def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str] = (),
+                  broadcast_keys_limit: int | None = 2_000_000, max_repeated_share: float = 0.05) -> DataFrame:
     """Keep exactly one row per ``key``, chosen deterministically.
 
     The survivor is the smallest row when compared on ``order_by`` first and
-    then on every other column (ascending, NULLs first). Expressed as a
-    grouped ``min`` over a struct, so the choice is made with a map-side
-    partial aggregate: a key repeated millions of times is collapsed before
-    the shuffle instead of being sorted inside one task, and a recomputed
+    then on every other column (ascending, NULLs first), computed as a
+    grouped ``min`` over a struct: a partial aggregate collapses a key
+    repeated millions of times before the shuffle, and a recomputed
     partition (lost executor) picks the same survivor.
+
+    Duplicates are usually rare, so whole rows are not shuffled blindly.
+    One job counts rows per key over the key column alone (hash partial
+    aggregation) and measures the rows, the repeated keys and the rows
+    under them:
+
+    * no repeated key: the input is returned as is (no payload shuffle);
+    * at most ``broadcast_keys_limit`` repeated keys holding at most
+      ``max_repeated_share`` of the rows: that key set is broadcast, rows
+      with a unique key pass through map-side (broadcast anti join) and only
+      the repeated rows go through the grouped ``min``;
+    * otherwise every row goes through the grouped ``min``.
+
+    ``broadcast_keys_limit=None`` skips the measuring job (always grouped).
     """
-    rest = [c for c in df.columns if c != key and c not in order_by]
-    ordering = ", ".join(q(c) for c in [*order_by, *rest])
-    kept = df.groupBy(key).agg(F.expr(f"min(struct({ordering})) AS _keep"))
-    return kept.selectExpr(*[q(c) if c == key else f"_keep.{q(c)} AS {q(c)}" for c in df.columns])
+    if broadcast_keys_limit is None:
+        return _min_row_per_key(df, key, order_by)
+    k = q(key)
+    per_key = df.groupBy(F.expr(f"{k} AS _dup_key")).agg(F.expr("count(1) AS _rows"))
+    stats = per_key.agg(
+        F.expr("sum(_rows) AS total_rows"),
+        F.expr("count_if(_rows > 1) AS repeated_keys"),
+        F.expr("sum(CASE WHEN _rows > 1 THEN _rows ELSE 0 END) AS repeated_rows"),
+    ).first()
+    repeated_keys = int(stats["repeated_keys"] or 0)
+    if repeated_keys == 0:
+        return df
+    total, repeated_rows = int(stats["total_rows"]), int(stats["repeated_rows"])
+    if repeated_keys > broadcast_keys_limit or repeated_rows > max_repeated_share * total:
+        return _min_row_per_key(df, key, order_by)
+    dups = F.broadcast(per_key.where("_rows > 1").select("_dup_key"))
+    same_key = F.expr(f"{k} <=> _dup_key")
+    unique_rows = df.join(dups, same_key, "left_anti")
+    repeated = df.join(dups, same_key, "left_semi")
+    return unique_rows.unionByName(_min_row_per_key(repeated, key, order_by))
 
 
 # -- S1 telemetry -------------------------------------------------------------
