@@ -47,3 +47,19 @@ def test_batch_job_cli(spark, scratch):
     assert kpi["V001"]["harsh_driving_flag"] == 1 and kpi["V002"]["service_due_soon_flag"] == 1
     alerts = spark.read.parquet(paths["alerts"])
     assert alerts.filter("alert_type = 'SERVICE_DUE_SOON'").count() == 1
+
+
+def test_batch_outputs_read_materialised_master(spark, scratch):
+    """After materialisation, the scored table is planned over the written
+    master table, not recomputed from telemetry."""
+    import dataclasses
+
+    from vehicle_metrics.plans.fleet import materialize
+
+    plan = FleetPlan.from_testdata(spark, SF)
+    master = materialize(spark, plan.master, "master_test", root=scratch)
+    staged = dataclasses.replace(plan, overrides={"master": master})
+    assert staged.master is master
+    from vehicle_metrics.operators.alerts import kpi_alerts_one_pass
+    files = kpi_alerts_one_pass(staged.master).inputFiles()
+    assert files and all("master_test" in f for f in files)

@@ -10,6 +10,7 @@ recomputes from the written table) and writes the curated outputs.
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -146,7 +147,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir (set only
     when absent, e.g. in local tests)."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
+    try:
+        sc_dir = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext on this client
+        sc_dir = None
     root = sc_dir or conf_dir
     if not root:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for this cluster")
@@ -167,11 +171,9 @@ def run_daily_batch(spark: SparkSession, plan: FleetPlan, output_root: str, fmt:
     rollup once, then derive and write the curated outputs from them."""
     telemetry = materialize(spark, plan.telemetry, "telemetry")
     parts = materialize(spark, daily.daily_telemetry_parts(telemetry), "daily_parts")
-    staged = FleetPlan(plan.raw_telemetry, plan.raw_fuel, plan.raw_maintenance, plan.as_of_date, plan.as_of_ts,
-                       plan.thresholds, plan.weights, plan.customer, plan.nation,
-                       overrides={"telemetry": telemetry, "daily_parts": parts})
-    master = materialize(spark, staged.master, "master")
-    staged.overrides["master"] = master
+    overrides = {"telemetry": telemetry, "daily_parts": parts}
+    master = materialize(spark, dataclasses.replace(plan, overrides=dict(overrides)).master, "master")
+    staged = dataclasses.replace(plan, overrides={**overrides, "master": master})
     tables = {
         "kpi_master": staged.scored,
         "alerts": staged.alerts,
