@@ -2,9 +2,10 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query is executed to completion with the ``noop`` sink (full
-computation, no driver collect). The daily batch (materialised
-intermediates + curated output tables) is timed as one more entry.
+Each query is built and executed to completion with the ``noop`` sink
+(full computation, no driver collect); the best of ``BENCH_REPEATS``
+(default 2) runs is reported. The daily batch (materialised
+intermediates + curated output tables) is timed once as one more entry.
 Prints one JSON line.
 """
 
@@ -18,6 +19,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
+
 HEADLINE = [
     "ingest_telemetry", "ingest_fuel", "ingest_maintenance", "validate_join_keys",
     "master_kpi", "vehicle_risk", "fleet_summary", "driver_ranking",
@@ -57,11 +60,16 @@ def main() -> None:
     for warm in ("ingest_telemetry", "master_kpi", "alert_summary", "master_kpi"):
         QUERIES[warm](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
+    # Each query is built and run end to end twice; the faster run is kept
+    # (the local VM adds several seconds of jitter to single runs).
     times: dict[str, float] = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(REPEATS):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(min(runs), 3)
 
     t0 = time.perf_counter()
     run_daily_batch(spark, FleetPlan.from_testdata(spark, sf_dir), os.path.join(scratch, "out"))
@@ -75,6 +83,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": int(cpus),
+        "method": f"best of {REPEATS} end-to-end runs per query (plan build + execution, noop sink)",
     }))
     spark.stop()
 
