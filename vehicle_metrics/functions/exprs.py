@@ -1,4 +1,5 @@
-"""Column expressions shared by the operators (all JVM-side built-ins)."""
+"""Expressions shared by the operators (all JVM-side built-ins): SQL-text
+builders for projections and a few Column helpers."""
 
 from __future__ import annotations
 
@@ -21,28 +22,6 @@ def safe_ratio(num, den) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
-def per_100km(events, distance, scale: int = 2) -> Column:
-    """round(events / distance * 100, scale), NULL for zero distance."""
-    return F.round(safe_ratio(events, distance) * F.lit(100), scale)
-
-
-def pct(rate, scale: int = 1) -> Column:
-    return F.round(_col(rate) * F.lit(100), scale)
-
-
-def flag(condition: Column) -> Column:
-    """1 when the condition holds, else 0 (a NULL condition gives 0)."""
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
-
-
-def severity_level(severity="severity") -> Column:
-    sev = _col(severity)
-    expr = None
-    for level, name in enumerate(SEVERITY_ORDER):
-        expr = F.when(sev == name, F.lit(level)) if expr is None else expr.when(sev == name, F.lit(level))
-    return expr.otherwise(F.lit(len(SEVERITY_ORDER)))
-
-
 def as_date(value) -> Column:
     """An as-of date: None -> current_date(), str/date -> literal, Column as is."""
     if value is None:
@@ -54,21 +33,6 @@ def as_date(value) -> Column:
     return F.lit(str(value)).cast("date")
 
 
-def as_timestamp(value, ntz: bool = True) -> Column:
-    """An as-of timestamp: None -> current_timestamp(); str/datetime -> literal.
-
-    A literal is typed ``timestamp_ntz`` by default, so its wall-clock value
-    does not depend on the session time zone.
-    """
-    if value is None:
-        return F.current_timestamp()
-    if isinstance(value, Column):
-        return value
-    if isinstance(value, _dt.datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.lit(str(value)).cast("timestamp_ntz" if ntz else "timestamp")
-
-
 # -- SQL-text forms ------------------------------------------------------------
 # Each DataFrame-API call is a round trip to the JVM; a projection written as
 # SQL text is parsed there in one call, which keeps plan construction cheap
