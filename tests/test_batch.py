@@ -42,7 +42,11 @@ def test_batch_job_cli(spark, scratch):
         "--telemetry", os.path.join(scratch, "tele"), "--fuel", os.path.join(scratch, "fuel"),
         "--maintenance", os.path.join(scratch, "maint"), "--out", os.path.join(scratch, "out"),
         "--as-of-date", "2024-06-01", "--as-of-ts", "2024-06-03 00:00:00",
+        "--reports-out", os.path.join(scratch, "reports"),
     ], spark=spark)
+    perf = spark.read.option("header", "true").csv(paths["performance_report"])
+    assert "priority_rank" in perf.columns and perf.count() == 2
+    assert spark.read.option("header", "true").csv(paths["alert_report"]).count() > 0
     kpi = {r["vehicle_id"]: r for r in spark.read.parquet(paths["kpi_master"]).collect()}
     assert kpi["V001"]["harsh_driving_flag"] == 1 and kpi["V002"]["service_due_soon_flag"] == 1
     alerts = spark.read.parquet(paths["alerts"])

@@ -33,6 +33,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--out", required=True)
     p.add_argument("--format", default="parquet", help="input format (parquet or csv)")
     p.add_argument("--output-format", default="parquet")
+    p.add_argument("--reports-out", default=None, help="also write the reports as CSV under this path")
     p.add_argument("--as-of-date", default=None, help="YYYY-MM-DD; default: today")
     p.add_argument("--as-of-ts", default=None, help="'YYYY-MM-DD HH:MM:SS'; default: now")
     p.add_argument("--observation-days", type=int, default=DEFAULT_THRESHOLDS.observation_days)
@@ -49,7 +50,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict[str, str]:
         lambda: read_source(spark, args.maintenance, MAINTENANCE_SCHEMA, args.format),
         as_of_date=args.as_of_date, as_of_ts=args.as_of_ts, thresholds=thresholds,
     )
-    paths = run_daily_batch(spark, plan, args.out, args.output_format)
+    paths = run_daily_batch(spark, plan, args.out, args.output_format, reports_root=args.reports_out)
     print(json.dumps(paths))
     return paths
 

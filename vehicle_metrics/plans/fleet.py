@@ -21,7 +21,7 @@ from vehicle_metrics.config import DEFAULT_THRESHOLDS, DEFAULT_WEIGHTS, RiskWeig
 from vehicle_metrics.operators import alerts, daily, daily_log, kpi, reports, risk
 from vehicle_metrics.sources import adapters
 from vehicle_metrics.sources.ingest import clean_fuel, clean_maintenance, clean_telemetry, validate_join_keys
-from vehicle_metrics.sources.sinks import write_outputs
+from vehicle_metrics.sources.sinks import write_outputs, write_reports
 
 
 def _resolve(x):
@@ -166,9 +166,11 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, root: str | None
     return spark.read.parquet(path)
 
 
-def run_daily_batch(spark: SparkSession, plan: FleetPlan, output_root: str, fmt: str = "parquet") -> dict[str, str]:
+def run_daily_batch(spark: SparkSession, plan: FleetPlan, output_root: str, fmt: str = "parquet",
+                    reports_root: str | None = None) -> dict[str, str]:
     """Entry point A + B: materialise the cleaned telemetry and the daily
-    rollup once, then derive and write the curated outputs from them."""
+    rollup once, then derive and write the curated outputs from them; with
+    ``reports_root``, also write the P1-P5 reports as CSV."""
     telemetry = materialize(spark, plan.telemetry, "telemetry")
     parts = materialize(spark, daily.daily_telemetry_parts(telemetry), "daily_parts")
     overrides = {"telemetry": telemetry, "daily_parts": parts}
@@ -181,4 +183,15 @@ def run_daily_batch(spark: SparkSession, plan: FleetPlan, output_root: str, fmt:
         "driver_ranking": staged.drivers,
         "daily_telemetry": staged.daily_telemetry,
     }
-    return write_outputs(tables, output_root, fmt)
+    paths = write_outputs(tables, output_root, fmt)
+    if reports_root:
+        alerts_table = spark.read.parquet(paths["alerts"]) if fmt == "parquet" else staged.alerts
+        reports_out = {
+            "performance_report": staged.report_performance(),
+            "weekly_trend_report": staged.report_weekly_trend(),
+            "maintenance_report": staged.report_maintenance(),
+            "cost_report": staged.report_cost(),
+            "alert_report": reports.build_alert_report(alerts_table),
+        }
+        paths.update(write_reports(reports_out, reports_root))
+    return paths

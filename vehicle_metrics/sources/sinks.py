@@ -42,3 +42,15 @@ def write_outputs(tables: Mapping[str, DataFrame], root: str, fmt: str = "parque
         write_table(df, path, fmt, OUTPUT_LAYOUT.get(name, ()))
         paths[name] = path
     return paths
+
+
+def write_reports(reports: Mapping[str, DataFrame], root: str) -> dict[str, str]:
+    """Report tables (P1-P5) as headed CSV under ``root/<name>`` for export
+    (spreadsheets, BI tools). Reports are small, per-entity or per-group
+    tables; each is written by as many tasks as it has partitions."""
+    paths = {}
+    for name, df in reports.items():
+        path = f"{root.rstrip('/')}/{name}"
+        write_table(df, path, fmt="csv")
+        paths[name] = path
+    return paths
