@@ -64,3 +64,17 @@ def test_stream_daily_rollup_equals_batch(spark, scratch):
     # the last day stays open (watermark has not passed it); earlier days are final
     assert got == {k: v for k, v in exp.items() if k != ("V2", "2024-06-06")}
     assert got[("V1", "2024-06-01")] == 15.0  # duplicate E2 dropped
+
+
+def test_speed_alert_stream_to_parquet_resumes(spark, scratch):
+    from vehicle_metrics.streaming import start_speed_alert_stream
+
+    _write_batches(spark, scratch)
+    sink, ckpt = os.path.join(scratch, "alerts"), os.path.join(scratch, "ckpt", "sink")
+    q = start_speed_alert_stream(spark, os.path.join(scratch, "in", "*"), sink, ckpt)
+    q.awaitTermination(120)
+    first = spark.read.parquet(sink).count()
+    # a second run over the same files finds nothing new (progress is in the checkpoint)
+    q = start_speed_alert_stream(spark, os.path.join(scratch, "in", "*"), sink, ckpt)
+    q.awaitTermination(120)
+    assert first == 2 and spark.read.parquet(sink).count() == 2

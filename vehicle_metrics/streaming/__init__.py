@@ -1,8 +1,9 @@
 from vehicle_metrics.streaming.telemetry import (
     read_telemetry_stream,
+    start_speed_alert_stream,
     stream_clean_telemetry,
     stream_daily_rollup,
     stream_speed_alerts,
 )
 
-__all__ = ["read_telemetry_stream", "stream_clean_telemetry", "stream_daily_rollup", "stream_speed_alerts"]
+__all__ = ["read_telemetry_stream", "start_speed_alert_stream", "stream_clean_telemetry", "stream_daily_rollup", "stream_speed_alerts"]

@@ -74,3 +74,17 @@ def stream_daily_rollup(clean_stream_df: DataFrame) -> DataFrame:
         "daily_harsh_events": F.col("daily_harsh_braking") + F.col("daily_harsh_accel"),
     }
     return agg.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in DAILY_COLUMNS])
+
+
+def start_speed_alert_stream(spark: SparkSession, source_path: str, sink_path: str, checkpoint_location: str,
+                             fmt: str = "parquet", thresholds: Thresholds = DEFAULT_THRESHOLDS,
+                             available_now: bool = True):
+    """readStream (telemetry files) -> speed alerts -> Parquet files
+    partitioned by alert_date. The checkpoint location (a shared folder)
+    records progress, so a restarted query resumes without duplicates;
+    ``available_now`` processes what is there and stops (scheduled runs)."""
+    alerts = stream_speed_alerts(read_telemetry_stream(spark, source_path, fmt), thresholds)
+    writer = (alerts.writeStream.format("parquet").option("path", sink_path)
+              .option("checkpointLocation", checkpoint_location).partitionBy("alert_date").outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
