@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import dataclasses
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -58,6 +59,15 @@ class FleetPlan:
     def _get(self, name: str, build):
         return self.overrides[name] if name in self.overrides else build()
 
+    def _prefetch(self, *names: str) -> None:
+        """Build several sources at once: cleaning a source runs a small
+        key-count job, and independent jobs can share the cluster."""
+        missing = [n for n in names if n not in self.__dict__ and n not in self.overrides]
+        if len(missing) > 1:
+            with ThreadPoolExecutor(max_workers=len(missing)) as pool:
+                for future in [pool.submit(getattr, self, n) for n in missing]:
+                    future.result()
+
     # sources
     @cached_property
     def telemetry(self) -> DataFrame:
@@ -73,6 +83,7 @@ class FleetPlan:
 
     @cached_property
     def coverage_issues(self) -> DataFrame:
+        self._prefetch("telemetry", "fuel", "maintenance")
         return validate_join_keys(self.telemetry, self.fuel, self.maintenance)
 
     # time series
@@ -95,6 +106,8 @@ class FleetPlan:
     # KPIs and risk
     @cached_property
     def master(self) -> DataFrame:
+        if "master" not in self.overrides:
+            self._prefetch("telemetry", "fuel", "maintenance")
         return self._get("master", lambda: kpi.build_master_kpi(
             self.telemetry, self.fuel, self.maintenance, thresholds=self.thresholds,
             daily_parts=self.daily_parts))
