@@ -27,12 +27,12 @@ def _op1() -> str:
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
 w AS (SELECT rid, doc_id, body, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS w,
-  list_filter(string_split(body, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+  list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
 tri AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win
   FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS c FROM tri) WHERE c > 1),
 rep AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY rid),
-m AS (SELECT rid, doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+m AS (SELECT rid, doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
   length(regexp_replace(body, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
   len(lines)::BIGINT AS n_lines, length(regexp_replace(body, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals
@@ -41,7 +41,7 @@ good_ids AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS N
 good AS (SELECT * FROM m WHERE doc_id IN (SELECT doc_id FROM good_ids) AND NOT {BASE_FAILED}),
 candidates AS ({_candidates()}),
 certified AS (SELECT stratum, rule, cutoff FROM candidates WHERE n > 0 AND k < n * {p!r}::DOUBLE AND
-  list_sum(list_transform(range(0, k + 1), i -> exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+  list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
     + i * ln({p!r}::DOUBLE) + (n - i) * ln(1 - {p!r}::DOUBLE)))) <= {_RISK.alpha!r}::DOUBLE)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals,
   {BASE_FAILED} AS base_failed, NOT ({BASE_FAILED} OR {rejects}) AS kept FROM m
