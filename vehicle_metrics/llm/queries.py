@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vehicle_metrics.llm import (
     bpe,
+    cotraining,
     decontamination,
+    html_content,
     language_id,
+    lm_mixing,
     quality_rules,
     sharding,
     simhash_golay,
+    toxicity,
 )
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -33,6 +37,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -45,15 +53,28 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op6_lm_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_mixing.score(_table(spark, sf_dir, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_sharding, op4_language_id, op5_bpe, op8_decontamination,
-                            op10_simhash)
+    f.__name__: f for f in (
+        op1_quality_rules, op2_toxicity, op3_sharding, op4_language_id, op5_bpe, op6_lm_mixing, op7_quality_classifier,
+        op8_decontamination, op9_html_content, op10_simhash)
 }
