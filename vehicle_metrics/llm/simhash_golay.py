@@ -4,16 +4,20 @@ A fingerprint is 64 bits over word shingles. Pairs at a distance of at most 4
 bits are found without comparing all pairs:
 
 * the fingerprint is cut into three segments of 22, 21 and 21 bits; with at
-  most 4 differing bits some two segments differ in at most 2 bits together;
+  most 4 differing bits some two segments i and j differ in at most 2 bits
+  together: one bit each, or two in one of them;
 * a segment, padded to 23 bits, decodes to one codeword of the perfect binary
-  (23, 12) Golay code. ``near`` codewords are those to which the segment or
-  any of its one-bit neighbours decodes. Two segments one bit apart: the
-  codeword of one is near for the other. Two segments two bits apart share a
-  near codeword through the segment between them;
-* so for each of the three segment pairs (i, j) a fingerprint emits the keys
-  (near i, own j) and (own i, near j), about 29 in all, and any pair within 4
-  bits meets in at least one key. A join on the key and an exact bit count
-  verify.
+  (23, 12) Golay code, its ``own``. The ``near`` codewords are those to which
+  the segment or any of its one-bit neighbours decodes. Of two segments one
+  bit apart, the codeword of one is near for the other; two segments two bits
+  apart share a near codeword through the segment between them;
+* one bit each: the bit of segment i lies in one half, so the other half is
+  equal. Keys (equal half of i, near i, own j) and (equal half of i, own i,
+  near j), where the near codewords of i use only bits of the unequal half;
+* two bits in one segment: keys (i whole, near j) and (near i, j whole).
+
+Every key has about 34 bits, a fingerprint emits about 80, and any pair within
+4 bits meets in at least one. A join on the key and an exact bit count verify.
 
 Only distinct fingerprints are keyed, so exact copies cost nothing. A key
 shared by very many fingerprints is not expanded into pairs: its members are
@@ -113,20 +117,29 @@ def key_maker():
     decode = golay_decoder()
 
     def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        own, near = [], []
+        whole, near, own = [], [], []
         for first, width in SEGMENTS:
-            seg = (fps >> np.uint64(first)).astype(np.int64) & ((1 << width) - 1)
-            flips = np.concatenate([[0], 1 << np.arange(width)])
-            near.append(decode(seg[:, None] ^ flips[None, :]))
-            own.append(near[-1][:, 0])
+            whole.append((fps >> np.uint64(first)).astype(np.int64) & ((1 << width) - 1))
+            near.append(decode(whole[-1][:, None] ^ np.concatenate([[0], 1 << np.arange(width)])))
+            own.append(near[-1][:, :1])
         rows, out = [], []
-        for p, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
-            k = np.concatenate([near[i] << 12 | own[j][:, None], own[i][:, None] << 12 | near[j]], axis=1)
-            k.sort(axis=1)
-            first = np.ones(k.shape, bool)
-            first[:, 1:] = k[:, 1:] != k[:, :-1]
+
+        def emit(kind: int, key: np.ndarray) -> None:
+            key.sort(axis=1)
+            first = np.ones(key.shape, bool)
+            first[:, 1:] = key[:, 1:] != key[:, :-1]
             rows.append(np.nonzero(first)[0])
-            out.append(k[first] | p << 24)
+            out.append(key[first] | kind << 40)
+
+        for p, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
+            half = SEGMENTS[i][1] // 2
+            bits = np.arange(SEGMENTS[i][1] + 1)  # column 0 of `near` flips nothing, column b + 1 flips bit b
+            for side, (same, unequal) in enumerate((
+                    (whole[i] & ((1 << half) - 1), (bits == 0) | (bits > half)), (whole[i] >> half, bits <= half))):
+                codes = np.concatenate([near[i][:, unequal] << 12 | own[j], own[i] << 12 | near[j]], axis=1)
+                emit(4 * p + side, same[:, None] << 24 | codes)
+            emit(4 * p + 2, whole[i][:, None] << 12 | near[j])
+            emit(4 * p + 3, whole[j][:, None] << 12 | near[i])
         return np.concatenate(rows), np.concatenate(out)
 
     return keys
@@ -154,15 +167,15 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     another one; ``component`` is the smallest fingerprint reachable."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"max_bits must be 0 to {MAX_BITS}")
-    keyed = materialize(_keyed(fps), "golay_keys")
-    pivots = keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("top")).where("pivot < top")
-    pivots = materialize(pivots.select("key", "pivot"), "golay_pivots")
-    starred = (keyed.join(pivots, "key").where("fp <> pivot AND " + _close("fp", "pivot", max_bits))
+    keyed = _keyed(fps)
+    pivots = (keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("top")).where("pivot < top")
+              .select("key", "pivot"))
+    shared = materialize(keyed.join(pivots, "key"), "golay_shared")
+    starred = (shared.where("fp <> pivot AND " + _close("fp", "pivot", max_bits))
                .selectExpr("fp AS src", "pivot AS dst").distinct())
     first = connected_components(starred)
 
     # What the stars left open: keys whose members lie in several components.
-    shared = keyed.join(pivots.select("key"), "key")
     labelled = materialize(
         shared.join(first.withColumnRenamed("node", "fp"), "fp", "left")
         .selectExpr("key", "fp", "coalesce(component, fp) AS label"), "golay_labelled")
@@ -193,7 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))
     rows = materialize(add_fingerprints(rows, "fp", "body", shingle_words).select("id", "fp"), "fingerprints")
-    low = rows.groupBy("fp").agg(F.min("id").alias("low"))
+    low = materialize(rows.groupBy("fp").agg(F.min("id").alias("low")), "fingerprint_ids")
     linked = fingerprint_components(low, max_bits)
     merged = low.join(linked, "fp", "left").selectExpr("fp", "low", "coalesce(component, fp) AS component")
     merged = materialize(merged, "fingerprint_components")
@@ -211,7 +224,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     tagged = add_fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), fp, text_col, shingle_words)
     tagged = materialize(tagged, "fingerprinted_docs")
     best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col(row).alias("row")))
-    low = tagged.groupBy(F.col(fp).alias("fp")).agg(best.alias("best"))
+    low = materialize(tagged.groupBy(F.col(fp).alias("fp")).agg(best.alias("best")), "fingerprint_ids")
     linked = fingerprint_components(low, max_bits)
     keep = (low.join(linked, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component"))
             .agg(F.min("best").alias("best")).selectExpr(f"best.row AS `{row}`"))
