@@ -4,8 +4,15 @@ A test item of m characters is looked for anywhere in a document with at most
 e = floor(rate * m) edits (insertions, deletions, substitutions). The item is
 split into e + 1 pieces; e edits leave at least one piece untouched, so every
 match holds an exact piece hit. One Aho-Corasick pass over the document finds
-the hits of all pieces of all items; around each hit the window that a match
-could cover is verified with Myers' bit-parallel edit distance.
+the hits of all pieces of all items, and each hit is verified with Myers'
+bit-parallel edit distance.
+
+A hit is verified upwards. The pieces are the leaves of a balanced tree; a
+node over p pieces may hold p - 1 edits, because if both halves had at least
+as many edits as pieces, the node would have p or more. So on the way from the
+item down to some untouched piece every node is within its own budget, and a
+hit is given up at the first node on its way up that is not. Chance hits end
+after a short comparison.
 
 Texts are compared after lower-casing A-Z and turning every run of white
 space into one space.
@@ -13,7 +20,6 @@ space into one space.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -37,22 +43,32 @@ def budget(length: int, rate: float, min_chars: int) -> int:
     return int(rate * length) if length >= min_chars else 0
 
 
-def pieces(item: str, errors: int) -> Iterator[tuple[int, str]]:
-    """(offset, piece): errors + 1 consecutive pieces, lengths at most one apart."""
-    n = errors + 1
-    for i in range(n):
-        a, b = i * len(item) // n, (i + 1) * len(item) // n
-        yield a, item[a:b]
+def cuts(length: int, errors: int) -> list[int]:
+    """Ends of errors + 1 consecutive pieces whose lengths are at most one apart."""
+    return [i * length // (errors + 1) for i in range(errors + 2)]
+
 
+def climb(piece: int, pieces: int) -> list[tuple[int, int]]:
+    """The ranges of pieces of the tree nodes above a piece, the lowest first."""
+    path, a, b = [], 0, pieces
+    while b - a > 1:
+        path.append((a, b))
+        middle = (a + b + 1) // 2
+        a, b = (a, middle) if piece < middle else (middle, b)
+    return path[::-1]
 
-def myers(pattern: str, text: str) -> tuple[int, int]:
-    """(distance, end): the least edit distance between ``pattern`` and any
-    substring of ``text``, and where the first such substring ends. One
-    Python integer holds a whole column of the distance matrix."""
-    m = len(pattern)
+
+def char_masks(pattern: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(pattern):
         masks[c] = masks.get(c, 0) | 1 << i
+    return masks
+
+
+def myers(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
+    """(distance, end): the least edit distance between the pattern of ``m``
+    characters and any substring of ``text``, and where the first such
+    substring ends. One Python integer holds a column of the distance matrix."""
     full, last = (1 << m) - 1, 1 << (m - 1)
     plus, minus, now, best, end = full, 0, m, m, 0
     for at, c in enumerate(text, 1):
@@ -78,41 +94,54 @@ def matcher(items: list[tuple[int, str]], rate: float, min_chars: int):
     import ahocorasick
 
     budgets = [budget(len(t), rate, min_chars) for _, t in items]
+    ends = [cuts(len(t), e) for (_, t), e in zip(items, budgets)]
     places: dict[str, list[tuple[int, int]]] = {}
     for i, (_, t) in enumerate(items):
-        for offset, piece in pieces(t, budgets[i]) if t else ():
-            places.setdefault(piece, []).append((i, offset))
+        for p, (a, b) in enumerate(zip(ends[i], ends[i][1:])) if t else ():
+            places.setdefault(t[a:b], []).append((i, p))
     machine = ahocorasick.Automaton()
     for piece, where in places.items():
         machine.add_word(piece, (len(piece), where))
     if places:
         machine.make_automaton()
+    masks: dict[tuple[int, int, int], dict[str, int]] = {}
+
+    def exact(i: int, text: str, at: int) -> bool:
+        whole = len(items[i][1]) >= min_chars
+        after = at + len(items[i][1])
+        return whole or ((at == 0 or text[at - 1] == " ") and (after == len(text) or text[after] == " "))
+
+    def near(i: int, a: int, b: int, text: str, start: int, slack: int) -> tuple[int, int]:
+        """The best match of characters a to b of item i around ``start``."""
+        if (i, a, b) not in masks:
+            masks[i, a, b] = char_masks(items[i][1][a:b])
+        begin = max(0, start - slack)
+        distance, end = myers(masks[i, a, b], b - a, text[begin:start + b - a + slack])
+        return distance, begin + end
 
     def find(text: str) -> dict[int, tuple[int, int]]:
-        windows: dict[int, list[list[int]]] = {}
-        for end, (length, where) in machine.iter(text) if places else ():
-            at = end + 1 - length
-            for i, offset in where:
-                e = budgets[i]
-                a, b = max(0, at - offset - e), min(len(text), at - offset + len(items[i][1]) + e)
-                spans = windows.setdefault(i, [])
-                if spans and a <= spans[-1][0] + e and a >= spans[-1][0] - e and b >= spans[-1][0]:
-                    spans[-1][0], spans[-1][1] = min(a, spans[-1][0]), max(b, spans[-1][1])
-                else:
-                    spans.append([a, b])
-        found = {}
-        for i, spans in windows.items():
-            item, e = items[i][1], budgets[i]
-            for a, b in spans:
+        found: dict[int, tuple[int, int]] = {}
+        tried: dict[int, list[int]] = {}  # where items were verified whole
+        for last, (length, where) in machine.iter(text) if places else ():
+            at = last + 1 - length
+            for i, p in where:
+                cut, e, size = ends[i], budgets[i], len(items[i][1])
+                start = at - cut[p]
                 if e == 0:
-                    m = re.search(rf"(?<!\S){re.escape(item)}(?!\S)" if len(item) < min_chars else re.escape(item),
-                                  text[max(0, a - 1):b + 1])
-                    hit = (0, max(0, a - 1) + m.end()) if m else None
+                    if exact(i, text, at) and i not in found:
+                        found[i] = 0, at + size
+                    continue
+                # A whole verification reaches 2 e characters to each side, so it covers what starts within e.
+                if any(abs(start - s) <= e for s in tried.get(i, ())):
+                    continue
+                for a, b in climb(p, e + 1)[:-1]:
+                    if near(i, cut[a], cut[b], text, start + cut[a], b - a - 1)[0] > b - a - 1:
+                        break
                 else:
-                    distance, end = myers(item, text[a:b])
-                    hit = (distance, a + end) if distance <= e else None
-                if hit and (i not in found or hit < found[i]):
-                    found[i] = hit
+                    tried.setdefault(i, []).append(start)
+                    hit = near(i, 0, size, text, start, 2 * e)
+                    if hit[0] <= e and (i not in found or hit < found[i]):
+                        found[i] = hit
         return found
 
     return find
