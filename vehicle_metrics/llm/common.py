@@ -53,14 +53,15 @@ def blocks(sizes: list[int], rows: int = BLOCK_ROWS, size: int = BLOCK_BYTES) ->
         yield start, len(sizes)
 
 
-def text_blocks(batches: Iterable[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def text_blocks(batches: Iterable[pa.RecordBatch], text_col: str,
+                size: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Record batches cut into blocks of bounded size, each with the texts'
     UTF-8 bytes (NULL: empty)."""
     for batch in batches:
         at = batch.schema.get_field_index(text_col)
         texts = batch.column(at).cast(pa.large_binary())
         sizes = [0 if x is None else x for x in pc.binary_length(texts).to_pylist()]
-        for a, b in blocks(sizes):
+        for a, b in blocks(sizes, size=size):
             yield batch.slice(a, b - a), [x or b"" for x in texts.slice(a, b - a).to_pylist()]
 
 
