@@ -76,3 +76,12 @@ def by_key(df, key="vehicle_id"):
 
 __all__ = ["D", "T", "telemetry_rows", "fuel_rows", "maintenance_rows", "base_telemetry", "base_fuel",
            "base_maintenance", "by_key"]
+
+
+def plain_rank(df, order_col, rank_col, ascending=True):
+    """Single-partition RANK(): the reference form."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    o = F.col(order_col).asc() if ascending else F.col(order_col).desc()
+    return df.withColumn(rank_col, F.rank().over(Window.orderBy(o)))

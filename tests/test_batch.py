@@ -58,10 +58,10 @@ def test_batch_outputs_read_materialised_master(spark, scratch):
     master table, not recomputed from telemetry."""
     import dataclasses
 
-    from vehicle_metrics.plans.fleet import materialize
+    from vehicle_metrics.storage import materialize
 
     plan = FleetPlan.from_testdata(spark, SF)
-    master = materialize(spark, plan.master, "master_test", root=scratch)
+    master = materialize(plan.master, "master_test")
     staged = dataclasses.replace(plan, overrides={"master": master})
     assert staged.master is master
     from vehicle_metrics.operators.alerts import kpi_alerts_one_pass

@@ -137,18 +137,24 @@ def test_validate_join_keys_null_ids_compare_equal(spark):
     assert [tuple(r) for r in got] == exp
 
 
-def test_dedupe_paths_agree(spark):
-    """No-duplicate pass-through, broadcast of rare repeated keys and the full
-    grouped form give the same rows."""
-    from vehicle_metrics.sources.ingest import _min_row_per_key
-
-    base = spark.range(0, 2000).select(
-        F.col("id").cast("string").alias("k"), (F.col("id") % 7).alias("a"), (F.col("id") * 3).alias("c"))
-    rare = base.unionByName(base.where("id % 100 = 0").withColumn("a", F.lit(-1)))  # ~1% repeated
-    many = base.unionByName(base.where("id % 3 = 0").withColumn("a", F.lit(-1)))   # ~50% repeated
-    nulls = rare.unionByName(spark.createDataFrame([(None, 1, 1), (None, 0, 2)], "k string, a long, c long"))
-    for df in (base, rare, many, nulls):
-        exp = sorted(map(tuple, _min_row_per_key(df, "k", ["a"]).collect()), key=str)
-        got = sorted(map(tuple, dedupe_by_key(df, "k", ["a"]).collect()), key=str)
-        assert got == exp
-    assert dedupe_by_key(base, "k", ["a"]) is base
+def test_dedupe_of_declared_unique_keys_is_the_input(spark):
+    df = spark.range(5).selectExpr("CAST(id AS STRING) AS k", "id AS a")
+    assert dedupe_by_key(df, "k", ["a"], unique=True) is df
+
+
+def test_adapters_keep_every_row(spark):
+    from vehicle_metrics.sources import adapters
+
+    sf = "/root/testdata/sf0.001"
+    tele, fuel, maint = adapters.raw_sources(spark, sf)
+    for name, df in (("events", tele), ("lineitem", fuel), ("orders", maint)):
+        assert df.count() == adapters.table(spark, sf, name).count()
+    assert tele.join(maint, "vehicle_id", "left_anti").count() > 0  # vehicles without maintenance
+
+
+def test_two_daily_runs_keep_both_dates(spark, scratch):
+    one = spark.sql("SELECT 'V1' AS vehicle_id, DATE'2024-06-01' AS alert_date")
+    two = spark.sql("SELECT 'V2' AS vehicle_id, DATE'2024-06-02' AS alert_date")
+    for df in (one, two, two):
+        write_outputs({"alerts": df}, scratch)
+    assert spark.read.parquet(f"{scratch}/alerts").count() == 2

@@ -21,6 +21,10 @@ def _write_batches(spark, root):
     batches = [
         [dict(event_id="E1", vehicle_id="V1", event_timestamp=T(2024, 6, 1, 8), speed_kmh=130.0,
               distance_km=10.0, harsh_braking=1, harsh_accel=0),
+         dict(event_id="E0", vehicle_id="V1", event_timestamp=T(2024, 6, 1, 8), speed_kmh=450.0,
+              distance_km=9.0, harsh_braking=0, harsh_accel=0),
+         dict(event_id="E1", vehicle_id="V1", event_timestamp=T(2024, 6, 1, 8), speed_kmh=130.0,
+              distance_km=10.0, harsh_braking=1, harsh_accel=0),
          dict(event_id="E2", vehicle_id="V1", event_timestamp=T(2024, 6, 1, 9), speed_kmh=90.0,
               distance_km=5.0, harsh_braking=0, harsh_accel=1)],
         [dict(event_id="E2", vehicle_id="V1", event_timestamp=T(2024, 6, 1, 9), speed_kmh=90.0,
@@ -46,10 +50,10 @@ def _run(stream, name, root, mode="append"):
 def test_stream_speed_alerts_equal_batch(spark, scratch):
     batch_in = _write_batches(spark, scratch)
     src = read_telemetry_stream(spark, os.path.join(scratch, "in", "*"))
-    _run(stream_speed_alerts(src, as_of_ts="2024-06-07 00:00:00"), "speed_alerts", scratch)
+    _run(stream_speed_alerts(stream_clean_telemetry(src), as_of_ts="2024-06-07 00:00:00"), "speed_alerts", scratch)
     got = sorted(r["alert_message"] for r in spark.table("speed_alerts").collect())
     exp = sorted(r["alert_message"] for r in generate_speed_alerts(
-        batch_in, as_of_ts="2024-06-07 00:00:00").collect())
+        clean_telemetry(batch_in), as_of_ts="2024-06-07 00:00:00").collect())
     assert got == exp and len(got) == 2
 
 

@@ -73,14 +73,14 @@ def date_sql(value) -> str:
     return f"DATE{sql_str(str(value))}"
 
 
-def timestamp_sql(value, ntz: bool = True) -> str:
-    """An as-of timestamp as SQL: None -> current_timestamp(), else a
-    TIMESTAMP_NTZ literal (independent of the session time zone)."""
+def timestamp_sql(value) -> str:
+    """An as-of timestamp as SQL of type TIMESTAMP_NTZ: the session's wall
+    clock for None, else a literal (independent of the session time zone)."""
     if value is None:
-        return "current_timestamp()"
+        return "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
     if isinstance(value, _dt.datetime):
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return f"CAST({sql_str(str(value))} AS {'TIMESTAMP_NTZ' if ntz else 'TIMESTAMP'})"
+    return f"CAST({sql_str(str(value))} AS TIMESTAMP_NTZ)"
 
 
 SEVERITY_LEVEL_SQL = (

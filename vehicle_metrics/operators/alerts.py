@@ -185,6 +185,30 @@ def generate_speed_alerts(telemetry_df: DataFrame, speed_limit_kmh: float | None
     )
 
 
+def generate_fuel_cost_alerts(kpi_df: DataFrame, as_of_ts=None,
+                              thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Fuel cost per km above the warning threshold. Not part of the
+    consolidated alerts; call it where the rule is wanted."""
+    limit = thresholds.fuel_cost_per_km_warning_zar
+    return apply_rule(kpi_df, Rule(
+        "FUEL_COST", f"fuel_cost_per_km > {sql_double(limit)}", "'MEDIUM'",
+        _concat(("Vehicle ",), "vehicle_id", (" fuel cost ",), _s("fuel_cost_per_km"),
+                (f" ZAR/km is above the {_num(limit)} ZAR/km warning.",)),
+        ("vehicle_id", "fuel_cost_per_km", "total_fuel_cost_zar", "total_distance_km")), as_of_ts)
+
+
+def generate_idling_alerts(daily_df: DataFrame, as_of_ts=None,
+                           thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """Vehicle days (R1) that idled longer than the daily maximum. Not
+    part of the consolidated alerts; call it where the rule is wanted."""
+    limit = thresholds.idling_minutes_daily_max
+    return apply_rule(daily_df, Rule(
+        "EXCESSIVE_IDLING", f"daily_idling_minutes > {sql_double(limit)}", "'LOW'",
+        _concat(("Vehicle ",), "vehicle_id", (" idled ",), _s("daily_idling_minutes"), (" minutes on ",),
+                _s("event_date"), (f", above the {_num(limit)} minute limit.",)),
+        ("vehicle_id", "event_date", "daily_idling_minutes")), as_of_ts)
+
+
 def kpi_alerts_one_pass(kpi_df: DataFrame, as_of_ts=None, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """All KPI rules in a single narrow pass: each vehicle row yields the
     array of rule structs whose condition holds; NULL conditions drop out

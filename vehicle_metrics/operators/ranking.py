@@ -1,153 +1,60 @@
 """Exact global RANK() without funnelling every row through one task.
 
 ``rank() OVER (ORDER BY x)`` with no PARTITION BY makes Spark move the
-whole input into a single partition. Here a row's rank is computed as
+whole input into a single partition. Here a row's rank is
 ``1 + (number of rows ordered strictly before its value)``:
 
-1. rows are pre-aggregated to (value, count) -- a partial aggregate, so a
-   value held by a third of all rows becomes one row per map partition;
-2. distinct values are split into order-preserving buckets by cut points
-   (``percentile_approx`` over the distinct values, run once; the cuts
-   become literals, so every re-evaluation of the plan agrees);
-3. inside each bucket a windowed running count gives the rows before each
-   value; a per-bucket total plus a running offset over the (few) buckets
-   completes the count;
-4. the (value, rank) table is joined back to the rows on the value.
-
-Equal values always land in the same bucket, so ties are exact; NULLs form
-their own bucket placed first or last like Spark's default null ordering.
-
-The input feeds three branches (value counts, bucket offsets, the rows
-themselves), so it is first checkpointed to the cluster's checkpoint folder:
-the plan that produced it runs once, and a lost executor re-reads the
-checkpoint instead of recomputing it. Cut points are only computed when the
-optimizer's size estimate of the (value, count) table exceeds
-``single_bucket_bytes``; a smaller table is ranked in one bucket.
+1. the rows are written once to the shared folder (the branches below read
+   the same stored values, so equal values stay equal to the last bit);
+2. they are pre-aggregated to (value, count), and the values are dealt by
+   range to buckets of about ``values_per_bucket`` values, stored with them;
+3. a running count inside each bucket plus the counts of the buckets before
+   it gives the rows before each value;
+4. the ranks are joined back. Values that hold at least one row in
+   ``HEAVY_SHARE`` (so at most HEAVY_SHARE values) are joined by broadcast,
+   all others by a shuffle in which no value has many rows.
+
+NULLs are a value like any other, first or last as in Spark's order.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vehicle_metrics.functions.exprs import q
+from vehicle_metrics.storage import materialize
 
-_V = "_rank_value"
-_N = "_rank_rows"
-_B = "_rank_bucket"
-
-
-def _bucket_expr(x: Column, cuts: list, lo: int, hi: int) -> Column:
-    """Bucket index in [lo, hi]; bucket b holds cuts[b-1] <= x < cuts[b].
-    A balanced tree of comparisons: O(log k) per row, all in codegen."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(x < F.lit(cuts[mid - 1]), _bucket_expr(x, cuts, lo, mid - 1)).otherwise(
-        _bucket_expr(x, cuts, mid, hi))
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (no job runs); None when the
-    estimate is not reachable (e.g. a Spark Connect client)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no JVM handle: treat the size as unknown
-        return None
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint under spark.checkpoint.dir when one is set;
-    otherwise the input is left as is (recomputed per branch)."""
-    try:
-        has_dir = bool(df.sparkSession.sparkContext.getCheckpointDir())
-    except Exception:  # noqa: BLE001 - no SparkContext on this client
-        has_dir = bool(df.sparkSession.conf.get("spark.checkpoint.dir", None))
-    return df.checkpoint(eager=True) if has_dir else df
+_V, _N, _B, _R = "_rank_value", "_rank_rows", "_rank_bucket", "_rank"
+HEAVY_SHARE = 1000
 
 
 def global_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = True,
-                nulls_first: bool | None = None, bounded_domain: int | None = None,
-                values_per_bucket: int = 1_000_000, max_buckets: int = 4096,
-                broadcast_values_limit: int = 2_000_000,
-                single_bucket_bytes: int = 32 * 1024 * 1024, materialize: bool = True) -> DataFrame:
-    """Add ``rank_col`` = RANK() OVER (ORDER BY order_col [ASC|DESC]).
-
-    ``nulls_first`` defaults to Spark's ordering (first for ASC, last for
-    DESC). ``bounded_domain`` declares that ``order_col`` has at most that
-    many distinct values (e.g. a score built from flags); the value table is
-    then broadcast and no cut points are computed. Otherwise one small
-    aggregate job measures the number of distinct values and their cut
-    points; the value table is broadcast only when that measured count is
-    within ``broadcast_values_limit``, else it is joined with a shuffle.
-    """
-    if nulls_first is None:
-        nulls_first = ascending
+                values_per_bucket: int = 1_000_000) -> DataFrame:
+    """Add ``rank_col`` = RANK() OVER (ORDER BY order_col [ASC|DESC])."""
     x = q(order_col)
-
-    def value_counts(frame: DataFrame) -> DataFrame:
-        return frame.groupBy(F.expr(f"{x} AS {_V}")).agg(F.expr(f"count(1) AS {_N}"))
-
-    values = value_counts(df)
-    est = estimated_bytes(values)
-    small = est is not None and est <= single_bucket_bytes and values_per_bucket >= 1_000_000
-    if materialize:
-        df = _checkpointed(df)
-        values = value_counts(df)
-
-    if bounded_domain is not None:
-        n_values, cuts = bounded_domain + 1, []
-    elif small:
-        # small by estimate: one bucket, no job; the join side is sized by AQE at run time
-        n_values, cuts = broadcast_values_limit + 1, []
-    else:
-        probs = [i / max_buckets for i in range(1, max_buckets)]
-        row = values.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(_V, probs, 10_000).alias("cuts"),
-        ).first()
-        n_values = int(row["n"])
-        k = max(1, min(max_buckets, math.ceil(n_values / values_per_bucket)))
-        all_cuts = row["cuts"] or []
-        step = len(all_cuts) / k if k > 1 else 0
-        picked = [all_cuts[min(len(all_cuts) - 1, int(round(step * i)) - 1)] for i in range(1, k)] if k > 1 else []
-        cuts = sorted({c for c in picked if c is not None})
-
-    k = len(cuts) + 1
-    if cuts:
-        v = F.col(_V)
-        asc_bucket = _bucket_expr(v, cuts, 0, k - 1)
-        bucket = asc_bucket if ascending else F.lit(k - 1) - asc_bucket
-        null_bucket = F.lit(-1 if nulls_first else k)
-        values = values.withColumn(_B, F.when(v.isNull(), null_bucket).otherwise(bucket))
-    else:
-        values = values.selectExpr("*", f"CASE WHEN {_V} IS NULL THEN {-1 if nulls_first else 1} ELSE 0 END AS {_B}")
-
+    rows = materialize(df, "rank_rows")
+    values = materialize(rows.groupBy(F.expr(f"{x} AS {_V}")).agg(F.expr(f"count(1) AS {_N}")), "rank_values")
+    totals = values.agg(F.count("*").alias("n"), F.coalesce(F.sum(_N), F.lit(0)).alias("rows")).first()
+    order = F.col(_V).asc_nulls_first() if ascending else F.col(_V).desc_nulls_last()
+    n_buckets = max(1, -(-totals["n"] // values_per_bucket))
+    dealt = values.repartitionByRange(n_buckets, order).withColumn(_B, F.spark_partition_id())
+    dealt = materialize(dealt, "rank_buckets")
     v_order = f"{_V} ASC NULLS FIRST" if ascending else f"{_V} DESC NULLS LAST"
-    values = values.selectExpr(
-        "*",
-        f"coalesce(sum({_N}) OVER (PARTITION BY {_B} ORDER BY {v_order} "
-        f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
-    )
-
-    # <= k + 2 rows: a global window here is over buckets, not rows.
-    offsets = (
-        values.groupBy(_B).agg(F.expr(f"sum({_N}) AS _bucket_rows"))
-        .selectExpr(_B, "coalesce(sum(_bucket_rows) OVER (ORDER BY "
-                        f"{_B} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _offset")
-    )
-    ranked_values = (
-        values.join(F.broadcast(offsets), on=_B)
-        .selectExpr(_V, f"CAST(1 + _offset + _before AS INT) AS {q(rank_col)}")
-    )
-    if n_values <= broadcast_values_limit:
-        ranked_values = F.broadcast(ranked_values)
-    return df.join(ranked_values, F.expr(f"{x} <=> {_V}"), "left").drop(_V)
-
-
-def plain_rank(df: DataFrame, order_col: str, rank_col: str, ascending: bool = True) -> DataFrame:
-    """Single-partition RANK() (reference form), used in equivalence tests."""
-    o = F.col(order_col).asc() if ascending else F.col(order_col).desc()
-    return df.withColumn(rank_col, F.rank().over(Window.orderBy(o)))
+    before = (f"coalesce(sum({_N}) OVER (PARTITION BY {_B} ORDER BY {v_order} "
+              "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before")
+    # One row for each bucket: a global window here is over buckets, not rows.
+    offsets = dealt.groupBy(_B).agg(F.expr(f"sum({_N}) AS _bucket_rows")).selectExpr(
+        _B, f"coalesce(sum(_bucket_rows) OVER (ORDER BY {_B} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+            "AS _offset")
+    ranks = dealt.selectExpr("*", before).join(offsets, _B).selectExpr(
+        _V, _N, f"CAST(1 + _offset + _before AS INT) AS {_R}")
+    ranks = materialize(ranks, "ranks")
+
+    heavy_rows = max(1, -(-totals["rows"] // HEAVY_SHARE))
+    heavy, light = ranks.where(f"{_N} >= {heavy_rows}").drop(_N), ranks.where(f"{_N} < {heavy_rows}").drop(_N)
+    same = F.expr(f"{x} <=> {_V}")
+    out = [*[q(c) for c in df.columns], f"{_R} AS {q(rank_col)}"]
+    common = rows.join(F.broadcast(heavy), same).selectExpr(*out)
+    rare = rows.join(F.broadcast(heavy.select(_V)), same, "left_anti").join(light, same).selectExpr(*out)
+    return common.unionByName(rare)

@@ -81,12 +81,15 @@ def build_maintenance_report(maintenance_df: DataFrame, thresholds: Thresholds =
 
 
 def build_cost_report(kpi_df: DataFrame, sort: bool = True) -> DataFrame:
-    """Fuel spend per vehicle with cost_rank (RANK by total spend, desc)."""
+    """Fuel spend per vehicle with cost_rank (RANK by total spend, desc).
+    Spend is compared as published, rounded to 6 places: the last bits of a
+    sum of doubles depend on the order of its rows."""
     out = kpi_df.selectExpr(
         "vehicle_id", "total_distance_km", "total_litres", "total_fuel_cost_zar",
         "fuel_efficiency_km_l", "fuel_cost_per_km",
     )
-    out = global_rank(out, "total_fuel_cost_zar", "cost_rank", ascending=False)
+    out = out.selectExpr("*", "round(round(total_fuel_cost_zar, 9), 6) AS _spend")
+    out = global_rank(out, "_spend", "cost_rank", ascending=False).drop("_spend")
     return out.orderBy("cost_rank", "vehicle_id") if sort else out
 
 

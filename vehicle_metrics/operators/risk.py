@@ -10,23 +10,22 @@ from vehicle_metrics.functions.exprs import flag_sql, per_100km_sql, sql_double,
 from vehicle_metrics.operators.ranking import global_rank
 
 
-def score_vehicle_risk(master_kpi_df: DataFrame, weights: RiskWeights = DEFAULT_WEIGHTS) -> DataFrame:
-    """weighted_risk_score (0..8), risk_category and priority_rank
-    (RANK by score descending, gaps on ties, NULL scores last).
-
-    The score can take at most 9 values plus NULL, so the rank needs no cut
-    points: the value table is bounded and broadcast.
-    """
+def add_risk_score(master_kpi_df: DataFrame, weights: RiskWeights = DEFAULT_WEIGHTS) -> DataFrame:
+    """weighted_risk_score (0..8) and risk_category."""
     w = weights
     score = (f"(harsh_driving_flag * {int(w.harsh_driving)} + maintenance_flag * {int(w.maintenance)}"
              f" + fuel_efficiency_flag * {int(w.fuel_efficiency)} + utilisation_flag * {int(w.utilisation)})")
     category = (f"CASE WHEN {score} >= {w.critical_min} THEN 'CRITICAL' "
                 f"WHEN {score} BETWEEN {w.high_min} AND {w.critical_min - 1} THEN 'HIGH' "
                 f"WHEN {score} BETWEEN {w.medium_min} AND {w.high_min - 1} THEN 'MEDIUM' ELSE 'LOW' END")
-    scored = master_kpi_df.selectExpr("*", f"{score} AS weighted_risk_score", f"{category} AS risk_category")
-    max_score = w.harsh_driving + w.maintenance + w.fuel_efficiency + w.utilisation
-    return global_rank(scored, "weighted_risk_score", "priority_rank", ascending=False,
-                       bounded_domain=max_score + 1)
+    return master_kpi_df.selectExpr("*", f"{score} AS weighted_risk_score", f"{category} AS risk_category")
+
+
+def score_vehicle_risk(master_kpi_df: DataFrame, weights: RiskWeights = DEFAULT_WEIGHTS) -> DataFrame:
+    """The risk score and priority_rank (RANK by score descending, gaps
+    on ties, NULL scores last)."""
+    return global_rank(add_risk_score(master_kpi_df, weights), "weighted_risk_score", "priority_rank",
+                       ascending=False)
 
 
 def build_fleet_summary(scored_kpi_df: DataFrame, as_of_ts=None,

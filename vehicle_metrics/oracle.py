@@ -81,7 +81,8 @@ fuel AS (
 MAINT_RAW = """
 maint_raw AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS record_id,
-         CAST(o_custkey AS VARCHAR) AS vehicle_id,
+         CASE WHEN o_custkey % 7 = 0 THEN 'pool-' || CAST(o_custkey % 10 AS VARCHAR)
+              ELSE CAST(o_custkey AS VARCHAR) END AS vehicle_id,
          CAST(o_orderdate AS DATE) AS service_date,
          o_orderpriority AS service_type,
          o_totalprice AS next_service_km,
@@ -89,8 +90,7 @@ maint_raw AS (
          o_totalprice / 100.0::DOUBLE AS cost_zar,
          CAST(o_orderkey % 5 AS VARCHAR) AS workshop_id,
          CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 1 END AS INTEGER) AS compliant
-  FROM orders
-  WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'))"""
+  FROM orders)"""
 
 MAINT = f"""
 maint AS (
@@ -439,10 +439,10 @@ ORACLE_SQL: dict[str, str] = {
                                            ORDER BY service_date DESC NULLS LAST, record_id DESC NULLS LAST) AS rn
               FROM maint)
         WHERE rn = 1""", ["next_service_km", "last_service_cost_zar"]),
-    "report_cost": _with(M, """
+    "report_cost": _with(M, f"""
         SELECT vehicle_id, total_distance_km, total_litres, total_fuel_cost_zar, fuel_efficiency_km_l,
                fuel_cost_per_km,
-               CAST(RANK() OVER (ORDER BY total_fuel_cost_zar DESC NULLS LAST) AS INTEGER) AS cost_rank
+               CAST(RANK() OVER (ORDER BY {R(R("total_fuel_cost_zar", 9), 6)} DESC NULLS LAST) AS INTEGER) AS cost_rank
         FROM master""", ["total_distance_km", "total_litres", "total_fuel_cost_zar", "fuel_efficiency_km_l",
                          "fuel_cost_per_km"]),
     "report_alerts": _with(M + [ALERTS], """
@@ -458,4 +458,26 @@ ORACLE_SQL: dict[str, str] = {
                1.5::DOUBLE AS harsh_events_threshold, maint_compliance_pct, 80.0::DOUBLE AS compliance_target_pct,
                CAST(CASE WHEN maint_compliance_pct < 80.0 THEN 1 ELSE 0 END AS INTEGER) AS compliance_below_target
         FROM dl_kpis""", ["km_per_litre", "harsh_events_per_100km", "maint_compliance_pct"]),
+    # Declared thresholds as rules of their own
+    "alerts_fuel_cost": _with(M, f"""
+        SELECT vehicle_id, fuel_cost_per_km, total_fuel_cost_zar, total_distance_km, 'FUEL_COST' AS alert_type,
+               'MEDIUM' AS severity, 'Vehicle ' || vehicle_id || ' fuel cost ' || CAST(fuel_cost_per_km AS VARCHAR)
+                 || ' ZAR/km is above the 3.5 ZAR/km warning.' AS alert_message, {GEN}
+        FROM master WHERE fuel_cost_per_km > 3.5""",
+                              ["fuel_cost_per_km", "total_fuel_cost_zar", "total_distance_km"]),
+    "alerts_idling": _with(S + [DAILY], f"""
+        SELECT vehicle_id, event_date, daily_idling_minutes, 'EXCESSIVE_IDLING' AS alert_type, 'LOW' AS severity,
+               'Vehicle ' || vehicle_id || ' idled ' || CAST(daily_idling_minutes AS VARCHAR) || ' minutes on '
+                 || CAST(event_date AS VARCHAR) || ', above the 20.0 minute limit.' AS alert_message, {GEN}
+        FROM daily WHERE daily_idling_minutes > 20.0""", ["daily_idling_minutes"]),
+    # Checks of written tables
+    "validate_outputs": _with(M + [ALERTS], " UNION ALL ".join(f"""
+        SELECT '{t}' AS table_name, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS row_count,
+               CAST(COALESCE(SUM(CASE WHEN {k} IS NULL THEN n ELSE 0 END), 0) AS BIGINT) AS null_keys,
+               CAST(COUNT(*) FILTER (WHERE {k} IS NOT NULL AND n > 1) AS BIGINT) AS repeated_keys,
+               COALESCE(SUM(n), 0) > 0 AND COALESCE(MAX(CASE WHEN {k} IS NULL OR n > 1 THEN 1 ELSE 0 END), 0) = 0 AS passed
+        FROM (SELECT {k}, COUNT(*) AS n FROM {src} GROUP BY {k})"""
+        for t, k, src in (("kpi_master", "vehicle_id", "master"), ("alerts", "alert_id", "alerts")))),
+    # K1, K2: a table written, partitioned, and read again
+    "round_trip_daily_telemetry": _with(S + [DAILY], "SELECT * FROM daily", _DAILY_D),
 }

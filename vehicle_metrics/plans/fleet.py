@@ -11,18 +11,20 @@ recomputes from the written table) and writes the curated outputs.
 from __future__ import annotations
 
 import dataclasses
-import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, DEFAULT_WEIGHTS, RiskWeights, Thresholds
+from vehicle_metrics.functions.exprs import date_sql
 from vehicle_metrics.operators import alerts, daily, daily_log, kpi, reports, risk
+from vehicle_metrics.operators.validation import OUTPUT_KEYS, validate_outputs
 from vehicle_metrics.sources import adapters
 from vehicle_metrics.sources.ingest import clean_fuel, clean_maintenance, clean_telemetry, validate_join_keys
 from vehicle_metrics.sources.sinks import write_outputs, write_reports
+from vehicle_metrics.storage import drop_materialized, materialize, written_so_far
 
 
 def _resolve(x):
@@ -52,22 +54,13 @@ class FleetPlan:
         return cls(
             lambda: adapters.telemetry_from_events(t("events")()),
             lambda: adapters.fuel_from_lineitem(t("lineitem")()),
-            lambda: adapters.maintenance_from_orders(t("orders")(), t("customer")()),
+            lambda: adapters.maintenance_from_orders(t("orders")()),
             as_of_date=adapters.AS_OF_DATE, as_of_ts=adapters.AS_OF_TS,
             thresholds=adapters.BENCH_THRESHOLDS, customer=t("customer"), nation=t("nation"))
 
     def _get(self, name: str, build):
         return self.overrides[name] if name in self.overrides else build()
 
-    def _prefetch(self, *names: str) -> None:
-        """Build several sources at once: cleaning a source runs a small
-        key-count job, and independent jobs can share the cluster."""
-        missing = [n for n in names if n not in self.__dict__ and n not in self.overrides]
-        if len(missing) > 1:
-            with ThreadPoolExecutor(max_workers=len(missing)) as pool:
-                for future in [pool.submit(getattr, self, n) for n in missing]:
-                    future.result()
-
     # sources
     @cached_property
     def telemetry(self) -> DataFrame:
@@ -83,7 +76,6 @@ class FleetPlan:
 
     @cached_property
     def coverage_issues(self) -> DataFrame:
-        self._prefetch("telemetry", "fuel", "maintenance")
         return validate_join_keys(self.telemetry, self.fuel, self.maintenance)
 
     # time series
@@ -107,8 +99,7 @@ class FleetPlan:
     @cached_property
     def master(self) -> DataFrame:
         if "master" not in self.overrides:
-            self._prefetch("telemetry", "fuel", "maintenance")
-        return self._get("master", lambda: kpi.build_master_kpi(
+            return self._get("master", lambda: kpi.build_master_kpi(
             self.telemetry, self.fuel, self.maintenance, thresholds=self.thresholds,
             daily_parts=self.daily_parts))
 
@@ -118,7 +109,7 @@ class FleetPlan:
 
     @cached_property
     def fleet_summary(self) -> DataFrame:
-        return risk.build_fleet_summary(self.scored, self.as_of_ts, self.thresholds)
+        return risk.build_fleet_summary(risk.add_risk_score(self.master, self.weights), self.as_of_ts, self.thresholds)
 
     @cached_property
     def drivers(self) -> DataFrame:
@@ -148,7 +139,6 @@ class FleetPlan:
     # daily-log generation over views shaped like its CSV files
     @cached_property
     def daily_log_inputs(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        self._prefetch("telemetry", "fuel", "maintenance")
         return adapters.daily_log_views(self.daily_telemetry, self.daily_fuel, self.maintenance,
                                         _resolve(self.customer), _resolve(self.nation))
 
@@ -157,38 +147,22 @@ class FleetPlan:
         return daily_log.daily_log_vehicle_kpis(*self.daily_log_inputs, thresholds=self.thresholds)
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir (set only
-    when absent, e.g. in local tests)."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc_dir = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - no SparkContext on this client
-        sc_dir = None
-    root = sc_dir or conf_dir
-    if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for this cluster")
-    return root
-
-
-def materialize(spark: SparkSession, df: DataFrame, name: str, root: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and read it back:
-    the lineage is cut and later stages read the compact table."""
-    base = root or checkpoint_root(spark)
-    path = f"{base.rstrip('/')}/vehicle_metrics/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def run_daily_batch(spark: SparkSession, plan: FleetPlan, output_root: str, fmt: str = "parquet",
                     reports_root: str | None = None) -> dict[str, str]:
     """Entry point A + B: materialise the cleaned telemetry and the daily
     rollup once, then derive and write the curated outputs from them; with
-    ``reports_root``, also write the P1-P5 reports as CSV."""
-    telemetry = materialize(spark, plan.telemetry, "telemetry")
-    parts = materialize(spark, daily.daily_telemetry_parts(telemetry), "daily_parts")
+    ``reports_root``, also write the P1-P5 reports as CSV. The written tables
+    are then validated (X3); a table that fails raises an error. The as-of
+    date and time are fixed once, at the start, and the intermediate tables
+    are deleted at the end."""
+    now = datetime.now()
+    plan = dataclasses.replace(plan, as_of_ts=plan.as_of_ts or now.strftime("%Y-%m-%d %H:%M:%S"),
+                               as_of_date=plan.as_of_date or now.date())
+    mark = written_so_far(spark)
+    telemetry = materialize(plan.telemetry, "telemetry")
+    parts = materialize(daily.daily_telemetry_parts(telemetry), "daily_parts")
     overrides = {"telemetry": telemetry, "daily_parts": parts}
-    master = materialize(spark, dataclasses.replace(plan, overrides=dict(overrides)).master, "master")
+    master = materialize(dataclasses.replace(plan, overrides=dict(overrides)).master, "master")
     staged = dataclasses.replace(plan, overrides={**overrides, "master": master})
     tables = {
         "kpi_master": staged.scored,
@@ -198,14 +172,22 @@ def run_daily_batch(spark: SparkSession, plan: FleetPlan, output_root: str, fmt:
         "daily_telemetry": staged.daily_telemetry,
     }
     paths = write_outputs(tables, output_root, fmt)
+    today = f"alert_date = {date_sql(str(plan.as_of_ts)[:10])}"
+    # The alert table keeps earlier days; this run's are those of its own date.
+    written = {n: spark.read.parquet(paths[n]) if fmt == "parquet" else tables[n] for n in OUTPUT_KEYS}
+    written["alerts"] = written["alerts"].where(today)
+    failed = [r.asDict() for r in validate_outputs(written).where("NOT passed").collect()
+              if r.null_keys or r.repeated_keys or r.table_name == "kpi_master"]
+    if failed:
+        raise RuntimeError(f"output validation failed: {failed}")
     if reports_root:
-        alerts_table = spark.read.parquet(paths["alerts"]) if fmt == "parquet" else staged.alerts
         reports_out = {
             "performance_report": staged.report_performance(),
             "weekly_trend_report": staged.report_weekly_trend(),
             "maintenance_report": staged.report_maintenance(),
             "cost_report": staged.report_cost(),
-            "alert_report": reports.build_alert_report(alerts_table),
+            "alert_report": reports.build_alert_report(written["alerts"]),
         }
         paths.update(write_reports(reports_out, reports_root))
+    drop_materialized(spark, mark)
     return paths

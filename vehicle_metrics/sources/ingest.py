@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, Thresholds
-from vehicle_metrics.functions.exprs import as_date, date_sql, q, sql_double
+from vehicle_metrics.functions.exprs import date_sql, q, sql_double
 from vehicle_metrics.schemas import FUEL_SCHEMA, MAINTENANCE_SCHEMA, TELEMETRY_SCHEMA
 
 
@@ -29,67 +29,37 @@ def read_source(spark: SparkSession, path, schema: StructType, fmt: str = "parqu
     return reader.format(fmt).load(paths)
 
 
-def _min_row_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
-    rest = [c for c in df.columns if c != key and c not in order_by]
-    ordering = ", ".join(q(c) for c in [*order_by, *rest])
-    kept = df.groupBy(key).agg(F.expr(f"min(struct({ordering})) AS _keep"))
-    return kept.selectExpr(*[q(c) if c == key else f"_keep.{q(c)} AS {q(c)}" for c in df.columns])
-
-
-def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str] = (),
-                  broadcast_keys_limit: int | None = 2_000_000, max_repeated_share: float = 0.05) -> DataFrame:
+def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """Keep exactly one row per ``key``, chosen deterministically.
 
     The survivor is the smallest row when compared on ``order_by`` first and
     then on every other column (ascending, NULLs first), computed as a
     grouped ``min`` over a struct: a partial aggregate collapses a key
     repeated millions of times before the shuffle, and a recomputed
-    partition (lost executor) picks the same survivor.
-
-    Duplicates are usually rare, so whole rows are not shuffled blindly.
-    One job counts rows per key over the key column alone (hash partial
-    aggregation) and measures the rows, the repeated keys and the rows
-    under them:
+    partition (lost executor) picks the same survivor. The plan is lazy and
+    does not depend on the data.
 
-    * no repeated key: the input is returned as is (no payload shuffle);
-    * at most ``broadcast_keys_limit`` repeated keys holding at most
-      ``max_repeated_share`` of the rows: that key set is broadcast, rows
-      with a unique key pass through map-side (broadcast anti join) and only
-      the repeated rows go through the grouped ``min``;
-    * otherwise every row goes through the grouped ``min``.
-
-    ``broadcast_keys_limit=None`` skips the measuring job (always grouped).
+    ``unique`` declares that the source has no repeated key (checked with
+    ``validate_outputs``); the input is then returned as is, without a
+    shuffle, and filters above reach the scan.
     """
-    if broadcast_keys_limit is None:
-        return _min_row_per_key(df, key, order_by)
-    k = q(key)
-    per_key = df.groupBy(F.expr(f"{k} AS _dup_key")).agg(F.expr("count(1) AS _rows"))
-    stats = per_key.agg(
-        F.expr("sum(_rows) AS total_rows"),
-        F.expr("count_if(_rows > 1) AS repeated_keys"),
-        F.expr("sum(CASE WHEN _rows > 1 THEN _rows ELSE 0 END) AS repeated_rows"),
-    ).first()
-    repeated_keys = int(stats["repeated_keys"] or 0)
-    if repeated_keys == 0:
+    if unique:
         return df
-    total, repeated_rows = int(stats["total_rows"]), int(stats["repeated_rows"])
-    if repeated_keys > broadcast_keys_limit or repeated_rows > max_repeated_share * total:
-        return _min_row_per_key(df, key, order_by)
-    dups = F.broadcast(per_key.where("_rows > 1").select("_dup_key"))
-    same_key = F.expr(f"{k} <=> _dup_key")
-    unique_rows = df.join(dups, same_key, "left_anti")
-    repeated = df.join(dups, same_key, "left_semi")
-    return unique_rows.unionByName(_min_row_per_key(repeated, key, order_by))
+    rest = [c for c in df.columns if c != key and c not in order_by]
+    ordering = ", ".join(q(c) for c in [*order_by, *rest])
+    kept = df.groupBy(key).agg(F.expr(f"min(struct({ordering})) AS _keep"))
+    return kept.selectExpr(*[q(c) if c == key else f"_keep.{q(c)} AS {q(c)}" for c in df.columns])
 
 
 # -- S1 telemetry -------------------------------------------------------------
 
-def clean_telemetry(df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+def clean_telemetry(df: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS,
+                    unique: bool = False) -> DataFrame:
     """Dedupe on event_id, keep speeds inside the valid range (NULL speed is
     dropped too), add event_date and event_hour."""
     lo, hi = sql_double(thresholds.speed_valid_min_kmh), sql_double(thresholds.speed_valid_max_kmh)
     return (
-        dedupe_by_key(df, "event_id", ["event_timestamp"])
+        dedupe_by_key(df, "event_id", ["event_timestamp"], unique)
         .where(f"speed_kmh BETWEEN {lo} AND {hi}")
         .selectExpr("*", "to_date(event_timestamp) AS event_date", "hour(event_timestamp) AS event_hour")
     )
@@ -122,13 +92,7 @@ def ingest_fuel(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:
 def clean_maintenance(df: DataFrame, as_of_date=None) -> DataFrame:
     """Dedupe on record_id; is_overdue = next service before the as-of date
     (NULL date -> 0); days_until_service = days from as-of to next service."""
-    as_of = None if isinstance(as_of_date, Column) else date_sql(as_of_date)
-    if isinstance(as_of_date, Column):
-        as_of = as_date(as_of_date)
-        return dedupe_by_key(df, "record_id", ["service_date"]).withColumns({
-            "is_overdue": F.when(F.col("next_service_date") < as_of, F.lit(1)).otherwise(F.lit(0)),
-            "days_until_service": F.datediff(F.col("next_service_date"), as_of),
-        })
+    as_of = date_sql(as_of_date)
     return dedupe_by_key(df, "record_id", ["service_date"]).selectExpr(
         "*",
         f"CASE WHEN next_service_date < {as_of} THEN 1 ELSE 0 END AS is_overdue",
@@ -146,22 +110,14 @@ def validate_join_keys(telemetry_df: DataFrame, fuel_df: DataFrame, maintenance_
     """Vehicles seen in telemetry without fuel rows / without maintenance rows
     (EXCEPT DISTINCT semantics: NULL ids compare equal).
 
-    One pass: each source is reduced to its distinct vehicle ids (partial
-    aggregates, so a vehicle owning a large share of rows costs one row per
-    map partition), the telemetry ids are null-safe left-joined to the fuel
-    and maintenance ids, and each id emits one row per missing source.
+    One aggregate: each source gives its vehicle ids with a bit of its own;
+    grouped by id (partial aggregates, so a vehicle owning a large share of
+    rows costs one row per map partition), the bits say which sources have it.
     """
-    tele_ids = telemetry_df.select("vehicle_id").distinct()
-    fuel_ids = fuel_df.select(F.col("vehicle_id").alias("_fuel_vid")).distinct().withColumn("_fuel_hit", F.lit(True))
-    maint_ids = maintenance_df.select(F.col("vehicle_id").alias("_maint_vid")).distinct().withColumn(
-        "_maint_hit", F.lit(True))
-    joined = (
-        tele_ids
-        .join(fuel_ids, tele_ids["vehicle_id"].eqNullSafe(fuel_ids["_fuel_vid"]), "left")
-        .join(maint_ids, tele_ids["vehicle_id"].eqNullSafe(maint_ids["_maint_vid"]), "left")
-    )
-    issues = F.array_compact(F.array(
-        F.when(F.col("_fuel_hit").isNull(), F.lit("no_fuel_records")),
-        F.when(F.col("_maint_hit").isNull(), F.lit("no_maintenance_records")),
-    ))
-    return joined.select("vehicle_id", F.explode(issues).alias("issue"))
+    ids = telemetry_df.selectExpr("vehicle_id", "1 AS t", "0 AS f", "0 AS m").unionByName(
+        fuel_df.selectExpr("vehicle_id", "0 AS t", "1 AS f", "0 AS m")).unionByName(
+        maintenance_df.selectExpr("vehicle_id", "0 AS t", "0 AS f", "1 AS m"))
+    seen = ids.groupBy("vehicle_id").agg(*[F.expr(f"max({c}) AS {c}") for c in "tfm"]).where("t = 1")
+    return seen.selectExpr("vehicle_id", "explode(array_compact(array("
+                           "CASE WHEN f = 0 THEN 'no_fuel_records' END, "
+                           "CASE WHEN m = 0 THEN 'no_maintenance_records' END))) AS issue")

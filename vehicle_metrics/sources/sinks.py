@@ -10,7 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+FILES_PER_DATE = 16
 
 # Curated outputs and how each is laid out on storage.
 OUTPUT_LAYOUT: dict[str, Sequence[str]] = {
@@ -24,12 +28,21 @@ OUTPUT_LAYOUT: dict[str, Sequence[str]] = {
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
                 mode: str = "overwrite") -> None:
-    """K1: overwrite ``path``. CSV gets a header row."""
+    """K1: overwrite ``path``. CSV gets a header row.
+
+    A partitioned table keeps the partitions that ``df`` has no rows for
+    (dynamic overwrite), so a daily run replaces its own dates only. Its rows
+    are first dealt by date and a few hash buckets of the vehicle: a date has
+    at most FILES_PER_DATE files, and no date goes through one task.
+    """
+    if partition_by:
+        spread = [F.pmod(F.xxhash64("vehicle_id"), F.lit(FILES_PER_DATE))] if "vehicle_id" in df.columns else []
+        df = df.repartition(*partition_by, *spread)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "true")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 
@@ -53,7 +66,7 @@ def write_outputs(tables: Mapping[str, DataFrame], root: str, fmt: str = "parque
             write(name)
     else:
         with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
-            for future in [pool.submit(write, name) for name in tables]:
+            for future in [pool.submit(inheritable_thread_target(write), name) for name in tables]:
                 future.result()
     return paths
 
@@ -64,6 +77,7 @@ def write_reports(reports: Mapping[str, DataFrame], root: str) -> dict[str, str]
     tables; each is written by as many tasks as it has partitions."""
     paths = {name: f"{root.rstrip('/')}/{name}" for name in reports}
     with ThreadPoolExecutor(max_workers=4) as pool:
-        for future in [pool.submit(write_table, df, paths[name], "csv") for name, df in reports.items()]:
+        for future in [pool.submit(inheritable_thread_target(write_table), df, paths[name], "csv")
+                       for name, df in reports.items()]:
             future.result()
     return paths

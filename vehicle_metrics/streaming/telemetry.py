@@ -12,6 +12,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +57,18 @@ def stream_speed_alerts(stream_df: DataFrame, thresholds: Thresholds = DEFAULT_T
     )
 
 
+def day_start(spark: SparkSession) -> str:
+    """Where days of the session's zone begin, as minutes after midnight UTC.
+    (A zone that changes its offset keeps the one it has at the start.)"""
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    offset = datetime.now(zone).utcoffset() or timedelta(0)
+    return f"{int(-offset.total_seconds() // 60) % 1440} minutes"
+
+
 def stream_daily_rollup(clean_stream_df: DataFrame) -> DataFrame:
-    """R1 per vehicle and event-time day (the input must carry a watermark,
-    e.g. from ``stream_clean_telemetry``)."""
-    day = F.window("event_timestamp", "1 day")
+    """R1 per vehicle and event-time day of the session's zone (the input must
+    carry a watermark, e.g. from ``stream_clean_telemetry``)."""
+    day = F.window("event_timestamp", "1 day", startTime=day_start(clean_stream_df.sparkSession))
     agg = clean_stream_df.groupBy("vehicle_id", day.alias("day")).agg(
         F.sum("distance_km").alias("daily_distance_km"),
         F.sum("harsh_braking").alias("daily_harsh_braking"),
@@ -79,11 +90,12 @@ def stream_daily_rollup(clean_stream_df: DataFrame) -> DataFrame:
 def start_speed_alert_stream(spark: SparkSession, source_path: str, sink_path: str, checkpoint_location: str,
                              fmt: str = "parquet", thresholds: Thresholds = DEFAULT_THRESHOLDS,
                              available_now: bool = True):
-    """readStream (telemetry files) -> speed alerts -> Parquet files
+    """readStream (telemetry files) -> cleaning -> speed alerts -> Parquet files
     partitioned by alert_date. The checkpoint location (a shared folder)
     records progress, so a restarted query resumes without duplicates;
     ``available_now`` processes what is there and stops (scheduled runs)."""
-    alerts = stream_speed_alerts(read_telemetry_stream(spark, source_path, fmt), thresholds)
+    clean = stream_clean_telemetry(read_telemetry_stream(spark, source_path, fmt), thresholds=thresholds)
+    alerts = stream_speed_alerts(clean, thresholds)
     writer = (alerts.writeStream.format("parquet").option("path", sink_path)
               .option("checkpointLocation", checkpoint_location).partitionBy("alert_date").outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
