@@ -178,12 +178,11 @@ def keep_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    risk: RiskControl = RiskControl()) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns.
 
-    The cutoffs come from one scan over the ids and texts of labelled rows'
-    measures; the rows are then filtered in place, so texts are not shuffled.
+    The rows are written once with their measures; the cutoffs and the filter
+    both read that table. (A filter over the measuring projection itself would
+    be pushed into it and measure anew for every condition.)
     """
-    plain = {m: m for m in MEASURES}
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
-    measured = add_measures(rows, "body", plain).drop("body")
-    tests = materialize(certify(good_rows(measured, labels, "id"), plain, risk), "quality_tests")
     names = {m: fresh(docs, f"_{m}") for m in MEASURES}
-    return add_measures(docs, text_col, names).where(verdict(tests, names)).select(*docs.columns)
+    measured = materialize(add_measures(docs, text_col, names), "quality_measured")
+    tests = certify(good_rows(measured, labels, id_col), names, risk)
+    return measured.where(verdict(tests, names)).select(*docs.columns)
