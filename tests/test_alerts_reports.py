@@ -51,20 +51,20 @@ def _master(spark):
 def test_kpi_alert_texts_and_severities(spark):
     m = _master(spark)
     harsh = generate_harsh_driving_alerts(m, TS).collect()
-    assert [(a["vehicle_id"], a["severity"]) for a in harsh] == [("V001", "MEDIUM")]
-    assert harsh[0]["alert_message"] == ("Vehicle V001 recorded 2.0 harsh events per 100 km — exceeds 1.5 "
+    assert [(a["vehicle_id"], a["severity"]) for a in harsh] == [("KA", "MEDIUM")]
+    assert harsh[0]["alert_message"] == ("Vehicle KA recorded 2.5 harsh events per 100 km — exceeds 1.5 "
                                          "threshold.")
     high = generate_harsh_driving_alerts(m, TS, Thresholds(harsh_severity_high_per_100km=1.9)).first()
     assert high["severity"] == "HIGH"
     maint = {a["alert_type"]: a for a in generate_maintenance_alerts(m, TS).collect()}
     assert maint["MAINTENANCE_COMPLIANCE"]["alert_message"] == (
-        "Vehicle V002 maintenance compliance at 0.0% — below the 80% threshold.")
-    assert maint["SERVICE_DUE_SOON"]["alert_message"] == "Vehicle V002 service due in 4 day(s). Schedule immediately."
+        "Vehicle KB maintenance compliance at 50.0% — below the 80% threshold.")
+    assert maint["SERVICE_DUE_SOON"]["alert_message"] == "Vehicle KB service due in 6 day(s). Schedule immediately."
     # union by name: missing columns are NULL
     assert maint["SERVICE_DUE_SOON"]["compliance_rate"] is None
     util = sorted(a["alert_message"] for a in generate_utilisation_alerts(m, TS).collect())
-    assert util[0] == "Vehicle V001 utilisation at 6.7% — below the 60% target."
-    assert generate_high_risk_alerts(m, TS).count() == 0
+    assert util[0] == "Vehicle KA utilisation at 6.7% — below the 60% target."
+    assert [a["vehicle_id"] for a in generate_high_risk_alerts(m, TS).collect()] == ["KB"]
 
 
 def test_high_risk_alert(spark):
@@ -146,10 +146,10 @@ def test_performance_and_cost_reports(spark):
     scored = score_vehicle_risk(_master(spark))
     perf = build_performance_report(scored).collect()
     assert [r["priority_rank"] for r in perf] == sorted(r["priority_rank"] for r in perf)
-    v1 = next(r for r in perf if r["vehicle_id"] == "V001")
-    assert v1["compliance_pct"] == 100.0 and v1["utilisation_pct"] == 6.7
+    ka = next(r for r in perf if r["vehicle_id"] == "KA")
+    assert ka["compliance_pct"] == 80.0 and ka["utilisation_pct"] == 6.7
     cost = build_cost_report(_master(spark)).collect()
-    assert [(r["vehicle_id"], r["cost_rank"]) for r in cost] == [("V001", 1), ("V002", 2)]
+    assert [(r["vehicle_id"], r["cost_rank"]) for r in cost] == [("KB", 1), ("KA", 2)]
 
 
 def test_cost_rank_ties(spark):

@@ -48,7 +48,7 @@ def test_batch_job_cli(spark, scratch):
     assert "priority_rank" in perf.columns and perf.count() == 2
     assert spark.read.option("header", "true").csv(paths["alert_report"]).count() > 0
     kpi = {r["vehicle_id"]: r for r in spark.read.parquet(paths["kpi_master"]).collect()}
-    assert kpi["V001"]["harsh_driving_flag"] == 1 and kpi["V002"]["service_due_soon_flag"] == 1
+    assert kpi["KA"]["harsh_driving_flag"] == 1 and kpi["KB"]["service_due_soon_flag"] == 1
     alerts = spark.read.parquet(paths["alerts"])
     assert alerts.filter("alert_type = 'SERVICE_DUE_SOON'").count() == 1
 

@@ -7,8 +7,10 @@ from vehicle_metrics.operators.daily import aggregate_daily_telemetry, compute_r
 
 def test_daily_rollup(spark):
     d = {(r["vehicle_id"], str(r["event_date"])): r for r in aggregate_daily_telemetry(base_telemetry(spark)).collect()}
-    r = d[("V001", "2024-06-01")]
-    assert (r["daily_distance_km"], r["daily_harsh_events"], r["event_count"], r["max_speed_kmh"]) == (120.0, 3, 1, 80.0)
+    r = d[("KA", "2024-05-13")]
+    assert (r["daily_distance_km"], r["daily_harsh_events"], r["event_count"], r["max_speed_kmh"]) == (80.0, 3, 2, 70.0)
+    assert set(d) == {("KA", "2024-05-13"), ("KA", "2024-05-14"), ("KB", "2024-05-13"), ("KB", "2024-05-20"),
+                      ("KB", "2024-05-29")}
 
 
 def test_rolling_window_is_seven_calendar_days(spark):

@@ -89,10 +89,10 @@ def test_validate_join_keys(spark):
 
     tele = telemetry_rows(spark, [
         dict(event_id=f"E{v}", vehicle_id=v, event_timestamp=T(2024, 6, 1), speed_kmh=1.0)
-        for v in ["V001", "V002", "V003"]
+        for v in ["KA", "KB", "KC"]
     ])
     got = sorted(tuple(r) for r in validate_join_keys(tele, base_fuel(spark), base_maintenance(spark)).collect())
-    assert got == [("V003", "no_fuel_records"), ("V003", "no_maintenance_records")]
+    assert got == [("KC", "no_fuel_records"), ("KC", "no_maintenance_records")]
 
 
 def test_csv_and_parquet_sources_round_trip(spark, scratch):
@@ -117,7 +117,7 @@ def test_write_outputs_partitions(spark, scratch):
     paths = write_outputs({"daily_telemetry": daily}, scratch)
     back = spark.read.parquet(paths["daily_telemetry"])
     assert back.count() == daily.count()
-    assert back.filter(F.col("event_date") == "2024-06-01").count() == 2
+    assert back.filter(F.col("event_date") == "2024-05-13").count() == 2
     import os
     assert any(p.startswith("event_date=") for p in os.listdir(paths["daily_telemetry"]))
 

@@ -14,6 +14,7 @@ from vehicle_metrics.config import DEFAULT_THRESHOLDS, Thresholds
 from vehicle_metrics.functions.exprs import flag_sql, per_100km_sql, ratio_sql, sql_double
 from vehicle_metrics.operators.daily import daily_telemetry_parts
 
+# The published columns of the master table, in order.
 MASTER_COLUMNS = [
     "vehicle_id",
     "total_distance_km", "total_litres", "total_fuel_cost_zar", "fuel_efficiency_km_l",
