@@ -315,6 +315,13 @@ def test_byte_probabilities_sum_to_one():
     assert (10 ** cost).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_remembered_costs_are_those_of_their_own_events():
+    r, table = np.random.default_rng(5), lm_mixing.CostTable(bits=4)
+    for _ in range(30):
+        keys = np.unique(np.concatenate([r.integers(0, 60, 40), [0, 1]])).astype(np.uint64)
+        assert (table.look_up(keys, lambda which: keys[which].astype(float) * 3 + 1) == keys * 3.0 + 1).all()
+
+
 def test_prefix_hashes_do_not_depend_on_the_place():
     flat, _ = lm_mixing._joined([[b"abc", b"abd"], [b"abc"]])
     h = lm_mixing._prefix_hashes(flat)
