@@ -131,6 +131,20 @@ def test_profiles_and_distance_equal_a_plain_version(spark):
     assert got == plain
 
 
+def test_a_language_never_learned_is_rejected(spark):
+    bank = {**BANK, "nl": "de het van en huis groene rivier loopt over steen heuvel met licht niet der under".split(),
+            "fr": "le et maison vert fleuve marche sur pierre colline avec lumière pas mais une".split()}
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choice(bank[x]) for _ in range(80)), x if x != "nl" else None)
+            for i, x in enumerate(["en", "de", "fr", "nl"] * 60)]
+    rows.append((999, " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(80)), None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {x.doc_id for x in language_id.keep_identified(docs).collect()}
+    assert kept == {i for i, _, x in rows if x is not None}
+    # A fixed loose score lets the unlearned language through.
+    assert language_id.keep_identified(docs, min_score=0.2).where("lang IS NULL").count() >= 60
+
+
 # -- BPE -------------------------------------------------------------------------
 
 def test_bpe_equals_the_library(docs, empty):

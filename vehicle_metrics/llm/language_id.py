@@ -26,6 +26,7 @@ PROFILE = 400  # n-grams of a language profile
 DOC_PROFILE = 300  # n-grams of a document profile
 MAX_LANGUAGES = 2000  # the profiles go to every task: 2000 x 400 entries of 16 bytes at most
 FLUSH = 1 << 20  # distinct n-grams that a training task holds for a language before it emits them
+TAIL = 0.001  # share of the learned rows that may lie beyond a quantile that a cutoff is set by
 UNKNOWN = "und"
 
 
@@ -114,15 +115,17 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     return tops.withColumn("rank", place - 1).where(F.col("rank") < size).select("lang", "gram", "rank")
 
 
-def _scorer(langs: list[str], grams: np.ndarray, ranks: np.ndarray, size: int, doc_size: int):
-    """A function from texts to (language, score) lists. ``grams`` is sorted;
-    ``ranks`` has a row for each and a last one for absent n-grams."""
+def _nearness(langs: list[str], grams: np.ndarray, ranks: np.ndarray, size: int, doc_size: int):
+    """A function from a text to 1 minus its out-of-place distance to each
+    language as a share of the largest possible one; None if there is no
+    letter or no language. ``grams`` is sorted; ``ranks`` has a row for each
+    and a last one for absent n-grams."""
     codes = letter_codes()
 
-    def one(text: bytes) -> tuple[str, float]:
+    def one(text: bytes) -> np.ndarray | None:
         c = codes(text)
         if not len(c) or not langs:
-            return UNKNOWN, 0.0
+            return None
         own = top_ranked(*gram_counts(c), doc_size)
         at = np.searchsorted(grams, own)
         at[at == len(grams)] = 0
@@ -130,22 +133,28 @@ def _scorer(langs: list[str], grams: np.ndarray, ranks: np.ndarray, size: int, d
         place = ranks[at]
         apart = np.abs(place - np.arange(len(own))[:, None])
         apart[place < 0] = size
-        total = apart.sum(0)
-        best = int(np.argmin(total))
-        return langs[best], 1.0 - float(total[best]) / (size * len(own))
+        return 1.0 - apart.sum(0) / (size * len(own))
 
-    return lambda texts: zip(*map(one, texts))
+    return one
 
 
-def add_language(docs: DataFrame, profiles: DataFrame, pred: str, score: str, text_col: str = "text",
-                 size: int = PROFILE, doc_size: int = DOC_PROFILE) -> DataFrame:
-    """Every row with the nearest language and 1 minus its out-of-place
-    distance as a share of the largest possible one.
+def _scorer(langs: list[str], grams: np.ndarray, ranks: np.ndarray, size: int, doc_size: int):
+    """A function from texts to (language, score) lists."""
+    near = _nearness(langs, grams, ranks, size, doc_size)
 
-    Equal distances go to the first language in alphabetical order. The
-    profiles are read to the driver and sent to the tasks; their size is
-    checked against MAX_LANGUAGES first.
-    """
+    def one(text: bytes) -> tuple[str, float]:
+        scores = near(text)
+        if scores is None:
+            return UNKNOWN, 0.0
+        best = int(np.argmax(scores))
+        return langs[best], float(scores[best])
+
+    return lambda texts: zip(*map(one, texts))
+
+
+def profile_arrays(profiles: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The languages, the sorted n-grams of all profiles and their ranks by
+    language, on the driver; the number of languages is checked first."""
     n = profiles.select("lang").distinct().count()
     if n > MAX_LANGUAGES:
         raise ValueError(f"{n} languages; the profiles of at most {MAX_LANGUAGES} are sent to every task")
@@ -156,7 +165,62 @@ def add_language(docs: DataFrame, profiles: DataFrame, pred: str, score: str, te
     if langs:
         ranks[np.searchsorted(grams, table["gram"].to_numpy(np.int64)),
               np.searchsorted(langs, table["lang"].to_numpy(str))] = table["rank"].to_numpy(np.int32)
-    shared = docs.sparkSession.sparkContext.broadcast((langs, grams, ranks))
+    return langs, grams, ranks
+
+
+def learn_cutoffs(train: DataFrame, profiles: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                  size: int = PROFILE, doc_size: int = DOC_PROFILE, tail: float = TAIL) -> dict[str, float]:
+    """For each language, the score from which on a text counts as being in it.
+
+    Every training row is scored with its own language's profile, and with the
+    best of the others, as it would be if its language were unknown. The cutoff
+    lies half way between the scores that all but the share ``tail`` of the
+    language's rows reach and that all but the share ``tail`` of the other
+    rows nearest to it stay below; where the two overlap, or there is no
+    other row, it is the former. Only quantiles leave Spark.
+    """
+    langs, grams, ranks = profile_arrays(profiles)
+    shared = train.sparkSession.sparkContext.broadcast((langs, grams, ranks))
+    rows = train.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("body"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = shared.value[0]
+        near, at = _nearness(*shared.value, size, doc_size), {x: i for i, x in enumerate(names)}
+        for part, texts in text_blocks(batches, "body"):
+            lang, own, score = [], [], []
+            for name, text in zip(part.column(0).to_pylist(), texts):
+                scores = near(text)
+                if scores is None or name not in at:
+                    continue
+                lang.append(name)
+                own.append(True)
+                score.append(float(scores[at[name]]))
+                if len(names) > 1:
+                    scores[at[name]] = -1.0
+                    best = int(np.argmax(scores))
+                    lang.append(names[best])
+                    own.append(False)
+                    score.append(float(scores[best]))
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(own, pa.bool_()),
+                                              pa.array(score, pa.float64())], names=["lang", "own", "score"])
+
+    found = rows.mapInArrow(run, "lang string, own boolean, score double").groupBy("lang", "own").agg(
+        F.percentile_approx("score", [tail, 1 - tail], 10_000).alias("q")).collect()
+    low = {r.lang: r.q[0] for r in found if r.own}
+    high = {r.lang: r.q[1] for r in found if not r.own}
+    return {x: min(q, (q + high.get(x, q)) / 2) for x, q in low.items()}
+
+
+def add_language(docs: DataFrame, profiles: DataFrame, pred: str, score: str, text_col: str = "text",
+                 size: int = PROFILE, doc_size: int = DOC_PROFILE) -> DataFrame:
+    """Every row with the nearest language and 1 minus its out-of-place
+    distance as a share of the largest possible one.
+
+    Equal distances go to the first language in alphabetical order. The
+    profiles are read to the driver and sent to the tasks; their size is
+    checked against MAX_LANGUAGES first.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(profile_arrays(profiles))
 
     def compute():
         apply = _scorer(*shared.value, size, doc_size)
@@ -193,9 +257,17 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    min_score: float = 0.2) -> DataFrame:
+                    min_score: float | None = None) -> DataFrame:
     """The rows whose language can be told: not ``und`` and a score of at
-    least ``min_score``. Their own columns are kept as they are."""
+    least the cutoff learned for that language, or ``min_score`` if given.
+    Their own columns are kept as they are."""
     pred, score = fresh(docs, "_lang_pred"), fresh(docs, "_lang_score")
-    scored = add_language(docs, learn(docs, id_col, text_col, lang_col), pred, score, text_col)
-    return scored.where((F.col(pred) != UNKNOWN) & (F.col(score) >= min_score)).select(*docs.columns)
+    profiles = learn(docs, id_col, text_col, lang_col)
+    scored = add_language(docs, profiles, pred, score, text_col)
+    if min_score is None:
+        cutoffs = learn_cutoffs(docs.where(may_train(id_col, 4, 2)), profiles, text_col, lang_col)
+        pairs = [x for lang, c in cutoffs.items() for x in (F.lit(lang), F.lit(c))]
+        least = F.element_at(F.create_map(*pairs), F.col(pred)) if pairs else F.lit(None).cast("double")
+    else:
+        least = F.lit(min_score)
+    return scored.where((F.col(pred) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)
