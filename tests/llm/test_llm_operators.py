@@ -317,6 +317,30 @@ def test_base_scores_equal_a_plain_count(docs, empty):
     assert lm_mixing.score(empty).count() == 0
 
 
+def test_every_training_row_gives_sequence_counts(spark):
+    part = lambda i: zlib.crc32(str(i).encode()) % 5
+    r = random.Random(12)
+    # Longer words than the word predictor holds, so only the sequences can know them.
+    passage, other = (" ".join("".join(r.choice("abcdefghijklmnop") for _ in range(90)) for _ in range(6)) for _ in "ab")
+    ids = [i for i in range(400) if part(i) == 4][:12]
+    rows = [(i, passage if i in ids else prose("en", 40, i)) for i in range(200)]
+    seen, unseen = [i for i in range(1000, 1100) if part(i) == 1][:2]
+    docs = spark.createDataFrame([*rows, (seen, passage), (unseen, other)], "doc_id long, text string")
+    plain = collections.Counter()
+    for i, t in rows:
+        if part(i) != 1:
+            body = b"\n\n\n\n" + t.encode() + b"\n"
+            plain.update(body[k:k + 5] for k in range(len(body) - 4))
+    counts = lm_mixing.count_corpus(docs.selectExpr("cast(crc32(cast(doc_id AS string)) % 5 AS int) AS part", "text AS body"),
+                                    lm_mixing.Split()).where("gram IS NOT NULL").collect()
+    got = collections.Counter()
+    for c in counts:
+        got[c.gram.to_bytes(5, "big")] += c.n
+    assert +got == plain
+    bits = {r.doc_id: r.bits_per_byte for r in lm_mixing.score(docs).collect()}
+    assert bits[seen] < 0.5 * bits[unseen]
+
+
 def test_byte_probabilities_sum_to_one():
     r = np.random.default_rng(1)
     tables = [(r.integers(0, 16000, (1 << lm_mixing.TABLE_BITS, 16)) * 4 + r.integers(0, 3)).astype(np.uint16)
