@@ -341,6 +341,37 @@ def test_every_training_row_gives_sequence_counts(spark):
     assert bits[seen] < 0.5 * bits[unseen]
 
 
+def test_scores_do_not_depend_on_what_tasks_hold(docs):
+    scores = [{(r.doc_id, r.n_tokens, round(r.base_score, 6)): r.score for r in lm_mixing.score(docs, **kw).collect()}
+              for kw in ({}, {"frequent": 5, "hot_events": 7})]
+    assert scores[0].keys() == scores[1].keys()
+    assert all(scores[1][k] == pytest.approx(v, rel=1e-4) for k, v in scores[0].items())
+
+
+def test_paths_hold_every_context_and_prefix(spark):
+    r = random.Random(3)
+    rows = [("".join(r.choice("abcde ") for _ in range(300)), r.choice((None, 0, 1, 2, 4))) for _ in range(40)]
+    docs = spark.createDataFrame([(p, t) for t, p in rows], "part int, body string")
+    events = lm_mixing.count_corpus(docs, lm_mixing.Split()).where("gram IS NOT NULL")
+    got = {(x.t, x.context, x.byte): np.array([x.all_0, x.all_1]).view(np.uint16).tolist()
+           for x in lm_mixing.context_paths(events).collect()}
+    n = collections.Counter()
+    seen = set()
+    for text, part in rows:
+        body = b"\n\n\n\n" + b" ".join(text.encode().split()) + b"\n"
+        for k in range(4, len(body)):
+            for t in (3, 4):
+                key = (t, int.from_bytes(body[k - t:k], "big"), body[k])
+                seen.add(key)
+                n[key] += part not in (None, 1)
+    assert {k for k in got if k[0]} == seen
+    for t, context, byte in seen:
+        for k, packed in enumerate(got[t, context, byte]):
+            below = [sum(n[t, context, b] for b in range(256) if b >> (7 - k) == (byte >> (8 - k) << 1 | bit)) for bit in (0, 1)]
+            odds = round(min(2047, max(-2047, 128 * math.log((below[1] + 0.08) / (below[0] + 0.08))))) + 2048
+            assert packed == (odds << 2 | (2 if sum(below) > 3 else 1) if sum(below) else 0)
+
+
 def test_byte_probabilities_sum_to_one():
     r = np.random.default_rng(1)
     tables = [(r.integers(0, 16000, (1 << lm_mixing.TABLE_BITS, 16)) * 4 + r.integers(0, 3)).astype(np.uint16)
