@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from vehicle_metrics.storage import materialize
 
+#: A key that holds at least one row in this many is heavy, so at most this many keys are.
+HEAVY_SHARE = 1000
+
+
+def _heavy(rows: DataFrame, key: str, total: int) -> DataFrame:
+    """The values of ``key`` that hold at least a thousandth of ``total`` rows."""
+    least = max(2, -(-total // HEAVY_SHARE))
+    return rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(key)
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns src, dst).
@@ -14,24 +23,35 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ``component`` is the smallest node reachable. Each round gives a node the
     smallest label among itself and its neighbours and then that label's own
     label (pointer jumping), so long chains shrink geometrically. Labels are
-    written to the shared folder between rounds. A node with very many
-    neighbours costs one partial minimum per map task; nothing is gathered
-    per node. Empty input gives an empty result; loops and repeated edges
-    change nothing.
+    written to the shared folder between rounds. Nothing is gathered per node:
+    minima are partial aggregates, and a node with very many neighbours, or a
+    label with very many nodes, is looked up by a broadcast of the at most
+    1000 heavy keys, so that its rows stay spread over the tasks. Empty input
+    gives an empty result; loops, repeated edges and NULL ends change nothing.
     """
     both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = materialize(both.where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "edges")
     labels = materialize(
         both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low"))
         .selectExpr("node", "least(node, low) AS label"), "labels")
+    n_edges, n_nodes = both.count(), labels.count()
+    hubs = materialize(_heavy(both, "dst", n_edges), "hubs")
+
+    def look_up(rows: DataFrame, heavy: DataFrame, table: DataFrame, key: str) -> DataFrame:
+        """``rows`` joined with ``table`` (one row for each key)."""
+        few = table.join(F.broadcast(heavy), key)
+        often = rows.join(F.broadcast(few), key)
+        return often.unionByName(rows.join(F.broadcast(heavy), key, "left_anti").join(table, key))
+
     while True:
-        near = (both.join(labels.withColumnRenamed("node", "dst"), "dst")
+        near = (look_up(both, hubs, labels.withColumnRenamed("node", "dst"), "dst")
                 .groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near")))
-        hooked = (labels.join(near, "node")
-                  .selectExpr("node", "label AS old", "least(label, near) AS label"))
+        hooked = materialize(
+            labels.join(near, "node").selectExpr("node", "label AS old", "least(label, near) AS label"), "hooked")
         jump = labels.selectExpr("node AS label", "label AS next")
         step = materialize(
-            hooked.join(jump, "label").selectExpr("node", "old", "least(label, next) AS label"), "labels")
+            look_up(hooked, _heavy(hooked, "label", n_nodes), jump, "label")
+            .selectExpr("node", "old", "least(label, next) AS label"), "labels")
         labels = step.select("node", "label")
         if not step.where("label <> old").limit(1).count():
             return labels.withColumnRenamed("label", "component")

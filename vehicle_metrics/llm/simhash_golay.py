@@ -19,10 +19,16 @@ bits are found without comparing all pairs:
 Every key has about 34 bits, a fingerprint emits about 80, and any pair within
 4 bits meets in at least one. A join on the key and an exact bit count verify.
 
-Only distinct fingerprints are keyed, so exact copies cost nothing. A key
-shared by very many fingerprints is not expanded into pairs: its members are
-first linked to the key's smallest fingerprint, components are formed, and
-only members outside the key's largest component are compared with the rest.
+Only distinct fingerprints are keyed, so exact copies cost nothing. A crowd of
+near copies is linked before it is keyed: views of 32 of the 64 bits tie each
+fingerprint to the smallest and largest one of its view, and components are
+formed. Of the keys, one with two members is settled by the aggregate that
+counts them, one whose members all bear the same label is dropped there, and
+only keys with several labels get their members back. In these, members are
+first tied to the key's smallest and largest one; where labels still differ,
+members of different labels meet in one of five blocks of the fingerprint,
+which two within 4 bits share, so a key's members are not paired with each
+other.
 """
 
 from __future__ import annotations
@@ -145,52 +151,93 @@ def key_maker():
     return keys
 
 
-def _keyed(fps: DataFrame) -> DataFrame:
+def _keyed(fps: DataFrame, *also: str) -> DataFrame:
+    """(key, fp, and the long columns ``also``) for every key of every row."""
+    names = ["key", "fp", *also]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = key_maker()
         for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for at in range(0, len(values), 4096):
-                part = values[at:at + 4096]
-                rows, key = keys(part.view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[rows])], names=["key", "fp"])
+            columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            for at in range(0, batch.num_rows, 4096):
+                part = [c[at:at + 4096] for c in columns]
+                rows, key = keys(part[0].view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c[rows]) for c in part)], names=names)
 
-    return fps.select("fp").mapInArrow(run, "key long, fp long")
+    return fps.select("fp", *also).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _close(a: str, b: str, max_bits: int) -> str:
     return f"bit_count({a} ^ {b}) <= {max_bits}"
 
 
+def _masks() -> list[int]:
+    """The 32-bit views: for each of the bits' 6 index digits, the bits where
+    it is 0 and those where it is 1, so any two bits lie apart in some view."""
+    return [sum(1 << b for b in range(64) if (b >> digit & 1) == value) for digit in range(6) for value in (0, 1)]
+
+
+def _signed(mask: int) -> str:
+    return f"{mask - (1 << 64) if mask >> 63 else mask}L" if mask != 1 << 63 else "shiftleft(1L, 63)"
+
+
+def _star(rows: DataFrame, keys: list[str], max_bits: int) -> DataFrame:
+    """Verified links of each row's ``fp`` to the smallest and the largest one
+    with the same keys: at most two for each row, however many share them."""
+    ends = rows.groupBy(*keys).agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high")
+    met = rows.join(ends, keys).selectExpr("fp AS src", "explode(array(low, high)) AS dst")
+    return met.where("src <> dst AND " + _close("src", "dst", max_bits)).distinct()
+
+
+def _relabel(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """``rows`` (fp, label, ...) with labels replaced by their component."""
+    found = components.selectExpr("node AS label", "component")
+    return rows.join(found, "label", "left").withColumn("label", F.coalesce("component", "label")).drop("component")
+
+
 def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, component) for the distinct non-null fingerprints that link to
     another one; ``component`` is the smallest fingerprint reachable."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"max_bits must be 0 to {MAX_BITS}")
-    keyed = _keyed(fps)
-    pivots = (keyed.groupBy("key").agg(F.min("fp").alias("pivot"), F.max("fp").alias("top")).where("pivot < top")
-              .select("key", "pivot"))
-    shared = materialize(keyed.join(pivots, "key"), "golay_shared")
-    starred = (shared.where("fp <> pivot AND " + _close("fp", "pivot", max_bits))
-               .selectExpr("fp AS src", "pivot AS dst").distinct())
-    first = connected_components(starred)
-
-    # What the stars left open: keys whose members lie in several components.
-    labelled = materialize(
-        shared.join(first.withColumnRenamed("node", "fp"), "fp", "left")
-        .selectExpr("key", "fp", "coalesce(component, fp) AS label"), "golay_labelled")
-    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("key").agg(F.expr("max_by(label, struct(n, label))").alias("main"), F.count("*").alias("m"))
-             .where("m > 1").select("key", "main"))
-    open_rows = materialize(labelled.join(mixed, "key"), "golay_open")
-    minor = open_rows.where("label <> main").selectExpr("key", "fp AS fp_a", "label AS label_a", "main AS main_a")
-    # Each pair once: members outside the main component against the main one, and among themselves in order.
-    late = (minor.join(open_rows, "key")
-            .where("label <> label_a AND (label = main OR fp_a < fp) AND " + _close("fp_a", "fp", max_bits))
-            .selectExpr("label_a AS src", "label AS dst").distinct())
-    second = connected_components(late).selectExpr("node AS label", "component AS merged")
-    linked = labelled.select("fp", "label").distinct().join(second, "label", "left")
-    return linked.selectExpr("fp", "coalesce(merged, label) AS component")
+    fps = fps.select("fp").where("fp IS NOT NULL").distinct()
+
+    # Crowds: each fingerprint against two others of each of its 12 views.
+    views = ", ".join(f"named_struct('view', {i}, 'bits', fp & {_signed(m)})" for i, m in enumerate(_masks()))
+    viewed = fps.selectExpr("fp", f"inline(array({views}))")
+    first = connected_components(_star(viewed, ["view", "bits"], max_bits))
+    labelled = materialize(fps.join(first.withColumnRenamed("node", "fp"), "fp", "left")
+                           .selectExpr("fp", "coalesce(component, fp) AS label"), "golay_labels")
+
+    # Keys: two members are settled here, one label leaves nothing to find.
+    member = F.struct("fp", "label")
+    keys = _keyed(labelled, "label").groupBy("key").agg(
+        F.count("*").alias("n"), F.min(member).alias("a"), F.max(member).alias("b"),
+        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    keys = materialize(keys.where("n > 2 OR " + _close("a.fp", "b.fp", max_bits)).select("key", "n", "a", "b"), "golay_keys")
+    pairs = keys.where("n = 2").selectExpr("a.label AS src", "b.label AS dst")
+    shared = materialize(_keyed(labelled, "label").join(keys.where("n > 2").select("key"), "key"), "golay_shared")
+    tied = _star(shared, ["key"], max_bits)
+    of = labelled.select(F.col("fp").alias("dst"), F.col("label").alias("to"))
+    tied = tied.join(labelled.withColumnRenamed("fp", "src"), "src").join(of, "dst").selectExpr("label AS src", "to AS dst")
+    second = connected_components(pairs.unionByName(tied).where("src <> dst").distinct())
+    labelled = materialize(_relabel(labelled, second), "golay_labels")
+
+    # What is left: keys of members with several labels, which meet in one of five blocks.
+    rest = _relabel(shared, second)
+    mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    blocks = ", ".join(f"named_struct('block', {i}, 'bits', shiftrightunsigned(fp, {13 * i}) & {(1 << min(13, 64 - 13 * i)) - 1}L)"
+                       for i in range(5))
+    rest = rest.join(mixed, "key").selectExpr("key", "fp", "label", f"inline(array({blocks}))")
+    left = materialize(rest.join(rest.groupBy("key", "block", "bits").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                                 .where("low < high").drop("low", "high"), ["key", "block", "bits"]), "golay_left")
+    other = left.selectExpr("key", "block", "bits", "fp AS fp_b", "label AS label_b")
+    late = (left.join(other, ["key", "block", "bits"]).where("label < label_b AND " + _close("fp", "fp_b", max_bits))
+            .selectExpr("label AS src", "label_b AS dst").distinct())
+    third = connected_components(late)
+    merged = materialize(_relabel(labelled, third).selectExpr("fp", "label AS component"), "golay_components")
+    several = merged.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    return merged.join(several, "component").select("fp", "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
