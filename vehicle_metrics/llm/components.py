@@ -21,8 +21,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns src, dst).
 
     ``component`` is the smallest node reachable. Each round gives a node the
-    smallest label among itself and its neighbours and then that label's own
-    label (pointer jumping), so long chains shrink geometrically. Labels are
+    smallest label among its own, its neighbours' and its label's own label
+    (pointer jumping), so long chains shrink geometrically. Labels are
     written to the shared folder between rounds. Nothing is gathered per node:
     minima are partial aggregates, and a node with very many neighbours, or a
     label with very many nodes, is looked up by a broadcast of the at most
@@ -46,12 +46,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         near = (look_up(both, hubs, labels.withColumnRenamed("node", "dst"), "dst")
                 .groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near")))
-        hooked = materialize(
-            labels.join(near, "node").selectExpr("node", "label AS old", "least(label, near) AS label"), "hooked")
-        jump = labels.selectExpr("node AS label", "label AS next")
+        jumped = look_up(labels, _heavy(labels, "label", n_nodes), labels.selectExpr("node AS label", "label AS next"), "label")
         step = materialize(
-            look_up(hooked, _heavy(hooked, "label", n_nodes), jump, "label")
-            .selectExpr("node", "old", "least(label, next) AS label"), "labels")
+            jumped.join(near, "node").selectExpr("node", "label AS old", "least(label, near, next) AS label"), "labels")
         labels = step.select("node", "label")
         if not step.where("label <> old").limit(1).count():
             return labels.withColumnRenamed("label", "component")

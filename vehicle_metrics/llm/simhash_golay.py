@@ -24,10 +24,10 @@ near copies is linked before it is keyed: views of 32 of the 64 bits tie each
 fingerprint to the smallest and largest one of its view, and components are
 formed. Of the keys, one with two members is settled by the aggregate that
 counts them, one whose members all bear the same label is dropped there, and
-only keys with several labels get their members back. In these, members are
-first tied to the key's smallest and largest one; where labels still differ,
-members of different labels meet in one of five blocks of the fingerprint,
-which two within 4 bits share, so a key's members are not paired with each
+of the others that aggregate keeps eight extreme members, which are compared.
+Only keys that still have several labels get their members back; members of
+different labels then meet in one of five blocks of the fingerprint, one of
+which any two within 4 bits share, so a key's members are not paired with each
 other.
 """
 
@@ -47,6 +47,8 @@ from vehicle_metrics.storage import materialize
 
 MAX_BITS = 4  # the key scheme below is complete up to this distance
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, width
+#: A key's members are compared at the two ends of the order by ``fp ^ c``, for each of these c.
+VIEWPOINTS = (0, 0x3333333333333333, 0x5A5A5A5A5A5A5A5A, 0x0F1E2D3C4B5A6978)
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, generates the (23, 12) code
 
 
@@ -209,35 +211,37 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     labelled = materialize(fps.join(first.withColumnRenamed("node", "fp"), "fp", "left")
                            .selectExpr("fp", "coalesce(component, fp) AS label"), "golay_labels")
 
-    # Keys: two members are settled here, one label leaves nothing to find.
-    member = F.struct("fp", "label")
+    # Keys: one label leaves nothing to find, two members are settled here, and of more the extremes are compared.
+    extremes = [f"{f}(fp ^ {c}L) ^ {c}L AS m{i}{f}" for i, c in enumerate(VIEWPOINTS) for f in ("min", "max")]
+    names = [f"m{i}{f}" for i in range(len(VIEWPOINTS)) for f in ("min", "max")]
     keys = _keyed(labelled, "label").groupBy("key").agg(
-        F.count("*").alias("n"), F.min(member).alias("a"), F.max(member).alias("b"),
-        F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    keys = materialize(keys.where("n > 2 OR " + _close("a.fp", "b.fp", max_bits)).select("key", "n", "a", "b"), "golay_keys")
-    pairs = keys.where("n = 2").selectExpr("a.label AS src", "b.label AS dst")
-    shared = materialize(_keyed(labelled, "label").join(keys.where("n > 2").select("key"), "key"), "golay_shared")
-    tied = _star(shared, ["key"], max_bits)
-    of = labelled.select(F.col("fp").alias("dst"), F.col("label").alias("to"))
-    tied = tied.join(labelled.withColumnRenamed("fp", "src"), "src").join(of, "dst").selectExpr("label AS src", "to AS dst")
-    second = connected_components(pairs.unionByName(tied).where("src <> dst").distinct())
+        F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
+        *map(F.expr, extremes)).where("low < high")
+    keys = materialize(keys.where("n > 2 OR " + _close("m0min", "m0max", max_bits)).drop("low", "high"), "golay_keys")
+    pairs = ", ".join(f"named_struct('src', {x}, 'dst', {y})" for i, x in enumerate(names) for y in names[i + 1:])
+    met = (keys.where("n = 2").selectExpr("m0min AS src", "m0max AS dst")
+           .unionByName(keys.where("n > 2").selectExpr(f"inline(array({pairs}))")
+                        .where("src <> dst AND " + _close("src", "dst", max_bits))).distinct())
+    of = labelled.selectExpr("fp AS dst", "label AS to")
+    met = met.join(labelled.withColumnRenamed("fp", "src"), "src").join(of, "dst").selectExpr("label AS src", "to AS dst")
+    second = connected_components(met.where("src <> dst").distinct())
     labelled = materialize(_relabel(labelled, second), "golay_labels")
 
     # What is left: keys of members with several labels, which meet in one of five blocks.
-    rest = _relabel(shared, second)
-    mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    blocks = ", ".join(f"named_struct('block', {i}, 'bits', shiftrightunsigned(fp, {13 * i}) & {(1 << min(13, 64 - 13 * i)) - 1}L)"
-                       for i in range(5))
-    rest = rest.join(mixed, "key").selectExpr("key", "fp", "label", f"inline(array({blocks}))")
-    left = materialize(rest.join(rest.groupBy("key", "block", "bits").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                                 .where("low < high").drop("low", "high"), ["key", "block", "bits"]), "golay_left")
+    several = _keyed(labelled, "label").groupBy("key").agg(
+        F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("n > 2 AND low < high")
+    shared = materialize(_keyed(labelled, "label").join(several.select("key"), "key"), "golay_shared")
+    spans = ", ".join(f"named_struct('block', {i}, 'bits', shiftrightunsigned(fp, {13 * i}) & {(1 << min(13, 64 - 13 * i)) - 1}L)"
+                      for i in range(5))
+    rest = shared.selectExpr("key", "fp", "label", f"inline(array({spans}))")
+    mixed = rest.groupBy("key", "block", "bits").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    left = materialize(rest.join(mixed.select("key", "block", "bits"), ["key", "block", "bits"]), "golay_left")
     other = left.selectExpr("key", "block", "bits", "fp AS fp_b", "label AS label_b")
     late = (left.join(other, ["key", "block", "bits"]).where("label < label_b AND " + _close("fp", "fp_b", max_bits))
             .selectExpr("label AS src", "label_b AS dst").distinct())
-    third = connected_components(late)
-    merged = materialize(_relabel(labelled, third).selectExpr("fp", "label AS component"), "golay_components")
-    several = merged.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    return merged.join(several, "component").select("fp", "component")
+    merged = materialize(_relabel(labelled, connected_components(late)).selectExpr("fp", "label AS component"), "golay_components")
+    linked = merged.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    return merged.join(linked, "component").select("fp", "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
