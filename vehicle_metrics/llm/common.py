@@ -84,3 +84,22 @@ def add_columns(df: DataFrame, text_col: str, fields: StructType,
             yield pa.RecordBatch.from_arrays([*part.columns, *new], names=names)
 
     return df.mapInArrow(run, out)
+
+
+#: A key that holds at least one row in this many is heavy, so at most this many keys are.
+HEAVY_SHARE = 1000
+
+
+def heavy_keys(rows: DataFrame, key: str, total: int) -> DataFrame:
+    """The values of ``key`` that hold at least a thousandth of ``total`` rows."""
+    least = max(2, -(-total // HEAVY_SHARE))
+    return rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(key)
+
+
+def look_up(rows: DataFrame, heavy: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``table`` (one row for each key, NULL keys in
+    neither). The at most 1000 keys in ``heavy`` are joined by broadcast, so
+    their rows stay where they are; no other key is many of a task's rows."""
+    few = table.join(F.broadcast(heavy), key)
+    often = rows.join(F.broadcast(few), key)
+    return often.unionByName(rows.join(F.broadcast(heavy), key, "left_anti").join(table, key))

@@ -5,17 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vehicle_metrics.llm.common import heavy_keys, look_up
 from vehicle_metrics.storage import materialize
 
-#: A key that holds at least one row in this many is heavy, so at most this many keys are.
-HEAVY_SHARE = 1000
-
-
-def _heavy(rows: DataFrame, key: str, total: int) -> DataFrame:
-    """The values of ``key`` that hold at least a thousandth of ``total`` rows."""
-    least = max(2, -(-total // HEAVY_SHARE))
-    return rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= least).select(key)
-
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns src, dst).
@@ -35,18 +27,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low"))
         .selectExpr("node", "least(node, low) AS label"), "labels")
     n_edges, n_nodes = both.count(), labels.count()
-    hubs = materialize(_heavy(both, "dst", n_edges), "hubs")
-
-    def look_up(rows: DataFrame, heavy: DataFrame, table: DataFrame, key: str) -> DataFrame:
-        """``rows`` joined with ``table`` (one row for each key)."""
-        few = table.join(F.broadcast(heavy), key)
-        often = rows.join(F.broadcast(few), key)
-        return often.unionByName(rows.join(F.broadcast(heavy), key, "left_anti").join(table, key))
+    hubs = materialize(heavy_keys(both, "dst", n_edges), "hubs")
 
     while True:
         near = (look_up(both, hubs, labels.withColumnRenamed("node", "dst"), "dst")
                 .groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near")))
-        jumped = look_up(labels, _heavy(labels, "label", n_nodes), labels.selectExpr("node AS label", "label AS next"), "label")
+        jumped = look_up(labels, heavy_keys(labels, "label", n_nodes), labels.selectExpr("node AS label", "label AS next"), "label")
         step = materialize(
             jumped.join(near, "node").selectExpr("node", "label AS old", "least(label, near, next) AS label"), "labels")
         labels = step.select("node", "label")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vehicle_metrics.llm import (
     bpe,
+    conversation_repair,
     cotraining,
     decontamination,
     html_content,
@@ -73,8 +74,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_report(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_toxicity, op3_sharding, op4_language_id, op5_bpe, op6_lm_mixing, op7_quality_classifier,
-        op8_decontamination, op9_html_content, op10_simhash)
+        op8_decontamination, op9_html_content, op10_simhash,
+        op13_conversation_repair)
 }
