@@ -48,4 +48,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _op1()}
+_OP12 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same,
+  list_dot_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+p AS (SELECT a, anchor_id, b AS p, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.score DESC, s.id, s.b) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _op1(), "op12_hard_negatives": _OP12}

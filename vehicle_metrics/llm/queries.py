@@ -12,6 +12,7 @@ from vehicle_metrics.llm import (
     conversation_repair,
     cotraining,
     decontamination,
+    hard_negatives,
     html_content,
     language_id,
     lm_mixing,
@@ -74,6 +75,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damaged_report(_table(spark, sf_dir, "conversations"))
 
@@ -82,5 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_toxicity, op3_sharding, op4_language_id, op5_bpe, op6_lm_mixing, op7_quality_classifier,
         op8_decontamination, op9_html_content, op10_simhash,
-        op13_conversation_repair)
+        op12_hard_negatives, op13_conversation_repair)
 }
