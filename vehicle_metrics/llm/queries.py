@@ -17,6 +17,7 @@ from vehicle_metrics.llm import (
     language_id,
     lm_mixing,
     quality_rules,
+    secret_scan,
     sharding,
     simhash_golay,
     toxicity,
@@ -75,6 +76,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(_table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
 
@@ -87,5 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_toxicity, op3_sharding, op4_language_id, op5_bpe, op6_lm_mixing, op7_quality_classifier,
         op8_decontamination, op9_html_content, op10_simhash,
-        op12_hard_negatives, op13_conversation_repair)
+        op11_secret_scan, op12_hard_negatives, op13_conversation_repair)
 }
