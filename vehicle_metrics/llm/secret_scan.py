@@ -53,7 +53,10 @@ HARMLESS = {"id", "name", "names", "file", "path", "url", "uri", "type", "field"
 PLACEHOLDER = re.compile(r"(?i)example|sample|placeholder|change_?me|your|dummy|redacted|todo|fixme|undefined|null|none|true|false|\*{3}|x{4}|\.{3}")
 
 #: Every sensitive word holds one of these; a text without them has no sensitive name.
-_STEM = re.compile(r"(?i)pass|pwd|secret|token|key|cred|auth|bearer|jwt|pin|salt|dsn")
+_STEMS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "jwt", "pin", "salt", "dsn")
+#: What a text must hold for a base pattern to match: a lower-cased part, a part, a run of hex digits.
+_ASSIGNED = ("passw", "secret", "token", "apikey", "api_key")
+_HEX_RUN = (bytes(c in b"0123456789abcdef" for c in range(256)), b"\x01" * 32)
 
 _STRING = re.compile(r"""(?<!\w)[bBrRuUfF]{0,2}(?:"{3}[\s\S]*?"{3}|'{3}[\s\S]*?'{3}|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|`(?:\\.|[^`\\\n])*`)""")
 _TOKEN = re.compile(rf"""
@@ -222,17 +225,22 @@ def strength(value: str) -> float:
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, number of the kind, end) of the base patterns' matches."""
+    """(start, number of the kind, end) of the base patterns' matches. A
+    pattern is tried only where a plain search finds what it needs."""
+    low, (is_hex, run) = text.lower(), _HEX_RUN
+    needed = (any(x in low for x in _ASSIGNED), "AKIA" in text, run in text.encode("utf-8", "replace").translate(is_hex))
     out = []
     for k, (pattern, group, least) in enumerate(BASE):
-        out += [(m.start(), k, m.end()) for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
+        if needed[k]:
+            out += [(m.start(), k, m.end()) for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
     return sorted(out)
 
 
 def literal_spans(text: str, cutoff: float = CUTOFF) -> list[tuple[int, int, str, float]]:
     """(start, end, target, score) of literals assigned to sensitive names,
     each span once, under the target that scores highest."""
-    if not _STEM.search(text):
+    low = text.lower()
+    if not any(stem in low for stem in _STEMS) or not (":" in text or "=" in text):
         return []
     best: dict[tuple[int, int], tuple[float, str]] = {}
     for name, spans in propagate(list(pairs(text))):
