@@ -1,5 +1,6 @@
-"""Every registered query against its DuckDB oracle at sf0.001, plus the
-driver contract (entry smoke, keys of queries() and oracle_sql())."""
+"""Every registered fleet query against its DuckDB oracle at sf0.001, plus the
+driver contract (entry smoke, keys of queries() and oracle_sql()). The optional
+training-text queries have their tests in ``tests/llm``."""
 
 import math
 import os
@@ -7,6 +8,8 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from vehicle_metrics.oracle import ORACLE_SQL
+from vehicle_metrics.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -35,8 +38,8 @@ def duck(spark):
 
 
 def test_contract_keys():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 30
+    assert set(QUERIES) == set(ORACLE_SQL) and len(QUERIES) >= 30
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -45,12 +48,12 @@ def test_entry_smoke(spark):
     assert "priority_rank" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     got = _rows([[r[c] for c in cols] for r in df.collect()])
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(ORACLE_SQL[name])
     assert sorted(rel.columns) == cols
     idx = [rel.columns.index(c) for c in cols]
     exp = _rows([[r[i] for i in idx] for r in rel.fetchall()])

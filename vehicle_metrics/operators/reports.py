@@ -48,6 +48,31 @@ def build_fleet_trend_report(daily_telemetry_df: DataFrame, sort: bool = True) -
     return out.orderBy("year", "iso_week") if sort else out
 
 
+WEEKLY_CHANGES = {
+    "weekly_distance_km": "distance_km_change",
+    "weekly_harsh_events": "harsh_events_change",
+    "weekly_idling_minutes": "idling_minutes_change",
+    "active_vehicles": "active_vehicles_change",
+    "fleet_harsh_per_100km": "harsh_per_100km_change",
+}
+
+
+def add_week_over_week(trend_df: DataFrame, sort: bool = True) -> DataFrame:
+    """P2 with the change of each measure since the ISO week before, and the
+    relative change of the distance in percent; NULL where the week before is
+    absent or a value is NULL. The window is over weeks, one row each."""
+    monday = "date_add(trunc(make_date(year, 1, 4), 'week'), (iso_week - 1) * 7)"
+    week = trend_df.selectExpr("*", f"{monday} AS _monday")
+    w = "OVER (ORDER BY _monday)"
+    follows = f"datediff(_monday, lag(_monday) {w}) = 7"
+    before = {c: f"CASE WHEN {follows} THEN lag({c}) {w} END" for c in WEEKLY_CHANGES}
+    out = week.selectExpr(
+        *trend_df.columns, *[f"{c} - {before[c]} AS {name}" for c, name in WEEKLY_CHANGES.items()],
+        f"round(try_divide(weekly_distance_km - {before['weekly_distance_km']}, {before['weekly_distance_km']}) * 100, 1) "
+        "AS distance_change_pct")
+    return out.orderBy("year", "iso_week") if sort else out
+
+
 MAINTENANCE_REPORT_COLUMNS = [
     "vehicle_id", "service_date", "service_type", "next_service_km", "next_service_date",
     "days_until_service", "is_overdue", "compliant",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, DEFAULT_WEIGHTS, RiskWeights, Thresholds
 from vehicle_metrics.functions.exprs import flag_sql, per_100km_sql, sql_double, timestamp_sql
-from vehicle_metrics.operators.ranking import global_rank
+from vehicle_metrics.operators.ranking import global_rank, rank_few_values
 
 
 def add_risk_score(master_kpi_df: DataFrame, weights: RiskWeights = DEFAULT_WEIGHTS) -> DataFrame:
@@ -23,9 +23,10 @@ def add_risk_score(master_kpi_df: DataFrame, weights: RiskWeights = DEFAULT_WEIG
 
 def score_vehicle_risk(master_kpi_df: DataFrame, weights: RiskWeights = DEFAULT_WEIGHTS) -> DataFrame:
     """The risk score and priority_rank (RANK by score descending, gaps
-    on ties, NULL scores last)."""
-    return global_rank(add_risk_score(master_kpi_df, weights), "weighted_risk_score", "priority_rank",
-                       ascending=False)
+    on ties, NULL scores last). The score is a sum of four weights or NULL, so
+    it has at most 17 values."""
+    return rank_few_values(add_risk_score(master_kpi_df, weights), "weighted_risk_score", "priority_rank",
+                           ascending=False)
 
 
 def build_fleet_summary(scored_kpi_df: DataFrame, as_of_ts=None,

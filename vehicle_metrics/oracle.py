@@ -327,6 +327,19 @@ _DL_D = ["total_km", "total_idle_min", "total_litres", "total_fuel_cost", "total
 S = SOURCES
 M = SOURCES + KPI
 
+# Rows of the checked ingest whose keys are made NULL, and CSV records that are made unreadable.
+FAULTY = """
+faulty AS (
+  SELECT *, CASE WHEN event_id IS NULL OR vehicle_id IS NULL OR event_timestamp IS NULL THEN 'null key: ' || concat_ws(', ',
+           CASE WHEN event_id IS NULL THEN 'event_id' END, CASE WHEN vehicle_id IS NULL THEN 'vehicle_id' END,
+           CASE WHEN event_timestamp IS NULL THEN 'event_timestamp' END) END AS reason
+  FROM (SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 101 = 5 THEN NULL ELSE event_id END AS event_id,
+                          CASE WHEN CAST(event_id AS BIGINT) % 211 = 7 THEN NULL ELSE vehicle_id END AS vehicle_id,
+                          CASE WHEN CAST(event_id AS BIGINT) % 307 = 11 THEN NULL ELSE event_timestamp END AS event_timestamp)
+        FROM tele_raw)),
+accepted AS (SELECT * EXCLUDE (reason) FROM faulty WHERE reason IS NULL)"""
+_CSV = "(l_orderkey * 7 + l_linenumber) % 100"
+
 ORACLE_SQL: dict[str, str] = {
     "ingest_telemetry": _with(S, "SELECT * FROM tele", _TELE_D),
     "ingest_fuel": _with(S, "SELECT * FROM fuel",
@@ -480,4 +493,40 @@ ORACLE_SQL: dict[str, str] = {
         for t, k, src in (("kpi_master", "vehicle_id", "master"), ("alerts", "alert_id", "alerts")))),
     # K1, K2: a table written, partitioned, and read again
     "round_trip_daily_telemetry": _with(S + [DAILY], "SELECT * FROM daily", _DAILY_D),
+    # S1 behind the key check
+    "checked_telemetry": _with([TELE_RAW, FAULTY, TELE.replace("FROM tele_raw", "FROM accepted")], "SELECT * FROM tele", _TELE_D),
+    "telemetry_rejects": _with([TELE_RAW, FAULTY], "SELECT * FROM faulty WHERE reason IS NOT NULL", _TELE_D),
+    "telemetry_counts": _with([TELE_RAW, FAULTY], """
+        SELECT 'rows_read' AS metric, COUNT(*) AS n FROM faulty UNION ALL
+        SELECT 'rows_rejected', COUNT(reason) FROM faulty UNION ALL SELECT 'malformed', 0 UNION ALL
+        SELECT 'null_event_id', COUNT(*) FILTER (WHERE event_id IS NULL) FROM faulty UNION ALL
+        SELECT 'null_vehicle_id', COUNT(*) FILTER (WHERE vehicle_id IS NULL) FROM faulty UNION ALL
+        SELECT 'null_event_timestamp', COUNT(*) FILTER (WHERE event_timestamp IS NULL) FROM faulty"""),
+    # Records that cannot be read
+    "csv_fuel": _with([FUEL_RAW.replace("FROM lineitem", f"FROM lineitem WHERE {_CSV} NOT IN (1, 2, 3)"), FUEL], "SELECT * FROM fuel",
+                      ["litres_filled", "cost_zar", "odometer_km", "cost_per_litre"]),
+    "csv_fuel_rejects": f"""
+        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS fuel_id,
+               CASE WHEN {_CSV} = 3 THEN 3 ELSE 7 END AS n_fields,
+               CASE WHEN {_CSV} = 1 THEN 'not a time' ELSE strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') END AS fill_text,
+               'malformed record' AS reason
+        FROM lineitem WHERE {_CSV} IN (1, 2, 3)""",
+    "report_weekly_change": f"""
+        WITH trend AS (SELECT * FROM ({{trend}})),
+        w AS (SELECT a.*, b.weekly_distance_km AS d0, b.weekly_harsh_events AS h0, b.weekly_idling_minutes AS i0, b.active_vehicles AS v0,
+                     b.fleet_harsh_per_100km AS r0
+              FROM trend a LEFT JOIN trend b ON CAST(strptime(a.year || '-' || lpad(CAST(a.iso_week AS VARCHAR), 2, '0') || '-1', '%G-%V-%u') AS DATE)
+                = CAST(strptime(b.year || '-' || lpad(CAST(b.iso_week AS VARCHAR), 2, '0') || '-1', '%G-%V-%u') AS DATE) + 7)
+        SELECT year, iso_week, weekly_distance_km, weekly_harsh_events, weekly_idling_minutes, active_vehicles, fleet_harsh_per_100km,
+               {R("weekly_distance_km - d0", 6)} AS distance_km_change, weekly_harsh_events - h0 AS harsh_events_change,
+               {R("weekly_idling_minutes - i0", 6)} AS idling_minutes_change, active_vehicles - v0 AS active_vehicles_change,
+               {R("fleet_harsh_per_100km - r0", 6)} AS harsh_per_100km_change,
+               {R("(weekly_distance_km - d0) / NULLIF(d0, 0) * 100", 1)} AS distance_change_pct
+        FROM w""",
 }
+# The same rows by another way: files, publication, several runs.
+ORACLE_SQL["report_weekly_change"] = ORACLE_SQL["report_weekly_change"].replace("{trend}", ORACLE_SQL["report_weekly_trend"])
+ORACLE_SQL.update({name: ORACLE_SQL[same] for name, same in {
+    "csv_daily_log": "daily_log_kpis", "published_kpi_master": "vehicle_risk", "published_alerts": "alert_summary",
+    "published_fleet_summary": "fleet_summary", "published_driver_ranking": "driver_ranking",
+    "published_daily_telemetry": "daily_telemetry", "incremental_daily": "daily_telemetry"}.items()})

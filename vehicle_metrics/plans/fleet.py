@@ -11,11 +11,13 @@ recomputes from the written table) and writes the curated outputs.
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vehicle_metrics.config import DEFAULT_THRESHOLDS, DEFAULT_WEIGHTS, RiskWeights, Thresholds
 from vehicle_metrics.functions.exprs import date_sql
@@ -23,7 +25,8 @@ from vehicle_metrics.operators import alerts, daily, daily_log, kpi, reports, ri
 from vehicle_metrics.operators.validation import OUTPUT_KEYS, validate_outputs
 from vehicle_metrics.sources import adapters
 from vehicle_metrics.sources.ingest import clean_fuel, clean_maintenance, clean_telemetry, validate_join_keys
-from vehicle_metrics.sources.sinks import write_outputs, write_reports
+from vehicle_metrics.sources.publish import publish, published_paths, read_published
+from vehicle_metrics.sources.sinks import write_reports
 from vehicle_metrics.storage import drop_materialized, materialize, written_so_far
 
 
@@ -44,6 +47,8 @@ class FleetPlan:
     weights: RiskWeights = DEFAULT_WEIGHTS
     customer: object = None
     nation: object = None
+    unique_telemetry: bool = False  # event_id is known not to repeat, so nothing is regrouped
+    unique_fuel: bool = False  # the same for fuel_id
     overrides: dict = field(default_factory=dict)
 
     @classmethod
@@ -64,11 +69,12 @@ class FleetPlan:
     # sources
     @cached_property
     def telemetry(self) -> DataFrame:
-        return self._get("telemetry", lambda: clean_telemetry(_resolve(self.raw_telemetry), self.thresholds))
+        return self._get("telemetry", lambda: clean_telemetry(
+            _resolve(self.raw_telemetry), self.thresholds, self.unique_telemetry))
 
     @cached_property
     def fuel(self) -> DataFrame:
-        return self._get("fuel", lambda: clean_fuel(_resolve(self.raw_fuel)))
+        return self._get("fuel", lambda: clean_fuel(_resolve(self.raw_fuel), self.unique_fuel))
 
     @cached_property
     def maintenance(self) -> DataFrame:
@@ -146,47 +152,54 @@ class FleetPlan:
         return daily_log.daily_log_vehicle_kpis(*self.daily_log_inputs, thresholds=self.thresholds)
 
 
+def _check(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """X3 over the tables that a run has staged: keys are unique and not NULL,
+    and there are vehicles. Alerts and drivers may be none."""
+    found = validate_outputs({n: staged[n] for n in OUTPUT_KEYS if n in staged})
+    return found.withColumn("passed", F.expr(
+        "null_keys = 0 AND repeated_keys = 0 AND (row_count > 0 OR table_name <> 'kpi_master')"))
+
+
 def run_daily_batch(spark: SparkSession, plan: FleetPlan, output_root: str, fmt: str = "parquet",
                     reports_root: str | None = None) -> dict[str, str]:
     """Entry point A + B: materialise the cleaned telemetry and the daily
-    rollup once, then derive and write the curated outputs from them; with
-    ``reports_root``, also write the P1-P5 reports as CSV. The written tables
-    are then validated (X3); a table that fails raises an error. The as-of
-    date and time are fixed once, at the start, and the intermediate tables
-    are deleted at the end."""
+    rollup once, then derive the curated outputs from them, write them aside,
+    validate what was written (X3) and publish the set; a table that fails
+    raises an error and leaves the old set in place (read it with
+    ``sources.publish.read_published``). The alerts of the as-of date are
+    replaced even if there are none now. With ``reports_root``, the P1-P5
+    reports are written as CSV too. The as-of date and time are fixed once, at
+    the start, and the intermediate tables are deleted at the end, also after
+    a failure."""
     now = datetime.now()
     plan = dataclasses.replace(plan, as_of_ts=plan.as_of_ts or now.strftime("%Y-%m-%d %H:%M:%S"),
                                as_of_date=plan.as_of_date or now.date())
     mark = written_so_far(spark)
-    telemetry = materialize(plan.telemetry, "telemetry")
-    parts = materialize(daily.daily_telemetry_parts(telemetry), "daily_parts")
-    overrides = {"telemetry": telemetry, "daily_parts": parts}
-    master = materialize(dataclasses.replace(plan, overrides=dict(overrides)).master, "master")
-    staged = dataclasses.replace(plan, overrides={**overrides, "master": master})
-    tables = {
-        "kpi_master": staged.scored,
-        "alerts": staged.alerts,
-        "fleet_summary": staged.fleet_summary,
-        "driver_ranking": staged.drivers,
-        "daily_telemetry": staged.daily_telemetry,
-    }
-    paths = write_outputs(tables, output_root, fmt)
-    today = f"alert_date = {date_sql(str(plan.as_of_ts)[:10])}"
-    # The alert table keeps earlier days; this run's are those of its own date.
-    written = {n: spark.read.parquet(paths[n]) if fmt == "parquet" else tables[n] for n in OUTPUT_KEYS}
-    written["alerts"] = written["alerts"].where(today)
-    failed = [r.asDict() for r in validate_outputs(written).where("NOT passed").collect()
-              if r.null_keys or r.repeated_keys or r.table_name == "kpi_master"]
-    if failed:
-        raise RuntimeError(f"output validation failed: {failed}")
-    if reports_root:
-        reports_out = {
-            "performance_report": staged.report_performance(),
-            "weekly_trend_report": staged.report_weekly_trend(),
-            "maintenance_report": staged.report_maintenance(),
-            "cost_report": staged.report_cost(),
-            "alert_report": reports.build_alert_report(written["alerts"]),
+    try:
+        telemetry = materialize(plan.telemetry, "telemetry")
+        parts = materialize(daily.daily_telemetry_parts(telemetry), "daily_parts")
+        overrides = {"telemetry": telemetry, "daily_parts": parts, **plan.overrides}
+        master = materialize(dataclasses.replace(plan, overrides=dict(overrides)).master, "master")
+        staged = dataclasses.replace(plan, overrides={**overrides, "master": master})
+        tables = {
+            "kpi_master": staged.scored,
+            "alerts": staged.alerts,
+            "fleet_summary": staged.fleet_summary,
+            "driver_ranking": staged.drivers,
+            "daily_telemetry": staged.daily_telemetry,
         }
-        paths.update(write_reports(reports_out, reports_root))
-    drop_materialized(spark, mark)
-    return paths
+        published = publish(spark, tables, output_root, fmt, replace={"alerts": [str(plan.as_of_ts)[:10]]}, check=_check)
+        paths = published_paths(output_root, published)
+        if reports_root:
+            today = f"alert_date = {date_sql(str(plan.as_of_ts)[:10])}"
+            reports_out = {
+                "performance_report": staged.report_performance(),
+                "weekly_trend_report": staged.report_weekly_trend(),
+                "maintenance_report": staged.report_maintenance(),
+                "cost_report": staged.report_cost(),
+                "alert_report": reports.build_alert_report(read_published(spark, output_root, "alerts").where(today)),
+            }
+            paths.update(write_reports(reports_out, reports_root))
+        return paths
+    finally:
+        drop_materialized(spark, mark)

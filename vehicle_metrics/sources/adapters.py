@@ -99,6 +99,33 @@ def maintenance_from_orders(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(*MAINTENANCE_EXPRS)
 
 
+#: Keys that some rows of the benchmark sources are made to lack, for the checked ingest.
+TELEMETRY_FAULTS = {"event_id": "event_id % 101 = 5", "vehicle_id": "event_id % 211 = 7", "event_timestamp": "event_id % 307 = 11"}
+
+
+def faulty_telemetry(events: DataFrame) -> DataFrame:
+    """Telemetry whose keys are NULL in some rows."""
+    blank = {c: f"CASE WHEN {cond} THEN NULL ELSE {c} END AS {c}" for c, cond in TELEMETRY_FAULTS.items()}
+    rows = events.selectExpr("event_id AS _n", *TELEMETRY_EXPRS)
+    return rows.selectExpr(*[blank[c].replace("event_id %", "_n %") if c in blank else c for c in rows.columns if c != "_n"])
+
+
+def fuel_files(lineitem: DataFrame, path: str) -> list[str]:
+    """Fuel fills written as headed CSV, with some records that cannot be
+    read: litres that are no number, times that are none, and lines that end
+    after the time. Returns the folders."""
+    rows = lineitem.selectExpr("*", "(l_orderkey * 7 + l_linenumber) % 100 AS _n").selectExpr("_n", *FUEL_EXPRS)
+    text = rows.selectExpr(
+        "_n", "fuel_id", "vehicle_id",
+        "CASE WHEN _n = 1 THEN 'not a time' ELSE date_format(fill_timestamp, \"yyyy-MM-dd'T'HH:mm:ss\") END AS fill_timestamp",
+        "CASE WHEN _n = 2 THEN 'abc' ELSE CAST(litres_filled AS STRING) END AS litres_filled",
+        "CAST(cost_zar AS STRING) AS cost_zar", "CAST(odometer_km AS STRING) AS odometer_km", "fuel_station_id")
+    whole, short = f"{path}/whole", f"{path}/short"
+    text.where("_n <> 3").drop("_n").write.option("header", "true").csv(whole)
+    text.where("_n = 3").select("fuel_id", "vehicle_id", "fill_timestamp").write.option("header", "true").csv(short)
+    return [whole, short]
+
+
 def raw_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(telemetry, fuel, maintenance) before ingest cleaning."""
     return (

@@ -37,12 +37,15 @@ def dedupe_by_key(df: DataFrame, key: str, order_by: Sequence[str] = (), unique:
     grouped ``min`` over a struct: a partial aggregate collapses a key
     repeated millions of times before the shuffle, and a recomputed
     partition (lost executor) picks the same survivor. The plan is lazy and
-    does not depend on the data.
+    does not depend on the data. Rows without a key are not one entity, so
+    they are never merged: they are left out here, and the checked ingest
+    (``quarantine``) counts and keeps them as rejects.
 
     ``unique`` declares that the source has no repeated key (checked with
     ``validate_outputs``); the input is then returned as is, without a
     shuffle, and filters above reach the scan.
     """
+    df = df.where(f"{q(key)} IS NOT NULL")
     if unique:
         return df
     rest = [c for c in df.columns if c != key and c not in order_by]
@@ -72,11 +75,11 @@ def ingest_telemetry(spark: SparkSession, path, fmt: str = "parquet",
 
 # -- S2 fuel ------------------------------------------------------------------
 
-def clean_fuel(df: DataFrame) -> DataFrame:
+def clean_fuel(df: DataFrame, unique: bool = False) -> DataFrame:
     """Dedupe on fuel_id, reject fills without litres, add fill_date and
     cost_per_litre."""
     return (
-        dedupe_by_key(df, "fuel_id", ["fill_timestamp"])
+        dedupe_by_key(df, "fuel_id", ["fill_timestamp"], unique)
         .where("litres_filled > 0")
         .selectExpr("*", "to_date(fill_timestamp) AS fill_date",
                     "try_divide(cost_zar, litres_filled) AS cost_per_litre")

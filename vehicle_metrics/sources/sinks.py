@@ -26,15 +26,30 @@ OUTPUT_LAYOUT: dict[str, Sequence[str]] = {
 }
 
 
+def _files(df: DataFrame, folder: str) -> set[str]:
+    """The names of the data files in a folder, none if it is absent."""
+    spark = df.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(target)} if fs.exists(target) else set()
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", replaces: Sequence[str] = ()) -> None:
     """K1: overwrite ``path``. CSV gets a header row.
 
     A partitioned table keeps the partitions that ``df`` has no rows for
     (dynamic overwrite), so a daily run replaces its own dates only. Its rows
     are first dealt by date and a few hash buckets of the vehicle: a date has
     at most FILES_PER_DATE files, and no date goes through one task.
+
+    ``replaces`` names values of the first partition column that are replaced
+    even where ``df`` has no rows for them: a rerun of a day that has become
+    empty empties its partition. (``publish`` does the same for a whole set,
+    and atomically.)
     """
+    named = [f"{path.rstrip('/')}/{partition_by[0]}={v}" for v in replaces] if partition_by else []
+    before = {folder: _files(df, folder) for folder in named}
     if partition_by:
         spread = [F.pmod(F.xxhash64("vehicle_id"), F.lit(FILES_PER_DATE))] if "vehicle_id" in df.columns else []
         df = df.repartition(*partition_by, *spread)
@@ -44,6 +59,21 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)
+    for folder, files in before.items():
+        if files and _files(df, folder) == files:  # nothing new was written there
+            target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "vehicle_id", buckets: int = 64) -> DataFrame:
+    """A curated table as Parquet at ``path``, dealt into ``buckets`` by the
+    hash of ``key`` and sorted by it, and registered under ``table``: tables
+    with the same key and number of buckets are joined and grouped by the key
+    without an exchange. Rows are dealt before they are written, so each bucket
+    is one file."""
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return df.sparkSession.table(table)
 
 
 def write_outputs(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet",
