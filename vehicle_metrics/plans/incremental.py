@@ -25,7 +25,7 @@ from vehicle_metrics.sources.ingest import clean_telemetry
 from vehicle_metrics.sources.publish import manifest, publish, read_published
 from vehicle_metrics.sources.quarantine import accepted_rows
 from vehicle_metrics.sources.sinks import write_table
-from vehicle_metrics.storage import materialize
+from vehicle_metrics.storage import drop_materialized, materialize, written_so_far
 
 PARTS = "daily_parts"
 LAYOUT = {PARTS: ("event_date",)}
@@ -38,17 +38,20 @@ def _landed(root: str) -> str:
 def land(batch: DataFrame, root: str) -> list[date]:
     """Append a batch of raw telemetry by event date; returns the dates it
     touches. Rows without a declared key are not landed (see ``quarantine``)."""
+    spark = batch.sparkSession
+    mark = written_so_far(spark)
     rows = accepted_rows(batch, TELEMETRY_SCHEMA).select(*TELEMETRY_SCHEMA.fieldNames())
     rows = materialize(rows.withColumn("event_date", F.to_date("event_timestamp")), "landing")
     dates = sorted(r.event_date for r in rows.select("event_date").distinct().collect())  # one row for each day
     write_table(rows, _landed(root), partition_by=("event_date",), mode="append")
+    drop_materialized(spark, mark)
     return dates
 
 
 def landed_events(spark: SparkSession, root: str, dates: Sequence[date]) -> DataFrame:
     """The landed events of ``dates``; the scan lists no other folder."""
     schema = StructType([*TELEMETRY_SCHEMA.fields, StructField("event_date", DateType())])
-    rows = spark.read.schema(schema).option("recursiveFileLookup", "false").parquet(_landed(root))
+    rows = spark.read.schema(schema).parquet(_landed(root))
     return rows.where(F.col("event_date").isin(list(dates))).drop("event_date")
 
 

@@ -138,7 +138,7 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, fmt
     entries = {n: {"format": fmt, "partition_by": keys[n], "schema": json.loads(df.schema.json())} for n, df in tables.items()}
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
-            for job in [pool.submit(inheritable_thread_target(_stage), df, root, n, run_id, fmt, keys[n]) for n, df in tables.items()]:
+            for job in [pool.submit(inheritable_thread_target(spark)(_stage), df, root, n, run_id, fmt, keys[n]) for n, df in tables.items()]:
                 job.result()
         for n, entry in entries.items():
             entry["parts"] = _staged_parts(spark, root, n, run_id, keys[n])
