@@ -15,7 +15,9 @@ hit is given up at the first node on its way up that is not. Chance hits end
 after a short comparison.
 
 Texts are compared after lower-casing A-Z and turning every run of white
-space into one space.
+space into one space. An item of fewer than MIN_CHARS characters must also
+begin and end where words do, within the same budget: its pieces find the
+place, and the substrings there that have such edges are compared with it.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from vehicle_metrics.llm.common import fresh, text_blocks
 
 EDIT_RATE = 0.1
-MIN_CHARS = 40  # shorter items match only exactly, as whole words
+MIN_CHARS = 40  # shorter items match only as whole words
 BLOCK_CHARS = 4_000_000  # of item text sent to the tasks at a time
 
 
@@ -39,8 +41,27 @@ def normalise(text: bytes) -> str:
     return b" ".join(text.lower().split()).decode("utf-8", "replace")
 
 
-def budget(length: int, rate: float, min_chars: int) -> int:
-    return int(rate * length) if length >= min_chars else 0
+def budget(length: int, rate: float) -> int:
+    return int(rate * length)
+
+
+def whole_words(item: str, text: str, start: int, errors: int, reach: int) -> tuple[int, int] | None:
+    """The best (distance, end) within ``errors`` of the substrings of
+    ``text`` that begin at most ``reach`` from ``start`` and begin and end at
+    the edge of a word."""
+    best = None
+    for a in range(max(0, start - reach), start + reach + 1):
+        if a > len(text) or (a and text[a - 1] != " "):
+            continue
+        row = list(range(len(item) + 1))
+        for b in range(a + 1, min(len(text), a + len(item) + errors) + 1):
+            new = [row[0] + 1]
+            for j, c in enumerate(item, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != text[b - 1])))
+            row = new
+            if row[-1] <= errors and (b == len(text) or text[b] == " ") and (best is None or (row[-1], b) < best):
+                best = row[-1], b
+    return best
 
 
 def cuts(length: int, errors: int) -> list[int]:
@@ -93,7 +114,7 @@ def matcher(items: list[tuple[int, str]], rate: float, min_chars: int):
     the items it contains within their budgets."""
     import ahocorasick
 
-    budgets = [budget(len(t), rate, min_chars) for _, t in items]
+    budgets = [budget(len(t), rate) for _, t in items]
     ends = [cuts(len(t), e) for (_, t), e in zip(items, budgets)]
     places: dict[str, list[tuple[int, int]]] = {}
     for i, (_, t) in enumerate(items):
@@ -140,6 +161,8 @@ def matcher(items: list[tuple[int, str]], rate: float, min_chars: int):
                 else:
                     tried.setdefault(i, []).append(start)
                     hit = near(i, 0, size, text, start, 2 * e)
+                    if size < min_chars:
+                        hit = whole_words(items[i][1], text, start, e, 2 * e) or (e + 1, 0)
                     if hit[0] <= e and (i not in found or hit < found[i]):
                         found[i] = hit
         return found
@@ -151,11 +174,11 @@ def item_blocks(benchmark: DataFrame, item_id: str, text_col: str, block_chars:
     """The items in blocks of about ``block_chars`` characters each, one block
     on the driver at a time; NULL and empty items match nothing."""
     rows = benchmark.select(F.col(item_id).alias("id"), F.col(text_col).cast("string").alias("body")).where(
-        "length(trim(body)) > 0")
+        "length(trim(body)) > 0").withColumn("row", F.monotonically_increasing_id())
     total = rows.agg(F.sum(F.length("body"))).first()[0] or 0
     n = -(-total // block_chars)
     for i in range(n):
-        part = rows.where(F.pmod(F.xxhash64("id", "body"), F.lit(n)) == i).orderBy("id", "body")
+        part = rows.where(F.pmod(F.xxhash64("id", "body", "row"), F.lit(n)) == i).orderBy("id", "body")
         block = [(r.id, normalise(r.body.encode())) for r in part.toLocalIterator()]
         if block:
             yield block
@@ -176,7 +199,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     The items are a query set: each block of them is sent to the tasks and all
     documents are scanned against it. NULL or empty documents and items match
     nothing; equal items each match; repeated document rows each get rows; an
-    item shorter than ``min_chars`` must occur exactly and as whole words.
+    item shorter than ``min_chars`` must begin and end at the edge of a word.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType
@@ -197,7 +220,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     yield pa.RecordBatch.from_arrays([
                         part.column(0).take(pa.array(row)), pa.array([items[x][0] for x in i], arrow_item),
                         pa.array(edits, pa.int64()),
-                        pa.array([budget(len(items[x][1]), rate, min_chars) for x in i], pa.int64()),
+                        pa.array([budget(len(items[x][1]), rate) for x in i], pa.int64()),
                         pa.array(end, pa.int64())], names=fields.names)
         return run
 
