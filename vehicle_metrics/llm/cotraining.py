@@ -3,18 +3,19 @@
 One view sees a text's content (rates of symbols, capitals, repeats, lengths),
 the other only its page metadata (source, language tag, stored length). Each
 starts from the labelled rows of a bounded sample. In every round each view
-scores all unlabelled documents; of those it is confident about, some of
-either class, chosen by hash, become pseudo-labelled rows for the other view.
-At the end both views are calibrated on labelled rows kept apart, and the sum
+scores all unlabelled documents, and all those that it is confident about
+become pseudo-labelled rows for the other view, whose weights together are at
+most half those of the labelled rows for either class. At the end both views are calibrated on labelled rows kept apart, and the sum
 of their calibrated log-odds, weighted on those rows, scores all documents.
 
-Fitting a view is Newton's method for logistic regression on the driver, over
-a number of rows bounded by the parameters; scoring runs in Spark over the
-stored features.
+Fitting a view is Newton's method for logistic regression: the labelled rows,
+bounded by a parameter, are on the driver, and of the pseudo-labelled rows
+Spark sums the gradient and curvature, which are of fixed size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -34,7 +35,8 @@ BINS = 32  # hashed bins of a metadata value
 class CoTraining:
     sample: int = 20_000  # labelled rows, at most
     rounds: int = 3
-    exchanged: int = 500  # pseudo-labels of each class that a view hands over in a round, at most
+    steps: int = 4  # Newton steps of a round
+    pseudo_weight: float = 0.5  # of a pseudo-labelled row, at most, and of all of a class against the labelled rows
     confident: float = 0.95
     keep_score: float = 0.5
 
@@ -77,24 +79,91 @@ def metadata_view(source: str | None, lang: str | None, length: float | None) ->
 METADATA = 2 * (BINS + 1) + 1
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Coefficients (last: intercept) by Newton's method with a ridge penalty
-    on standardised columns, returned for raw columns."""
-    mean, scale = x.mean(0), x.std(0)
-    scale[scale == 0] = 1.0
-    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
-    beta = np.zeros(z.shape[1])
-    penalty = np.diag(np.append(np.full(x.shape[1], ridge), 1e-6))
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        gradient = z.T @ (weight * (y - p)) - penalty @ beta
-        curvature = (z * (weight * p * (1 - p))[:, None]).T @ z + penalty
-        step = np.linalg.solve(curvature, gradient)
-        beta += step
-        if np.abs(step).max() < 1e-6:
-            break
-    raw = beta[:-1] / scale
-    return np.append(raw, beta[-1] - raw @ mean)
+class View:
+    """A logistic classifier of one view: its labelled rows, standardised,
+    and its coefficients (last: intercept)."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
+        self.mean, self.scale = x.mean(0), x.std(0)
+        self.scale[self.scale == 0] = 1.0
+        self.z, self.y = self.standard(x), y
+        self.beta = np.zeros(self.z.shape[1])
+        self.penalty = np.diag(np.append(np.full(x.shape[1], ridge), 1e-6))
+
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
+
+    def step(self, gradient: np.ndarray | float = 0.0, curvature: np.ndarray | float = 0.0) -> float:
+        """One Newton step on the labelled rows and the given sums over other
+        ones; returns its greatest change."""
+        g, c = newton_sums(self.z, self.y, self.beta)
+        change = np.linalg.solve(c + curvature + self.penalty, g + gradient - self.penalty @ self.beta)
+        self.beta = self.beta + change
+        return float(np.abs(change).max())
+
+    def fit(self, steps: int = 25) -> View:
+        for _ in range(steps):
+            if self.step() < 1e-6:
+                break
+        return self
+
+    def raw(self) -> np.ndarray:
+        """Coefficients for columns that are not standardised."""
+        raw = self.beta[:-1] / self.scale
+        return np.append(raw, self.beta[-1] - raw @ self.mean)
+
+
+def newton_sums(z: np.ndarray, y: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
+    return z.T @ (y - p), (z * (p * (1 - p))[:, None]).T @ z
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return View(x, y).fit().raw()
+
+
+def exchange_sums(unlabelled: DataFrame, views: dict[str, View], teachers: dict[str, np.ndarray],
+                  confident: float) -> dict[tuple[str, int], tuple[float, np.ndarray, np.ndarray]]:
+    """(view, label) -> (rows, gradient, curvature) summed over every row that
+    the other view labels so with confidence: the tasks send sums of a fixed
+    size, whatever the number of rows."""
+    spark = unlabelled.sparkSession
+    shared = spark.sparkContext.broadcast((views, teachers))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learners, says = shared.value
+        names = list(learners)
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = {v: batch.column(i).flatten().to_numpy().reshape(batch.num_rows, -1) for i, v in enumerate(names)}
+            for k, v in enumerate(names):
+                teacher = names[1 - k]
+                linear = np.clip(x[teacher] @ says[teacher][:-1] + says[teacher][-1], -30, 30)
+                sure = 1 / (1 + np.exp(-linear))
+                for label, rows in ((1, sure >= confident), (0, sure <= 1 - confident)):
+                    z = learners[v].standard(x[v][rows])
+                    g, c = newton_sums(z, np.full(len(z), float(label)), learners[v].beta)
+                    sums = np.concatenate([[len(z)], g, c.ravel()])
+                    total[k, label] = total.get((k, label), 0.0) + sums
+        for (k, label), sums in total.items():
+            n = len(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, 2 * k + label)), pa.array(np.arange(n)), pa.array(sums)],
+                                             names=["part", "at", "value"])
+
+    found = unlabelled.select(*views).mapInArrow(run, "part long, at long, value double").groupBy("part", "at").agg(
+        F.sum("value").alias("value")).toPandas()
+    shared.destroy()
+    out = {}
+    for k, (name, view) in enumerate(views.items()):
+        d = len(view.beta)
+        for label in (0, 1):
+            sums = np.zeros(1 + d + d * d)
+            own = found[found["part"] == 2 * k + label]
+            sums[own["at"].to_numpy(int)] = own["value"]
+            out[name, label] = sums[0], sums[1:d + 1], sums[d + 1:].reshape(d, d)
+    return out
 
 
 def _logit(view: str, beta: np.ndarray) -> Column:
@@ -156,32 +225,26 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     x = {v: np.stack(found[v].to_numpy()).astype(float) for v in ("content", "metadata")}
     apart = np.arange(len(y)) % 4 == 3  # for calibration, in hash order
-    train = {v: [(x[v][~apart], y[~apart], np.ones((~apart).sum()))] for v in x}
-    unlabelled = views.join(known.select("label_id"), F.col("id") == F.col("label_id"), "left_anti")
-    beta = {}
-    for step in range(settings.rounds + 1):
-        for v in x:
-            beta[v] = fit_logistic(*(np.concatenate(part) for part in zip(*train[v])))
-        if step == settings.rounds:
-            break
-        sure = unlabelled.select("id", "content", "metadata", *[
-            _sigmoid(_logit(v, beta[v])).alias(f"p_{v}") for v in x])
-        picks = [sure.where(test).orderBy(F.xxhash64("id", F.lit(step)), "id").limit(settings.exchanged).select(
-            "content", "metadata", F.lit(target).alias("target"), F.lit(given).alias("given"))
-            for teacher, target in (("content", "metadata"), ("metadata", "content"))
-            for given, test in ((1.0, F.col(f"p_{teacher}") >= settings.confident),
-                                (0.0, F.col(f"p_{teacher}") <= 1 - settings.confident))]
-        for pick in picks:
-            got = pick.toPandas()
-            if len(got):
-                target = got["target"].iloc[0]
-                train[target].append((np.stack(got[target].to_numpy()).astype(float), got["given"].to_numpy(float),
-                                      np.full(len(got), 0.5)))
+    learners = {v: View(x[v][~apart], y[~apart]).fit() for v in x}
+    unlabelled = materialize(views.join(known.select("label_id"), F.col("id") == F.col("label_id"), "left_anti").select(*x),
+                             "quality_unlabelled")
+    for _ in range(settings.rounds):
+        teachers = {v: view.raw() for v, view in learners.items()}
+        for _ in range(settings.steps):
+            sums = exchange_sums(unlabelled, learners, teachers, settings.confident)
+            moved = 0.0
+            for v, view in learners.items():
+                weights = {label: min(settings.pseudo_weight, settings.pseudo_weight * len(view.y) / max(1.0, sums[v, label][0]))
+                           for label in (0, 1)}
+                moved = max(moved, view.step(sum(weights[k] * sums[v, k][1] for k in weights),
+                                             sum(weights[k] * sums[v, k][2] for k in weights)))
+            if moved < 1e-3:
+                break
+    beta = {v: view.raw() for v, view in learners.items()}
     linear = {v: x[v][apart] @ beta[v][:-1] + beta[v][-1] for v in x}
-    ones = np.ones(apart.sum())
-    platt = {v: fit_logistic(linear[v][:, None], y[apart], ones) for v in x}
+    platt = {v: fit_logistic(linear[v][:, None], y[apart]) for v in x}
     calibrated = np.column_stack([platt[v][0] * linear[v] + platt[v][1] for v in x])
-    joint = fit_logistic(calibrated, y[apart], ones)
+    joint = fit_logistic(calibrated, y[apart])
     logits = {v: F.lit(float(platt[v][0])) * _logit(v, beta[v]) + F.lit(float(platt[v][1])) for v in x}
     total = sum((F.lit(float(joint[i])) * F.col(f"l_{v}") for i, v in enumerate(x)), F.lit(float(joint[-1])))
     scored = views.select("id", *[logits[v].alias(f"l_{v}") for v in x]).withColumn("score", _sigmoid(total))
