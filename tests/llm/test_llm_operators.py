@@ -183,7 +183,7 @@ def test_edit_matches_equal_the_full_distance():
     find = decontamination.matcher(items, 0.1, 40)
     for trial in range(60):
         _, item = items[trial % 6]
-        budget = decontamination.budget(len(item), 0.1, 40)
+        budget = decontamination.budget(len(item), 0.1)
         chars = list(item)
         for _ in range(r.choice((0, 1, budget, budget + 1, budget + 3))):
             at, kind = r.randrange(len(chars)), r.random()
@@ -192,7 +192,44 @@ def test_edit_matches_equal_the_full_distance():
         found = find(text)
         for k, (_, p) in enumerate(items):
             d = distance(p, text)
-            assert (k in found) == (d <= decontamination.budget(len(p), 0.1, 40))
+            assert (k in found) == (d <= decontamination.budget(len(p), 0.1))
+            assert k not in found or found[k][0] == d
+
+
+def edge_distance(p, t):
+    """The least distance to a substring that begins and ends at a word's edge."""
+    starts = [i for i in range(len(t) + 1) if i == 0 or t[i - 1] == " "]
+    ends = [i for i in range(len(t) + 1) if i == len(t) or t[i] == " "]
+
+    def whole(a, b):
+        row = list(range(len(p) + 1))
+        for c in t[a:b]:
+            new = [row[0] + 1]
+            for j, x in enumerate(p, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != c)))
+            row = new
+        return row[-1]
+
+    return min(whole(a, b) for a in starts for b in ends if b >= a)
+
+
+def test_short_items_match_with_edits_as_whole_words():
+    r = random.Random(9)
+    items = [(0, "how many moons does the planet mars have"[:39]), (1, "what is a prime number"), (2, "stone hill"), (3, "hi you")]
+    find = decontamination.matcher(items, 0.1, 40)
+    assert 0 in find("so " + items[0][1].replace("moons", "moans") + " now")
+    assert 2 not in find("a milestone hill") and 2 in find("a stone hill") and 2 in find("a stene hill")
+    for trial in range(120):
+        _, item = items[trial % 4]
+        chars = list(item)
+        for _ in range(r.choice((0, 1, 2, 3, 4))):
+            at, kind = r.randrange(len(chars)), r.random()
+            chars[at:at + 1] = [] if kind < 0.3 else [r.choice("abcq ")] if kind < 0.7 else [chars[at], r.choice("xyz")]
+        text = " ".join((r.choice(("well", "w")) + r.choice((" ", "")) + "".join(chars) + r.choice((" ", "x ")) + "indeed").split())
+        found = find(text)
+        for k, (_, p) in enumerate(items):
+            d = edge_distance(p, text)
+            assert (k in found) == (d <= decontamination.budget(len(p), 0.1)), (p, text)
             assert k not in found or found[k][0] == d
 
 
@@ -425,6 +462,25 @@ def test_classifiers_learn_on_held_out_rows(spark):
     assert sum(r.kept == (r.doc_id % 5 != 0) for r in kept) / len(kept) > 0.95
 
 
+def test_exchange_sums_over_every_confident_row(spark):
+    rng = np.random.default_rng(3)
+    x = {"content": rng.normal(size=(3_000, 3)), "metadata": rng.normal(size=(3_000, 2))}
+    y = (x["content"][:, 0] + x["metadata"][:, 0] > 0).astype(float)
+    views = {v: cotraining.View(x[v][:200], y[:200]).fit() for v in x}
+    teachers = {v: view.raw() for v, view in views.items()}
+    df = spark.createDataFrame([(c.tolist(), m.tolist()) for c, m in zip(*x.values())], "content array<double>, metadata array<double>")
+    got = cotraining.exchange_sums(df.repartition(5), views, teachers, 0.6)
+    for target, teacher in (("content", "metadata"), ("metadata", "content")):
+        sure = 1 / (1 + np.exp(-(x[teacher] @ teachers[teacher][:-1] + teachers[teacher][-1])))
+        for label, rows in ((1, sure >= 0.6), (0, sure <= 0.4)):
+            assert rows.sum() > 500  # more than the cap of old
+            z = views[target].standard(x[target][rows])
+            p = 1 / (1 + np.exp(-(z @ views[target].beta)))
+            n, gradient, curvature = got[target, label]
+            assert n == rows.sum()
+            assert np.allclose(gradient, z.T @ (label - p)) and np.allclose(curvature, (z * (p * (1 - p))[:, None]).T @ z)
+
+
 # -- HTML --------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body class="has-sidebar">
@@ -448,6 +504,36 @@ def test_main_text_of_pages(spark):
     assert html_content.extract(pages.where("false")).count() == 0
 
 
+WORDS = " ".join(f"plain{i} word{i}" for i in range(30))
+
+
+@pytest.mark.parametrize("page, want", [
+    (f'<body><div class="layout has-sidebar"><p>{WORDS}</p><div class="sidebar"><p>side</p></div></div></body>', WORDS),
+    (f'<body><div class="content sidebar"><p>{WORDS}</p></div><nav>menu</nav></body>', WORDS),  # holds most words: a wrapper
+    (f"<article><p>{WORDS}</p><p class='comment-policy'>Be kind here</p></article>", f"{WORDS} Be kind here"),
+    (f'<article><p class="lead notice-free">Lead in text</p><p>{WORDS}</p></article>', f"Lead in text {WORDS}"),
+    (f'<article><p>{WORDS}</p><div class="social-science">On people</div></article>', f"{WORDS} On people"),
+    (f"<article><p>{WORDS}</p><p title=it's>Alpha beta don't gamma <b>x</b> delta</p><p>more</p></article>",
+     f"{WORDS} Alpha beta don't gamma x delta more"),
+    (f'<article><p data-a="x > y" title=\'a "b" > c\'>{WORDS}</p></article>', WORDS),
+    (f'<article><p>{WORDS}</p><div class="comment-list"><p>I agree</p></div><div class="cookie-notice">We use</div>'
+     '<div class="ad-slot">Buy</div><div id="shareButtons">Share</div><div class="advert">Now</div></article>', WORDS),
+])
+def test_article_text_is_kept_and_boilerplate_goes(page, want):
+    weights = html_content.Weights({})
+    weights.of = {"<*": -0.1}  # tags weigh little, so the region holds every word that is in the sequence
+    assert html_content.main_text(page, weights) == want
+
+
+def test_weights_are_counted_over_all_pages_and_rare_classes_pooled(spark):
+    rows = [(None, f"<main><x{i}>{WORDS}</x{i}></main><y{i}>out side</y{i}>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    every, few = html_content.learn_weights(pages, "html"), html_content.learn_weights(pages, "html", 5)
+    assert len(every.of) > 100 and len(few.of) <= 5 + 10
+    assert few.score("x39@in", 1) > 0 > few.score("y39@out", 1)
+    assert every.score("x39@in", 1) > 0 > every.score("y39@out", 1)
+
+
 def test_best_region_equals_trying_all():
     r = random.Random(2)
     for _ in range(200):

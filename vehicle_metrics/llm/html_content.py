@@ -9,8 +9,13 @@ the word is in a link, and, in pages that have a marked element, on whether
 the word is inside it.
 
 Elements that never hold the article's own text (menus, forms, notices,
-adverts, reader comments, ...), by tag name or by the words of their class,
-id and role, are taken out of the sequence, inside the region too.
+adverts, reader comments, ...), by tag name or by a class, id or role that
+names such a part, are taken out of the sequence, inside the region too. A
+name of several words counts by its last one (``cookie-notice``), or by its
+first one before a word for a container (``comment-list``): ``comment-policy``,
+``notice-free`` and ``has-sidebar`` say something else. An element that by its
+class would take away more than half of the page's words is a wrapper, and
+stays.
 """
 
 from __future__ import annotations
@@ -27,8 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from vehicle_metrics.llm.common import add_columns, text_blocks
+from vehicle_metrics.storage import materialize
 
-LABELLED_PAGES = 4_000  # pages, about, from which the weights are counted
+CLASSES = 2_000  # word and tag classes with a weight of their own; the rarer ones are pooled
 
 # Roles of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,10 +50,15 @@ discussion replies respond share sharing social related recommended breadcrumb b
 footer masthead topbar toolbar subscribe subscription newsletter signup login search widget pagination pager skip
 contentinfo complementary""".split())
 
+#: Last words of names that say what kind of box a part is in, and first words that deny or describe.
+CONTAINERS = frozenset("""area bar block blocks box button buttons card cards container content form group holder inner item items
+label link links list message outer panel posts region row section slot space strip tabs text thread unit widget wrap wrapper""".split())
+DENIALS = frozenset("has have no non not with without is hide hidden free enable disable".split())
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-z][a-z0-9:-]*)(?P<attrs2>[^>]*)>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
@@ -55,26 +66,53 @@ NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 PARTS = re.compile(r"[a-z]+")
 
 
+def _names_boilerplate(name: str, marked: bool) -> bool:
+    """Whether a class, id or role, of one word or several, names a part that
+    is not the article's own text."""
+    words = PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+    if not words or words[0] in DENIALS:
+        return False
+    while len(words) > 1 and words[-1] in CONTAINERS:
+        words = words[:-1]
+    return words[-1] in BOILERPLATE or (words[-1] == "header" and not marked)
+
+
 def _boilerplate(attrs: str, marked: bool) -> bool:
-    for m in NAMED.finditer(attrs):
-        words = set(PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower()))
-        if words & BOILERPLATE or ("header" in words and not marked):
-            return True
-    return False
+    return any(_names_boilerplate(name, marked) for m in NAMED.finditer(attrs)
+               for name in (m[2] or m[3] or m[4] or "").split())
 
 
 def tokens(page: str) -> list[tuple[str, str | None, int]]:
     """(kind, text, words): for text, kind is the class of its words, text the
     raw characters and words their number; for a tag, kind is its name with
     ``<`` before and text is None."""
+    spared: set[int] = set()
+    while True:
+        out, gone = _tokens(page, spared)
+        if not gone:
+            return out
+        at = max(gone, key=gone.get)
+        if 2 * gone[at] <= sum(n for _, _, n in out) + sum(gone.values()):
+            return out
+        spared.add(at)
+
+
+def _tokens(page: str, spared: set[int]) -> tuple[list[tuple[str, str | None, int]], dict[int, int]]:
+    """``tokens``, and how many words each element took away that was dropped
+    for its class, by where it begins; those in ``spared`` are kept."""
     out: list[tuple[str, str | None, int]] = []
+    gone: dict[int, int] = {}
+    dropped_at = -1
     dropped, depth, inner, marked, links, block = "", 0, 0, 0, 0, "body"
     low = page.lower()
     marks = sum(low.count(f"<{m}") for m in MARKED)
     for m in TOKEN.finditer(page):
         text = m["text"]
         if text is not None:
-            if not dropped:
+            if dropped:
+                if dropped_at in gone:
+                    gone[dropped_at] += len(text.split())
+            else:
                 kind = f"{block}{'+a' if links else ''}"
                 out.append((f"{kind}@{'in' if marked else 'out'}" if marks else kind, text, len(text.split())))
             continue
@@ -99,11 +137,13 @@ def tokens(page: str) -> list[tuple[str, str | None, int]]:
                 dropped, inner = "", 0
             else:
                 continue
-        if not closing and name not in VOID and (
-                name in DROPPED or (name == "header" and not marked)
-                or (name not in NEVER_BY_NAME and attrs and _boilerplate(attrs, bool(marked)))):
+        by_name = name in DROPPED or (name == "header" and not marked)
+        if not closing and name not in VOID and (by_name or (
+                name not in NEVER_BY_NAME and attrs and m.start() not in spared and _boilerplate(attrs, bool(marked)))):
             if not attrs.rstrip().endswith("/"):
-                dropped, depth, inner = name, 1, 0
+                dropped, depth, inner, dropped_at = name, 1, 0, m.start()
+                if not by_name:
+                    gone[dropped_at] = 0
             out.append(("<" + name, None, 0))
             continue
         if name in MARKED:
@@ -113,12 +153,14 @@ def tokens(page: str) -> list[tuple[str, str | None, int]]:
         elif name not in INLINE and name not in VOID:
             block, links = ("body" if closing else name), 0
         out.append(("<" + name, None, 0))
-    return out
+    return out, gone
 
 
 class Weights:
-    """Log-odds of word and tag classes; an unseen word class has weight 1,
-    an unseen tag -1; a tag is never positive."""
+    """Log-odds of word and tag classes. A class without counts has those of
+    the pool of rare classes of its kind (see ``pool``), and without these a
+    word weighs 1 (-3 outside the marked element) and a tag -1; a tag is never
+    positive."""
 
     def __init__(self, counts: dict[str, tuple[int, int]]):
         inside = sum(a for a, _ in counts.values()) + 1
@@ -127,8 +169,14 @@ class Weights:
 
     def score(self, kind: str, words: int) -> float:
         if kind[0] == "<":
-            return min(self.of.get(kind, -1.0), -0.1)
-        return words * self.of.get(kind, -3.0 if kind.endswith("@out") else 1.0)
+            return min(self.of.get(kind, self.of.get(pool(kind), -1.0)), -0.1)
+        return words * self.of.get(kind, self.of.get(pool(kind), -3.0 if kind.endswith("@out") else 1.0))
+
+
+def pool(kind: str) -> str:
+    """The pool that a rare class belongs to: tags, or words by what follows
+    their block's name."""
+    return "<*" if kind[0] == "<" else "*" + "".join(x for x in ("+a", "@in", "@out") if x in kind)
 
 
 def label_counts(page: str) -> Counter:
@@ -181,12 +229,9 @@ def main_text(page: str, weights: Weights) -> str:
     return " ".join(" ".join(x.split()) for x in blocks if x and not x.isspace())
 
 
-def learn_weights(pages: DataFrame, id_col: str, html_col: str, labelled_pages: int = LABELLED_PAGES) -> Weights:
-    """Class counts over the labelled pages of a sample of about
-    ``labelled_pages`` pages, chosen by hash of the id."""
-    step = max(1, pages.count() // labelled_pages)
-    sample = pages.where(F.pmod(F.xxhash64(id_col), F.lit(step)) == 0).select(F.col(html_col).alias("body"))
-
+def learn_weights(pages: DataFrame, html_col: str, classes: int = CLASSES) -> Weights:
+    """Class counts over all labelled pages: the commonest ``classes`` on
+    their own, the others in pools, so the table has a fixed size."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for _, texts in text_blocks(batches, "body"):
@@ -196,16 +241,18 @@ def learn_weights(pages: DataFrame, id_col: str, html_col: str, labelled_pages:
             [pa.array([k for k, _ in total], pa.string()), pa.array([i for _, i in total], pa.bool_()),
              pa.array(list(total.values()), pa.int64())], names=["kind", "inside", "n"])
 
-    # Classes come from tag names; names outside HTML are rare, so the commonest classes hold all that matters.
-    rows = (sample.mapInArrow(run, "kind string, inside boolean, n long").groupBy("kind")
-            .agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"),
-                 F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("b"))
-            .orderBy(F.desc(F.col("a") + F.col("b")), "kind").limit(2_000).collect())
-    return Weights({r.kind: (r.a, r.b) for r in rows})
+    pooled = "CASE WHEN startswith(kind, '<') THEN '<*' ELSE concat('*', regexp_extract(kind, '([+]a)?(@in|@out)?$', 0)) END"
+    counts = materialize(
+        pages.select(F.col(html_col).alias("body")).mapInArrow(run, "kind string, inside boolean, n long").groupBy("kind")
+        .agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"),
+             F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("b")), "page_classes")
+    top = counts.orderBy(F.desc(F.col("a") + F.col("b")), "kind").limit(classes).collect()
+    rest = (counts.where(~F.col("kind").isin([r.kind for r in top])).groupBy(F.expr(pooled).alias("kind"))
+            .agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect() if len(top) == classes else [])
+    return Weights({r.kind: (r.a, r.b) for r in [*top, *rest]})
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            labelled_pages: int = LABELLED_PAGES) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) for every page.
 
     NULL and empty pages, and pages without a region of positive weight, get
@@ -215,7 +262,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("address"),
                         F.col(html_col).cast("string").alias("body"))
-    weights = learn_weights(rows, "id", "body", labelled_pages)
+    weights = learn_weights(rows, "body")
     shared = pages.sparkSession.sparkContext.broadcast(weights.of)
 
     def compute():
