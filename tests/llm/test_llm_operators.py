@@ -354,86 +354,150 @@ def test_base_scores_equal_a_plain_count(docs, empty):
     assert lm_mixing.score(empty).count() == 0
 
 
-def test_every_training_row_gives_sequence_counts(spark):
+def test_every_training_row_is_counted(spark):
     part = lambda i: zlib.crc32(str(i).encode()) % 5
     r = random.Random(12)
-    # Longer words than the word predictor holds, so only the sequences can know them.
     passage, other = (" ".join("".join(r.choice("abcdefghijklmnop") for _ in range(90)) for _ in range(6)) for _ in "ab")
     ids = [i for i in range(400) if part(i) == 4][:12]
     rows = [(i, passage if i in ids else prose("en", 40, i)) for i in range(200)]
     seen, unseen = [i for i in range(1000, 1100) if part(i) == 1][:2]
     docs = spark.createDataFrame([*rows, (seen, passage), (unseen, other)], "doc_id long, text string")
-    plain = collections.Counter()
+    counts = lm_mixing.count_corpus(docs.selectExpr("cast(crc32(cast(doc_id AS string)) % 5 AS int) AS part", "text AS body"),
+                                    lm_mixing.Split()).collect()
+    words, heads = collections.Counter(), collections.Counter()
     for i, t in rows:
         if part(i) != 1:
-            body = b"\n\n\n\n" + t.encode() + b"\n"
-            plain.update(body[k:k + 5] for k in range(len(body) - 4))
-    counts = lm_mixing.count_corpus(docs.selectExpr("cast(crc32(cast(doc_id AS string)) % 5 AS int) AS part", "text AS body"),
-                                    lm_mixing.Split()).where("gram IS NOT NULL").collect()
-    got = collections.Counter()
-    for c in counts:
-        got[c.gram.to_bytes(5, "big")] += c.n
-    assert +got == plain
+            words.update(t.encode().split())
+            body = b"\n\n " + b"".join(w + b" " for w in t.encode().split()) + b"\n"
+            heads.update((body[k - 3], body[k - 2], body[k]) for k in range(3, len(body)) if body[k - 1] == 32)
+    assert +collections.Counter({c.word: c.n for c in counts if c.word is not None}) == words
+    assert +collections.Counter({tuple(c.head.to_bytes(3, "big")): c.n for c in counts if c.head is not None}) == heads
     bits = {r.doc_id: r.bits_per_byte for r in lm_mixing.score(docs).collect()}
     assert bits[seen] < 0.5 * bits[unseen]
 
 
-def test_scores_do_not_depend_on_what_tasks_hold(docs):
-    scores = [{(r.doc_id, r.n_tokens, round(r.base_score, 6)): r.score for r in lm_mixing.score(docs, **kw).collect()}
-              for kw in ({}, {"frequent": 5, "hot_events": 7})]
+def test_scores_do_not_depend_on_what_tasks_hold(docs, monkeypatch):
+    monkeypatch.setattr(lm_mixing, "CHUNK", 7)
+    scores = [{(r.doc_id, r.n_tokens, round(r.base_score, 6)): r.score for r in lm_mixing.score(docs, frequent=f).collect()}
+              for f in (1 << 17, 5)]
     assert scores[0].keys() == scores[1].keys()
-    assert all(scores[1][k] == pytest.approx(v, rel=1e-4) for k, v in scores[0].items())
-
-
-def test_paths_hold_every_context_and_prefix(spark):
-    r = random.Random(3)
-    rows = [("".join(r.choice("abcde ") for _ in range(300)), r.choice((None, 0, 1, 2, 4))) for _ in range(40)]
-    docs = spark.createDataFrame([(p, t) for t, p in rows], "part int, body string")
-    events = lm_mixing.count_corpus(docs, lm_mixing.Split()).where("gram IS NOT NULL")
-    got = {(x.t, x.context, x.byte): np.array([x.all_0, x.all_1]).view(np.uint16).tolist()
-           for x in lm_mixing.context_paths(events).collect()}
-    n = collections.Counter()
-    seen = set()
-    for text, part in rows:
-        body = b"\n\n\n\n" + b" ".join(text.encode().split()) + b"\n"
-        for k in range(4, len(body)):
-            for t in (3, 4):
-                key = (t, int.from_bytes(body[k - t:k], "big"), body[k])
-                seen.add(key)
-                n[key] += part not in (None, 1)
-    assert {k for k in got if k[0]} == seen
-    for t, context, byte in seen:
-        for k, packed in enumerate(got[t, context, byte]):
-            below = [sum(n[t, context, b] for b in range(256) if b >> (7 - k) == (byte >> (8 - k) << 1 | bit)) for bit in (0, 1)]
-            odds = round(min(2047, max(-2047, 128 * math.log((below[1] + 0.08) / (below[0] + 0.08))))) + 2048
-            assert packed == (odds << 2 | (2 if sum(below) > 3 else 1) if sum(below) else 0)
+    assert all(scores[1][k] == pytest.approx(v, rel=1e-6) for k, v in scores[0].items())
+
+
+def trie_of(words, n):
+    """(prefix -> next byte -> count) of words that end with a space."""
+    out = collections.defaultdict(collections.Counter)
+    for w, k in zip(words, n):
+        for d in range(len(w) + 1):
+            out[w[:d]][(w + b" ")[d]] += int(k)
+    return out
+
+
+def path_of(counter, byte):
+    for k in range(8):
+        below = [sum(v for b, v in counter.items() if b >> (7 - k) == (byte >> (8 - k) << 1 | bit)) for bit in (0, 1)]
+        yield int(lm_mixing.packed(np.array([below[0]]), np.array([below[1]]))[0])
+
+
+def test_edges_are_those_of_the_trie():
+    r = random.Random(6)
+    for trial in range(30):
+        words = sorted({"".join(r.choice("ab\x01") for _ in range(r.randint(1, 9))).encode() + r.choice([b"", b"x" * 30]) for _ in range(40)},
+                       key=lambda w: w + b" ")
+        n = np.array([r.randint(0, 6) for _ in words])
+        apart = np.array([r.randint(0, k) for k in n])
+        homes = np.array([len((w + b" ")[:4]) for w in words])
+        e = lm_mixing.word_edges(words, homes, n, apart)
+        every, before = trie_of(words, n), trie_of(words, n - apart)
+        seen = {}
+        for j in range(len(e.byte)):
+            prefix = words[e.word[j]][:e.depth[j]]
+            assert (prefix, e.byte[j]) not in seen
+            seen[prefix, e.byte[j]] = j
+            assert e.n[j] == every[prefix][e.byte[j]] and e.n[j] - e.apart[j] == before[prefix][e.byte[j]]
+            window = (b"\0\0\0 " + prefix)[-4:]
+            assert e.context[j] == int.from_bytes(window, "big")
+            for paths, trie in ((e.paths, every), (e.paths_before, before)):
+                assert paths[j].tolist() == (list(path_of(trie[prefix], e.byte[j])) if len(prefix) >= 4 else [0] * 8)
+        assert set(seen) == {(p, b) for p, c in every.items() if p for b in c}
+        cost = np.random.default_rng(trial).normal(size=len(e.byte))
+        flat, size = np.frombuffer(b" ".join(words) + b" ", np.uint8), np.array([len(w) + 1 for w in words])
+        got = lm_mixing.word_costs(e, cost, lm_mixing.common_prefixes(flat, np.cumsum(size) - size), len(words))
+        want = [sum(cost[seen[w[:d], (w + b" ")[d]]] for d in range(1, len(w) + 1)) for w in words]
+        assert np.allclose(got, want)
 
 
 def test_byte_probabilities_sum_to_one():
     r = np.random.default_rng(1)
-    tables = [(r.integers(0, 16000, (1 << lm_mixing.TABLE_BITS, 16)) * 4 + r.integers(0, 3)).astype(np.uint16)
-              for _ in range(5)]
-    mixer = lm_mixing.Mixer(tables, r.normal(size=256).astype(np.float32))
+    table = (r.integers(1000, 3000, 1 << lm_mixing.SLOT_BITS) << 2 | r.integers(0, 3, 1 << lm_mixing.SLOT_BITS)).astype(np.uint16)
     weights = r.normal(size=(lm_mixing.INPUTS, lm_mixing.GATES)).astype(np.float32)
     refined = r.uniform(0.1, 0.9, 256 * lm_mixing.LEVELS).astype(np.float32)
-    cost = lm_mixing.bit_costs(mixer, weights, refined, np.full(256, 77, np.uint64), np.arange(256, dtype=np.uint64),
-                               np.full(256, 5, np.uint64))
+    paths = lm_mixing.path_predictions(np.arange(256), r.integers(0, 9, 256))
+    cost = lm_mixing.edge_costs(table, weights, refined, np.full(256, 77), np.arange(256), paths)
     assert (10 ** cost).sum() == pytest.approx(1, abs=1e-4)
 
 
-def test_remembered_costs_are_those_of_their_own_events():
-    r, table = np.random.default_rng(5), lm_mixing.CostTable(bits=4)
-    for _ in range(30):
-        keys = np.unique(np.concatenate([r.integers(0, 60, 40), [0, 1]])).astype(np.uint64)
-        assert (table.look_up(keys, lambda which: keys[which].astype(float) * 3 + 1) == keys * 3.0 + 1).all()
-
-
-def test_prefix_hashes_do_not_depend_on_the_place():
-    flat, _ = lm_mixing._joined([[b"abc", b"abd"], [b"abc"]])
-    h = lm_mixing._prefix_hashes(flat)
-    text = flat.astype(np.uint8).tobytes()
-    places = [m.start() for m in re.finditer(b"ab", text)]
-    assert len({int(h[p + 2]) for p in places}) == 1 and len(places) == 3
+def test_score_equals_a_plain_mixing_model(spark, monkeypatch):
+    """A model worked out byte by byte, from plain counts, with the weights that were learned."""
+    monkeypatch.setattr(lm_mixing, "HOME", 4)
+    ids, texts = range(60), [prose("en", 12, i) for i in range(60)]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    kept = {}
+    real = lm_mixing.learn_weights
+    monkeypatch.setattr(lm_mixing, "learn_weights", lambda *a: kept.setdefault("mixing", real(*a)))
+    got = {r.doc_id: r.score for r in lm_mixing.score(docs).collect()}
+    weights, refined = kept["mixing"]
+    train = [t.encode().split() for i, t in zip(ids, texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    trie = trie_of([w for t in train for w in t], [1] * sum(map(len, train)))
+    slot = collections.defaultdict(lambda: [0, 0])
+
+    def events(words):
+        before = (10, 10)
+        for w in [*words, None]:
+            body = b"\n" if w is None else w + b" "
+            yield 32 | before[1] << 8 | before[0] << 16, body[0], None
+            for d in range(1, len(body)):
+                yield int.from_bytes((b"\0\0\0 " + body[:d])[-4:], "big"), body[d], body[:d]
+            before = ((b" " + w)[-2], w[-1]) if w else None
+
+    def nodes(context, byte):
+        return [(o, k, int(s[0])) for o, k, s in lm_mixing.slots(np.array([context]), np.array([byte]))]
+
+    for words in train:
+        for context, byte, _ in events(words):
+            for _, k, s in nodes(context, byte):
+                slot[s][byte >> (7 - k) & 1] += 1
+    for i, t in zip(ids, texts):
+        total = 0.0
+        for context, byte, prefix in events(t.encode().split()):
+            path = list(path_of(trie[prefix], byte)) if prefix is not None and len(prefix) >= 4 else [0] * 8
+            found = {(o, k): int(lm_mixing.packed(np.array([slot[s][0]]), np.array([slot[s][1]]))[0]) for o, k, s in nodes(context, byte)}
+            for k in range(8):
+                x = [lm_mixing.ODDS[found[o, k]] for o in (1, 2, 3, 4, 0)] + [lm_mixing.ODDS[path[k]], 0.3]
+                gate = k * 9 + (found[4, k] & 3) * 3 + (path[k] & 3)
+                odds = max(-14.0, min(14.0, float(sum(a * b for a, b in zip(weights[:, gate], x)))))
+                level = min(23, max(0, round((odds + 9) * 23 / 18)))
+                p = 0.5 / (1 + math.exp(-odds)) + 0.5 * float(refined[(1 << k | byte >> (8 - k)) * 24 + level])
+                total += math.log10(p if byte >> (7 - k) & 1 else 1 - p)
+        assert got[i] == pytest.approx(total, rel=2e-3)
+
+
+def test_a_home_of_many_words_is_dealt_by_more_bytes(spark):
+    r = random.Random(8)
+    words = ["http://" + "".join(r.choice("abc") for _ in range(8)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, " ".join(r.choice(words) for _ in range(30))) for i in range(50)], "doc_id long, text string")
+    counts = lm_mixing.count_corpus(docs.selectExpr("1 AS part", "text AS body"), lm_mixing.Split(held_out=9))
+    dealt = lm_mixing.deal(counts, 40)
+    homes = collections.Counter(x.home for x in dealt.where("word IS NOT NULL").collect())
+    assert max(homes.values()) <= 40 and sum(homes.values()) == counts.where("word IS NOT NULL").count()
+    plain, split = ({x.doc_id: x for x in lm_mixing.score(docs, group=g).collect()} for g in (500_000, 40))
+    assert all(split[i].base_score == pytest.approx(plain[i].base_score) and split[i].score < 0 for i in plain)
+
+
+def test_learning_helps(spark):
+    docs = spark.createDataFrame([(i, prose("en" if i % 2 else "de", 40, i)) for i in range(300)], "doc_id long, text string")
+    bits = [r.bits_per_byte for r in lm_mixing.score(docs).collect() if r.held_out]
+    assert len(bits) > 30 and max(bits) < 1.6  # 12 or 13 equally likely words of about five bytes
 
 
 # -- classifiers -------------------------------------------------------------------
