@@ -24,7 +24,8 @@ near copies is linked before it is keyed: views of 32 of the 64 bits tie each
 fingerprint to the smallest and largest one of its view, and components are
 formed. Of the keys, one with two members is settled by the aggregate that
 counts them, one whose members all bear the same label is dropped there, and
-of the others that aggregate keeps eight extreme members, which are compared.
+of the others that aggregate keeps eight extreme members, of which two are
+compared with all.
 Only keys that still have several labels get their members back; members of
 different labels then meet in one of five blocks of the fingerprint, one of
 which any two within 4 bits share, so a key's members are not paired with each
@@ -166,7 +167,9 @@ def _keyed(fps: DataFrame, *also: str) -> DataFrame:
                 rows, key = keys(part[0].view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(c[rows]) for c in part)], names=names)
 
-    return fps.select("fp", *also).mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    # A row of 16 bytes becomes about 80 keys, so rows are dealt to as many tasks as a shuffle has, whatever their bytes.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return fps.select("fp", *also).repartition(tasks, "fp").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _close(a: str, b: str, max_bits: int) -> str:
@@ -218,10 +221,10 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
         F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"),
         *map(F.expr, extremes)).where("low < high")
     keys = materialize(keys.where("n > 2 OR " + _close("m0min", "m0max", max_bits)).drop("low", "high"), "golay_keys")
-    pairs = ", ".join(f"named_struct('src', {x}, 'dst', {y})" for i, x in enumerate(names) for y in names[i + 1:])
+    pairs = ", ".join(f"named_struct('src', {x}, 'dst', {y})" for i, x in enumerate(names[:2]) for y in names[i + 1:])
+    near = f"filter(array_distinct(array({pairs})), p -> p.src <> p.dst AND {_close('p.src', 'p.dst', max_bits)})"
     met = (keys.where("n = 2").selectExpr("m0min AS src", "m0max AS dst")
-           .unionByName(keys.where("n > 2").selectExpr(f"inline(array({pairs}))")
-                        .where("src <> dst AND " + _close("src", "dst", max_bits))).distinct())
+           .unionByName(keys.where("n > 2").selectExpr(f"inline({near})")).distinct())
     of = labelled.selectExpr("fp AS dst", "label AS to")
     met = met.join(labelled.withColumnRenamed("fp", "src"), "src").join(of, "dst").selectExpr("label AS src", "to AS dst")
     second = connected_components(met.where("src <> dst").distinct())
