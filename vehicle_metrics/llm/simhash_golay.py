@@ -234,14 +234,15 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     several = _keyed(labelled, "label").groupBy("key").agg(
         F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("n > 2 AND low < high")
     shared = materialize(_keyed(labelled, "label").join(several.select("key"), "key"), "golay_shared")
-    spans = ", ".join(f"named_struct('block', {i}, 'bits', shiftrightunsigned(fp, {13 * i}) & {(1 << min(13, 64 - 13 * i)) - 1}L)"
-                      for i in range(5))
-    rest = shared.selectExpr("key", "fp", "label", f"inline(array({spans}))")
-    mixed = rest.groupBy("key", "block", "bits").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    left = materialize(rest.join(mixed.select("key", "block", "bits"), ["key", "block", "bits"]), "golay_left")
-    other = left.selectExpr("key", "block", "bits", "fp AS fp_b", "label AS label_b")
-    late = (left.join(other, ["key", "block", "bits"]).where("label < label_b AND " + _close("fp", "fp_b", max_bits))
-            .selectExpr("label AS src", "label_b AS dst").distinct())
+    late = None
+    for i in range(5):
+        bits = f"shiftrightunsigned(fp, {13 * i}) & {(1 << min(13, 64 - 13 * i)) - 1}L AS bits"
+        one = shared.selectExpr("key", bits, "fp", "label")
+        other = shared.selectExpr("key", bits, "fp AS fp_b", "label AS label_b")
+        met = (one.join(other, ["key", "bits"]).where("label < label_b AND " + _close("fp", "fp_b", max_bits))
+               .selectExpr("label AS src", "label_b AS dst"))
+        late = met if late is None else late.unionByName(met)
+    late = late.distinct()
     merged = materialize(_relabel(labelled, connected_components(late)).selectExpr("fp", "label AS component"), "golay_components")
     linked = merged.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
     return merged.join(linked, "component").select("fp", "component")
