@@ -308,6 +308,43 @@ def test_components_of_a_chain(spark):
     assert {got[i] for i in range(61)} == {0} and got[101] == 100
 
 
+def test_rows_joined_for_a_crowd_grow_no_faster_than_the_crowd(spark, monkeypatch):
+    """A crowd of near copies around one fingerprint, and twice as many."""
+    counted = {}
+    real = simhash_golay.materialize
+
+    def recording(df, name):
+        out = real(df, name)
+        counted[name] = counted.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(simhash_golay, "materialize", recording)
+    r, rows = random.Random(5), []
+    sizes = (250, 500)
+    crowd = set()
+    while len(crowd) < sizes[-1]:
+        fp = 0x1234_5678_9ABC_DEF0
+        for b in r.sample(range(64), r.randint(0, 6)):
+            fp ^= 1 << b
+        crowd.add(fp)
+    crowd = sorted(crowd, key=lambda x: zlib.crc32(str(x).encode()))
+    for n in sizes:
+        counted.clear()
+        fps = crowd[:n]
+        df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
+        got = {x.fp % (1 << 64): x.component for x in simhash_golay.fingerprint_components(df).collect()}
+        label = {x: x for x in fps}
+        for _ in range(8):
+            for a, b in itertools.combinations(fps, 2):
+                if (a ^ b).bit_count() <= 4:
+                    label[a] = label[b] = min(label[a], label[b])
+        size = collections.Counter(label.values())
+        assert set(got) == {x for x in fps if size[label[x]] > 1}
+        assert all((got[a] == got[b]) == (label[a] == label[b]) for a, b in itertools.combinations(sorted(got), 2))
+        rows.append(counted["golay_shared"] + counted["golay_keys"])
+    assert rows[1] <= 2.5 * rows[0] + 500
+
+
 # -- sharding ----------------------------------------------------------------------
 
 def test_differencing_keeps_sums_and_beats_dealing_in_turn():
