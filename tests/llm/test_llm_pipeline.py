@@ -2,6 +2,7 @@
 
 import collections
 import os
+import random
 import zlib
 
 import numpy as np
@@ -134,3 +135,62 @@ def test_run_equals_a_plain_run(spark):
     assert len(left[0]) > len(left[1]) > len(left[3]) > len(left[4]) > 0
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "language_id", "simhash_near_dedup", "benchmark_decontamination", "bpe"]
+
+
+def made_up(seed, parts, n):
+    """``n`` words of two to four of the syllables ``parts``."""
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices(parts, k=rng.randint(2, 4))) for _ in range(n))
+
+
+SYLLABLES = {"aa": "ba ke li mo nu sa te ri".split(), "bb": "zok wyd xaf qug vib hjy cyx dwo".split()}
+CLASHING = ("id", "body", "key", "fp", "item", "n_words", "kept", "lang_pred", "score", "_fp", "_row", "_body", "_t")
+
+
+def awkward_tables(spark, folder):
+    """Documents with NULLs, repeated rows, ties, a text of a megabyte and columns named like the stages' own."""
+    item = made_up("item", SYLLABLES["aa"], 12)
+    ids = [i for i in range(1, 100) if may_learn(i)][:14]
+    texts = {i: made_up(i, SYLLABLES["aa" if k % 2 else "bb"], 120) for k, i in enumerate(ids)}
+    rows = [(i, t, "aa" if k % 2 else "bb") for k, (i, t) in enumerate(texts.items())]
+    rows += [rows[0], rows[0]]  # repeated rows
+    rows += [(1001, texts[ids[1]], None), (None, texts[ids[2]], None)]  # copies with a larger and with a NULL id
+    rows += [(None, made_up("none", SYLLABLES["aa"], 120), None)]  # a text of its own, NULL id
+    rows += [(1002, made_up("long", SYLLABLES["aa"], 150_000), None)]  # a very long text
+    leak = texts[ids[3]][:200] + " " + item[:20] + "x" + item[20:] + " " + texts[ids[4]][:300]
+    rows += [(1003, made_up("around", SYLLABLES["aa"], 60) + " " + leak, None)]
+    rows += [(1004, None, "aa"), (1005, "", "aa"), (1006, " \t\n\x0b", None), (1007, "one two " * 100, None),
+             (1008, " ".join(map(str, range(100, 220))), None), (None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+        f"`{c}` string" for c in CLASHING)
+    full = [(i, t, x, None, None, *["?"] * len(CLASHING)) for i, t, x in rows]
+    spark.createDataFrame(full, schema).coalesce(2).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(ids[0], 1, 0), (ids[0], 0, 1), (None, 1, None), (ids[1], None, 1)],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item), (1, item), (None, ""), (2, None)],
+                          "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return ids
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_awkward_rows(spark, scratch, empty):
+    from vehicle_metrics.storage import materialize
+
+    ids = awkward_tables(spark, scratch)
+    docs = spark.read.parquet(f"{scratch}/documents.parquet")
+    columns = docs.columns
+    if empty:
+        docs = docs.where("false")
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, scratch), f"awkward_{name}")
+        assert docs.columns == columns or name == "bpe"
+        left[name] = sorted((r.doc_id for r in docs.select("doc_id").collect()), key=lambda i: (i is None, i or 0))
+    if empty:
+        assert all(x == [] for x in left.values())
+        return
+    clean = sorted(ids) + [1002, 1003, None]
+    assert left["quality_rules"] == sorted([ids[0], ids[0], *ids]) + [1001, 1002, 1003, 1008, None, None]
+    assert left["language_id"] == sorted([ids[0], ids[0], *ids]) + [1001, 1002, 1003, None, None]
+    assert left["simhash_near_dedup"] == clean
+    assert left["benchmark_decontamination"] == left["bpe"] == [i for i in clean if i != 1003]
