@@ -238,7 +238,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                       item_text: str = "text", rate: float = EDIT_RATE, min_chars: int = MIN_CHARS,
                       block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` that contain no test item, with their own columns;
-    rows are filtered in place, without a shuffle."""
+    rows are filtered in place, without a shuffle. NULL and empty documents
+    contain none and stay, NULL and empty items match nothing, and repeated
+    rows are each judged; an empty table on either side drops nothing."""
     spark, body = docs.sparkSession, fresh(docs, "_body")
     kept = docs.withColumn(body, F.col(text_col).cast("string"))
     for block in item_blocks(benchmark, item_id, item_text, block_chars):

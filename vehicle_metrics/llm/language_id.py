@@ -260,7 +260,11 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     min_score: float | None = None) -> DataFrame:
     """The rows whose language can be told: not ``und`` and a score of at
     least the cutoff learned for that language, or ``min_score`` if given.
-    Their own columns are kept as they are."""
+    Their own columns are kept as they are.
+
+    NULL, empty and letterless texts go; a NULL id or language is not learned
+    from; repeated rows count each; if nothing may be learned from, no row
+    stays. A very long text is one array of its n-grams in its task."""
     pred, score = fresh(docs, "_lang_pred"), fresh(docs, "_lang_score")
     profiles = learn(docs, id_col, text_col, lang_col)
     scored = add_language(docs, profiles, pred, score, text_col)
