@@ -373,6 +373,18 @@ def test_shards_keep_groups_and_number_rows(docs, empty, bucket, fan):
     assert sharding.shard(empty, n_shards=4).count() == 0
 
 
+def test_repeated_rows_spread_over_the_chunks(spark):
+    same = [(7, 8, 0, 1, b"x", k) for k in range(900)]
+    other = [(k, 9, k, k % 2, str(k).encode(), 1_000 + k) for k in range(100)]
+    placed = spark.createDataFrame(same + other, "id long, size long, text_crc32 long, shard int, item binary, row long")
+    got = sharding.number_slots(placed, 2, 50).collect()
+    for s in (0, 1):
+        mine = sorted(r.slot for r in got if r.shard == s)
+        assert mine == list(range(len(mine)))
+    chunks = collections.Counter(r.chunk for r in got if r.id == 7 and r.size == 8)
+    assert len(chunks) == 10 and max(chunks.values()) < 180
+
+
 # -- LM scoring --------------------------------------------------------------------
 
 def test_base_scores_equal_a_plain_count(docs, empty):
@@ -563,6 +575,69 @@ def test_classifiers_learn_on_held_out_rows(spark):
     assert sum(r.kept == (r.doc_id % 5 != 0) for r in kept) / len(kept) > 0.95
 
 
+def plain_toxicity_features(text, learned):
+    """The features by their definitions, each word compared with each other one."""
+    words = (text or "").split()
+    n = len(words)
+    if n == 0:
+        return dict.fromkeys(toxicity.FEATURES, 0.0)
+    bare = [re.sub(r"^[^\w@$*]+|[^\w@$*]+$", "", w.lower()) for w in words]
+    mixed = [re.search(r"[a-zA-Z][0-9@$*!#%]+[a-zA-Z]", w) is not None for w in words]
+    spelt = [b.replace("*", "").translate(str.maketrans("013457@$!", "oieastasi")) for b in bare]
+    is_in = lambda k, names: bare[k] in names or (mixed[k] and spelt[k] in names)
+    seed = [k for k in range(n) if is_in(k, toxicity.INSULTS)]
+    own = [k for k in range(n) if is_in(k, learned)]
+    hits = [k for k in range(n) if k in seed or k in own]
+    you = [k for k in range(n) if bare[k] in toxicity.SECOND_PERSON]
+    letters = [c for c in text if c.isalpha()]
+    return {
+        "seed_density": len(seed) / n, "learned_density": len(own) / n, "lexicon_hits": len(hits),
+        "lexicon_distinct": len({bare[k] for k in hits}),
+        "near_second_person": sum(any(abs(k - j) <= 5 for j in you) for k in hits) / n,
+        "second_person": len(you) / n, "capitals": sum(c.isupper() for c in letters) / max(1, len(letters)),
+        "shouted": sum(len(w) > 2 and w.isupper() for w in words) / n,
+        "marks": len(re.findall(r"[!?]", text)) / n, "repeated_marks": len(re.findall(r"!!|\?\?", text)) / n,
+        "mixed": sum(mixed) / n,
+        "spelled": sum(all(len(bare[k + j]) == 1 for j in range(3)) for k in range(n - 2)) / n,
+        "words": min(n, 2000), "hit_span": (max(hits) - min(hits)) / n if hits else 0.0}
+
+
+def test_toxicity_features_equal_a_plain_version(spark):
+    rng = random.Random(4)
+    bank = "You you, your idiot! ID1OT st*pid stup1d s-o i d i o t GROMF gromf?! gr0mf (hate) walks over !! ?? a B WHY NOT".split()
+    texts = [None, "", " \n", "idiot"] + [" ".join(rng.choices(bank, k=rng.randint(1, 60))) for _ in range(80)]
+    texts += [" ".join(rng.choices(bank, k=2_500))]
+    learned = frozenset({"gromf", "walks"})
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, body string")
+    for r in toxicity.add_features(rows, "body", "x", learned).collect():
+        assert dict(zip(toxicity.FEATURES, r.x)) == pytest.approx(plain_toxicity_features(texts[r.id], learned)), texts[r.id]
+
+
+def test_learned_lexicon_equals_a_plain_count(spark):
+    rng = random.Random(5)
+    texts = [(" ".join(rng.choices(BANK["en"], k=20) + rng.choices(["gromf", "Blat!", "river"], k=2) * bad), float(bad))
+             for bad in (0, 1) for _ in range(60 + 60 * (1 - bad))]
+    texts += [("only once zzz", 1.0), (None, 0.0), ("", 1.0)]
+    seen = [({re.sub(r"\W", "", w.lower()) for w in (t or "").split()}, y) for t, y in texts]
+    n_bad = sum(y for _, y in seen)
+    want = set()
+    for word in set().union(*(s for s, _ in seen)):
+        bad = sum(word in s for s, y in seen if y == 1)
+        good = sum(word in s for s, y in seen if y == 0)
+        if bad >= max(3, 0.01 * n_bad) and bad / n_bad >= 4 * (good + 0.5) / (len(seen) - n_bad + 1):
+            want.add(word)
+    got = toxicity.learn_lexicon(spark.createDataFrame(texts, "body string, y double").repartition(3))
+    assert got == want and {"gromf", "blat"} <= want
+
+
+def test_one_text_of_each_labelled_id_is_learned_from(spark):
+    rows = [(1, "a"), (1, "b"), (1, "b"), (2, "c"), (2, "c"), (3, None), (4, "not labelled"), (None, "d")]
+    docs = spark.createDataFrame(rows, "id long, body string").repartition(3)
+    picked = spark.createDataFrame([(1, 1.0), (2, 0.0), (3, 0.0), (9, 1.0)], "label_id long, y double")
+    got = sorted(map(tuple, toxicity.training_rows(docs, picked).collect()), key=str)
+    assert got[0][0] == 1 and got[0][1] in ("a", "b") and got[1:] == [(2, "c", 0.0), (3, None, 0.0)]
+
+
 def test_exchange_sums_over_every_confident_row(spark):
     rng = np.random.default_rng(3)
     x = {"content": rng.normal(size=(3_000, 3)), "metadata": rng.normal(size=(3_000, 2))}

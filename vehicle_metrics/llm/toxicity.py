@@ -88,6 +88,18 @@ def labelled_sample(labels: DataFrame, sample: int = SAMPLE, label_id: str = "do
     return rows.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
 
 
+def training_rows(rows: DataFrame, picked: DataFrame) -> DataFrame:
+    """(id, body, y) for the labelled ids of ``picked``, one row for each id,
+    so that repeated ids cannot exceed the sample: of several texts with one id
+    the one with the least hash is learned from."""
+    found = rows.join(F.broadcast(picked), F.col("id") == F.col("label_id")).select(
+        "id", "body", "y", F.monotonically_increasing_id().alias("row"))
+    found = materialize(found, "toxic_found")
+    one = found.groupBy("id").agg(F.min(F.struct(F.xxhash64("body").alias("h"), F.col("row"))).alias("one"))
+    keep = F.broadcast(one.select(F.col("one.row").alias("row")))  # at most one number for each picked id
+    return materialize(found.join(keep, "row", "left_semi").select("id", "body", "y"), "toxic_train")
+
+
 def learn_lexicon(train: DataFrame, size: int = LEXICON) -> frozenset[str]:
     """Words that stand in at least three toxic texts and one in a hundred of
     them, and there at least four times as often as in the others; the ``size``
@@ -145,13 +157,12 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ``sample`` labelled ones: four fifths fit the trees and one fifth the
     calibration. NULL and empty texts are scored with all features zero. With
     fewer than ten labelled rows of either kind, every score is the share of
-    toxic labels (0 without labels). Repeated rows each get a row; a NULL id
-    is never held out; other columns are not carried.
+    toxic labels (0 without labels). Repeated rows each get a row, and of rows
+    with one id one is learned from; a NULL id is never held out; other columns are not carried.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("body"))
     picked = materialize(labelled_sample(labels, sample, label_id, label_col), "toxic_labels")
-    train = rows.join(F.broadcast(picked), F.col("id") == F.col("label_id")).select("id", "body", "y")
-    train = materialize(train, "toxic_train")
+    train = training_rows(rows, picked)
     learned = learn_lexicon(train)
     fit = materialize(add_features(train, "body", "x", learned).select(
         array_to_vector("x").alias("x"), "y", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 0).alias("calibrate")),
