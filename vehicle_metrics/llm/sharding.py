@@ -17,13 +17,13 @@ shards travels down again.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vehicle_metrics.llm.common import HEAVY_SHARE, look_up
 from vehicle_metrics.storage import materialize
 
 SHARDS = 24
@@ -131,26 +131,32 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_sha
     """
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
-                       F.crc32(body).alias("text_crc32"), F.unhex(F.sha2(body, 256)).alias("item"))
+                       F.crc32(body).alias("text_crc32"), F.unhex(F.sha2(body, 256)).alias("item"),
+                       F.monotonically_increasing_id().alias("row"))
     rows = materialize(rows, "shard_rows")
-    groups = materialize(rows.groupBy("item").agg(F.sum("size").alias("bytes")), "shard_groups")
-    placed = materialize(rows.join(assign_groups(groups, n_shards, bucket_groups, fan_in), "item"), "shard_placed")
-
-    # Slots: rows are numbered within chunks of a shard; a chunk starts where the counts before it end.
+    groups = rows.groupBy("item").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    groups = materialize(groups, "shard_groups")
+    homes = materialize(assign_groups(groups.select("item", "bytes"), n_shards, bucket_groups, fan_in), "shard_homes")
+    # Groups of a thousandth of the rows or more are at most 1000; their rows find their shard by broadcast.
+    large = groups.where(F.col("n") >= max(2, -(-rows.count() // HEAVY_SHARE))).select("item")
+    placed = materialize(look_up(rows, large, homes, "item"), "shard_placed")
+    return number_slots(placed, n_shards, slot_rows).select(
+        F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def number_slots(placed: DataFrame, n_shards: int, slot_rows: int) -> DataFrame:
+    """``placed`` with ``slot``, which numbers the rows of a shard from 0.
+
+    Rows are numbered within chunks of about ``slot_rows``; a chunk starts
+    where the counts before it end. The chunk comes from the stored row
+    number, so rows that repeat one id and text spread over all chunks.
+    """
     n_chunks = max(1, -(-placed.count() // (n_shards * slot_rows)))
-    order = [F.col("text_crc32"), F.col("item"), F.col("id")]
-    chunk = F.pmod(F.xxhash64("id", "text_crc32"), F.lit(n_chunks))
-    chunked = placed.withColumn("chunk", chunk)
+    chunked = placed.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(n_chunks)))
     starts = chunked.groupBy("shard", "chunk").agg(F.count("*").alias("n")).withColumn(
         "start", F.sum("n").over(Window.partitionBy("shard").orderBy("chunk").rowsBetween(
             Window.unboundedPreceding, -1))).select("shard", "chunk", F.coalesce("start", F.lit(0)).alias("start"))
-    within = F.row_number().over(Window.partitionBy("shard", "chunk").orderBy(*order)) - 1
-    return chunked.withColumn("within", within).join(starts, ["shard", "chunk"]).select(
-        F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("start") + F.col("within")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
-
-
-def spread(sharded: DataFrame) -> Iterator[tuple[int, int, int]]:
-    """(shard, rows, bytes) of a sharded table, one small row for each shard."""
-    for r in sharded.groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("b")).toLocalIterator():
-        yield r.shard, r.n, r.b
+    within = F.row_number().over(Window.partitionBy("shard", "chunk").orderBy("text_crc32", "item", "id", "row")) - 1
+    return chunked.withColumn("within", within).join(starts, ["shard", "chunk"]).withColumn(
+        "slot", (F.col("start") + F.col("within")).cast("long"))
