@@ -17,35 +17,58 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR_KEY = "spark.vehicle_metrics.localScratch"
 _written: dict[str, list[str]] = {}
+_probed: set[tuple[str, str]] = set()
+PROBE_TASKS = 200
 
 
 def _is_local(spark: SparkSession) -> bool:
-    """True when driver and executors run on one machine."""
-    return (spark.conf.get("spark.master", None) or "").startswith("local")
+    """True when driver and executors are one process."""
+    master = spark.conf.get("spark.master", None) or ""
+    return master == "local" or master.startswith("local[")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.
+    """The folder in ``spark.checkpoint.dir``; without one, the warehouse,
+    which a cluster shares too.
 
-    A session without one gets a temporary folder only when everything runs
-    on one machine (tests); on a cluster that is an error, and so is a folder
-    that only the local machine can see (``file:`` or no scheme while the
-    default file system is local).
+    Only a session in one process (tests) gets a temporary folder instead.
+    Whether a folder without a remote scheme is shared cannot be told from its
+    name (a file system mounted on all machines has none), so on a cluster it
+    is tried once: see ``_probe``.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    local = _is_local(spark)
+    root, local = spark.conf.get("spark.checkpoint.dir", None), _is_local(spark)
     if not root and local:
         root = spark.conf.get(_OWN_DIR_KEY, None)
         if not root:
             root = tempfile.mkdtemp(prefix="vehicle-metrics-")
             spark.conf.set(_OWN_DIR_KEY, root)
-    if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+    root = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
     if not local:
         default_fs = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///"
-        if root.startswith("file:") or ("://" not in root and default_fs.startswith("file:")):
-            raise RuntimeError(f"spark.checkpoint.dir is the machine-local folder {root}; executors cannot share it")
-    return root.rstrip("/")
+        if root.startswith("file:") or (":/" not in root and default_fs.startswith("file:")):
+            _probe(spark, root)
+    return root
+
+
+def _probe(spark: SparkSession, root: str) -> None:
+    """Fail unless the driver finds in ``root`` what tasks have written there;
+    tried once per application and folder."""
+    if (_app(spark), root) in _probed:
+        return
+    n = min(spark.sparkContext.defaultParallelism, PROBE_TASKS)
+    path = f"{root}/vehicle_metrics/probe-{uuid.uuid4().hex}"
+    spark.range(0, n, 1, n).write.parquet(path)
+    found = spark.read.schema("id long").parquet(path).count()
+    _delete(spark, path)
+    if found != n:
+        raise RuntimeError(f"{root} is not shared: of {n} rows written there by tasks the driver finds {found}; "
+                           "name a folder in spark.checkpoint.dir that driver and executors share")
+    _probed.add((_app(spark), root))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _app(spark: SparkSession) -> str:
@@ -66,11 +89,8 @@ def drop_materialized(spark: SparkSession, since: int = 0) -> None:
     ``since`` (see ``written_so_far``). DataFrames that still read them fail
     afterwards, so call it once the final result is stored."""
     paths = _written.get(_app(spark), [])
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths[since:]:
-        target = hadoop(path)
-        target.getFileSystem(conf).delete(target, True)
+        _delete(spark, path)
     del paths[since:]
 
 
