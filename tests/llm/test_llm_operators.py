@@ -543,6 +543,44 @@ def test_a_home_of_many_words_is_dealt_by_more_bytes(spark):
     assert all(split[i].base_score == pytest.approx(plain[i].base_score) and split[i].score < 0 for i in plain)
 
 
+def crowded_words():
+    """Homes that are cut at several lengths, words that end within a home, and a byte above 127."""
+    r = random.Random(11)
+    words = ["http://" + "".join(r.choice("ab") for _ in range(r.randint(0, 9))) for _ in range(300)]
+    return words + ["http:", "http", "httpé" + "x" * 9, "htt", "other", "others"]
+
+
+@pytest.mark.parametrize("group", [40, 5])
+def test_prefixes_of_cut_homes_have_exact_counts(spark, group):
+    r = random.Random(12)
+    rows = [(r.choice([0, 1, 4, None]), " ".join(r.choices(crowded_words(), k=20))) for _ in range(40)]
+    counts = lm_mixing.count_corpus(spark.createDataFrame(rows, "part int, body string"), lm_mixing.Split())
+    dealt = lm_mixing.deal(counts, group)
+    table = [x for x in dealt.collect() if x.word is not None]
+    every = trie_of([bytes(x.word) for x in table], [x.n for x in table])
+    before = trie_of([bytes(x.word) for x in table], [x.n - x.apart for x in table])
+    above = {bytes(x.home): x.above for x in lm_mixing.above_homes(dealt).collect()}
+    assert set(above) == {bytes(x.home) for x in table if len(x.home) > 4} and len({len(h) for h in above}) > 1
+    for home, found in above.items():
+        want = [[*path_of(every[home[:d]], home[d]), *path_of(before[home[:d]], home[d])] for d in range(4, len(home))]
+        assert [np.frombuffer(x, np.uint16).tolist() for x in found] == want
+
+
+def test_scores_do_not_depend_on_cut_homes(spark, monkeypatch):
+    r = random.Random(13)
+    docs = spark.createDataFrame([(i, " ".join(r.choices(crowded_words(), k=30))) for i in range(60)], "doc_id long, text string")
+    of = lambda g: {x.doc_id: x.score for x in lm_mixing.score(docs, group=g, frequent=9).collect()}
+    kept = {}
+    real = lm_mixing.learn_weights
+    monkeypatch.setattr(lm_mixing, "learn_weights", lambda *a: kept.setdefault("mixing", real(*a)))
+    plain = of(500_000)
+    for group in (40, 5):
+        assert of(group) == {i: pytest.approx(x, rel=1e-9) for i, x in plain.items()}
+    # Weights learned from cut homes differ by the order in which words are met, at most.
+    monkeypatch.setattr(lm_mixing, "learn_weights", real)
+    assert of(40) == {i: pytest.approx(x, rel=1e-3) for i, x in plain.items()}
+
+
 def test_learning_helps(spark):
     docs = spark.createDataFrame([(i, prose("en" if i % 2 else "de", 40, i)) for i in range(300)], "doc_id long, text string")
     bits = [r.bits_per_byte for r in lm_mixing.score(docs).collect() if r.held_out]

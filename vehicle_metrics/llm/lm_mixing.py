@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vehicle_metrics.llm.common import text_blocks
+from vehicle_metrics.llm.common import heavy_keys, look_up, text_blocks
 from vehicle_metrics.storage import materialize
 
 ORDERS = (1, 2, 3, 4)
@@ -144,9 +144,9 @@ def count_corpus(docs: DataFrame, split: Split) -> DataFrame:
 
 def deal(counts: DataFrame, group: int = GROUP) -> DataFrame:
     """``counts`` with longer homes for the words of a home with more than
-    ``group`` words. The exact counts of a prefix shorter than its home are not
-    used; the hashed contexts stand for it. There are at most (words / group)
-    such homes."""
+    ``group`` words, so that their words lie in several tasks; ``above_homes``
+    has the exact counts of the prefixes that such homes share. There are at
+    most (words / group) homes that are cut."""
     for size in LONGER:
         heavy = counts.where("word IS NOT NULL").groupBy("home").agg(F.count("*").alias("words")).where(F.col("words") > group)
         heavy = materialize(heavy.select("home", F.lit(True).alias("heavy")), "lm_homes")
@@ -158,8 +158,40 @@ def deal(counts: DataFrame, group: int = GROUP) -> DataFrame:
     return counts
 
 
-def by_home(counts: DataFrame) -> DataFrame:
-    return counts.repartition("home").sortWithinPartitions(*map(F.expr, ORDER))
+def above_homes(counts: DataFrame) -> DataFrame:
+    """(home, above) for the homes of more than HOME bytes: the predictions on
+    the way through the home's own bytes from the byte after HOME on, 16 for
+    each, from all counts and from those without the rows set aside. Words of
+    other homes share these prefixes, so they are counted over all homes."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [(i << 8 | x["grown"][-1], x["grown"], x["n"], x["apart"])
+                    for i, found in enumerate(batch.column(0).to_pylist()) for x in found]
+            if not held:
+                continue
+            key, n, apart = (np.array([x[c] for x in held], np.int64) for c in (0, 2, 3))
+            paths = np.concatenate([path_predictions(key, n), path_predictions(key, n - apart)], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array([x[1] for x in held], pa.binary()), pa.array([x.tobytes() for x in paths], pa.binary())],
+                                             names=["grown", "paths"])
+
+    homes = counts.where(f"word IS NOT NULL AND length(home) > {HOME}").groupBy("home").agg(F.sum("n").alias("n"), F.sum("apart").alias("apart"))
+    steps = materialize(homes, "lm_long_homes").selectExpr("*", f"explode(sequence({HOME}, length(home) - 1)) AS depth").selectExpr(
+        "*", "substring(home, 1, depth + 1) AS grown")
+    edges = steps.groupBy("grown").agg(F.sum("n").alias("n"), F.sum("apart").alias("apart"))
+    # At most 256 bytes follow a prefix.
+    beside = edges.groupBy(F.expr("substring(grown, 1, length(grown) - 1)").alias("prefix")).agg(
+        F.sort_array(F.collect_list(F.struct("grown", "n", "apart"))).alias("found")).select("found")
+    paths = beside.mapInArrow(run, "grown binary, paths binary")
+    hubs = materialize(heavy_keys(steps, "grown", steps.count()), "lm_long_hubs")
+    met = look_up(steps, hubs, paths, "grown").groupBy("home").agg(F.sort_array(F.collect_list(F.struct("depth", "paths"))).alias("found"))
+    return materialize(met.selectExpr("home", "transform(found, x -> x.paths) AS above"), "lm_above")
+
+
+def by_home(counts: DataFrame, above: DataFrame) -> DataFrame:
+    """``counts`` dealt and sorted by home; a home that has a row in ``above``
+    gets it before its words, as a row without word and head."""
+    rows = counts.select("home", "word", "head", "n", "apart").unionByName(above, allowMissingColumns=True)
+    return rows.repartition("home").sortWithinPartitions(*map(F.expr, ORDER))
 
 
 # -- edges: prefixes and the bytes that follow them --------------------------------
@@ -216,9 +248,11 @@ def path_predictions(key: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_edges(words: list[bytes], homes: np.ndarray, n: np.ndarray, apart: np.ndarray, paths: bool = True) -> Edges:
+def word_edges(words: list[bytes], homes: np.ndarray, n: np.ndarray, apart: np.ndarray, paths: bool = True,
+               above: tuple[np.ndarray, np.ndarray] | None = None) -> Edges:
     """The edges of sorted distinct words, but for the first byte, in the order
-    in which the words meet them. ``homes`` is the length of each word's home."""
+    in which the words meet them. ``homes`` is the length of each word's home,
+    ``above`` (each word's first row, predictions) has its home's own bytes."""
     size = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
     flat = np.frombuffer(b"    " + b" ".join(words) + b" ", np.uint8)
     start = 4 + np.cumsum(size) - size
@@ -258,6 +292,11 @@ def word_edges(words: list[bytes], homes: np.ndarray, n: np.ndarray, apart: np.n
         bits = byte[alone, None] >> (7 - np.arange(8)) & 1
         for out, total in ((found[0], own_n[alone]), (found[1], (own_n - own_apart)[alone])):
             out[alone] = packed(total[:, None] * (1 - bits), total[:, None] * bits)
+        if above is not None:
+            own = np.flatnonzero((depth >= HOME) & (depth < homes[word]))
+            at = above[0][word[own]] + depth[own] - HOME
+            for out, side in zip(found, (slice(0, 8), slice(8, 16))):
+                out[own] = above[1][at, side]
     return Edges(word, depth, context, byte, own_n, own_apart, *found)
 
 
@@ -285,22 +324,29 @@ def word_costs(edges: Edges, cost: np.ndarray, shared: np.ndarray, n_words: int)
     return total
 
 
-def chunks(batches: Iterable[pa.RecordBatch], whole_homes: bool = True) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(words, home lengths, heads, n, apart) of consecutive rows, a home's
-    words together; words first in n and apart, then heads."""
+def chunks(batches: Iterable[pa.RecordBatch], whole_homes: bool = True) -> Iterator[tuple]:
+    """(words, home lengths, heads, n, apart, above) of consecutive rows, a
+    home's words together; words first in n and apart, then heads."""
     held: list[tuple] = []
     size = 0
 
     def out() -> tuple:
         words = [r for r in held if r[1] is not None]
-        heads = [r for r in held if r[1] is None]
+        heads = [r for r in held if r[2] is not None]
+        ways, first = [], {}
+        for r in held:
+            if r[5] is not None:
+                first[r[0]] = len(ways)
+                ways += r[5]
         numbers = np.array([(r[3], r[4]) for r in [*words, *heads]], np.int64).reshape(-1, 2)
         return ([r[1] for r in words], np.array([len(r[0]) for r in words], np.int64),
-                np.array([r[2] for r in heads], np.int64), numbers[:, 0], numbers[:, 1])
+                np.array([r[2] for r in heads], np.int64), numbers[:, 0], numbers[:, 1],
+                (np.array([first.get(r[0], 0) for r in words], np.int64), np.frombuffer(b"".join(ways), np.uint16).reshape(-1, 16)))
 
     for batch in batches:
         get = lambda c: batch.column(batch.schema.get_field_index(c)).to_pylist()  # noqa: E731, B023
-        for row in zip(get("home"), get("word"), get("head"), get("n"), get("apart")):
+        above = get("above") if "above" in batch.schema.names else repeat(None)
+        for row in zip(get("home"), get("word"), get("head"), get("n"), get("apart"), above):
             if (len(held) >= CHUNK or size > CHUNK_BYTES) and (not whole_homes or row[0] != held[-1][0]):
                 yield out()
                 held, size = [], 0
@@ -336,7 +382,7 @@ def count_grams(counts: DataFrame) -> DataFrame:
         def emit() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["gram", "n", "apart"])
 
-        for words, homes, head, n, apart in chunks(batches, False):
+        for words, homes, head, n, apart, _ in chunks(batches, False):
             w = len(words)
             for e in (word_edges(words, homes, n[:w], apart[:w], False) if w else None, head_edges(head, n[w:], apart[w:], False)):
                 if e is not None:
@@ -461,16 +507,16 @@ def refinement(sums: np.ndarray) -> np.ndarray:
     return ((sums[:, 1] + PRIOR * middle) / (sums.sum(1) + PRIOR)).astype(np.float32)
 
 
-def learn_weights(counts: DataFrame, table) -> tuple[np.ndarray, np.ndarray]:
+def learn_weights(counts: DataFrame, above: DataFrame, table) -> tuple[np.ndarray, np.ndarray]:
     """(weights by input and gate, refinement by node and level). The tasks
     send what they have learned, of a fixed size, times the bytes read."""
     n_weights = INPUTS * GATES
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner = Learner()
-        for words, homes, head, n, apart in chunks(batches):
+        for words, homes, head, n, apart, above in chunks(batches):
             w = len(words)
-            for e in (word_edges(words, homes, n[:w], apart[:w]) if w else None, head_edges(head, n[w:], apart[w:])):
+            for e in (word_edges(words, homes, n[:w], apart[:w], above=above) if w else None, head_edges(head, n[w:], apart[w:])):
                 at = np.flatnonzero(e.apart > 0) if e is not None else ()
                 for a in range(0, len(at), STEP):
                     s = at[a:a + STEP]
@@ -482,7 +528,7 @@ def learn_weights(counts: DataFrame, table) -> tuple[np.ndarray, np.ndarray]:
 
     out = np.zeros(n_weights + 512 * LEVELS + 1)
     # A word's edges may have been counted where the word itself does not stand apart, so all rows are read.
-    for r in by_home(counts).mapInArrow(run, "key long, a double").groupBy("key").agg(F.sum("a").alias("a")).collect():
+    for r in by_home(counts, above).mapInArrow(run, "key long, a double").groupBy("key").agg(F.sum("a").alias("a")).collect():
         out[r.key] = r.a
     weights = (out[:n_weights] / out[-1]).reshape(INPUTS, GATES).astype(np.float32) if out[-1] else first_weights()
     return weights, refinement(out[n_weights:-1].reshape(-1, 2))
@@ -503,16 +549,16 @@ def edge_costs(table: np.ndarray, weights: np.ndarray, refined: np.ndarray, cont
     return out
 
 
-def add_costs(counts: DataFrame, table, mixing) -> DataFrame:
+def add_costs(counts: DataFrame, above: DataFrame, table, mixing) -> DataFrame:
     """(word, head, seen, n, cost): log10 probability of each word after its
     first byte, the space behind it included, or of each head event."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, refined = mixing.value
-        for words, homes, head, n, apart in chunks(batches):
+        for words, homes, head, n, apart, above in chunks(batches):
             w = len(words)
             parts = []
             if w:
-                e = word_edges(words, homes, n[:w], apart[:w])
+                e = word_edges(words, homes, n[:w], apart[:w], above=above)
                 cost = edge_costs(table.value, weights, refined, e.context, e.byte, e.paths)
                 flat, size = np.frombuffer(b" ".join(words) + b" ", np.uint8), np.fromiter((len(x) + 1 for x in words), np.int64, w)
                 parts.append(word_costs(e, cost, common_prefixes(flat, np.cumsum(size) - size), w))
@@ -523,7 +569,7 @@ def add_costs(counts: DataFrame, table, mixing) -> DataFrame:
                 [pa.array([*words, *[None] * len(head)], pa.binary()), pa.array([*[None] * w, *head.tolist()], pa.int32()),
                  pa.array(n), pa.array(np.concatenate(parts))], names=["word", "head", "n", "cost"])
 
-    return by_home(counts).mapInArrow(run, "word binary, head int, n long, cost double")
+    return by_home(counts, above).mapInArrow(run, "word binary, head int, n long, cost double")
 
 
 def release(spark) -> None:
@@ -567,7 +613,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split
     most FREQUENT_BYTES bytes go to every task; all other words are looked up
     by a join on the word, so nothing is left out. The weights are learned per
     partition of the word table, so they depend on the number of shuffle
-    partitions.
+    partitions; given the weights, ``group`` changes no cost.
     """
     spark = docs.sparkSession
     part = F.crc32(F.col(id_col).cast("string").cast("binary")) % split.parts
@@ -581,13 +627,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split
     n_train, n_distinct = totals.n + ends, totals.v + (ends > 0)
     floor = math.log10(n_train + 0.5 * (n_distinct + 1))
 
+    above = above_homes(counts)
     before, every = slot_tables(materialize(count_grams(counts), "lm_grams"))
     shared = spark.sparkContext.broadcast(before)
-    mixing = spark.sparkContext.broadcast(learn_weights(counts, shared))
+    mixing = spark.sparkContext.broadcast(learn_weights(counts, above, shared))
     shared.destroy()
     del before
     table = spark.sparkContext.broadcast(every)
-    costs = materialize(add_costs(counts, table, mixing), "lm_costs")
+    costs = materialize(add_costs(counts, above, table, mixing), "lm_costs")
     release(spark)
     heads = costs.where("head IS NOT NULL").select("head", "cost").orderBy("head").toArrow()  # at most 2^24, in practice few
     words = costs.where("word IS NOT NULL").select("word", "n", "cost")
