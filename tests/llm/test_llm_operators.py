@@ -566,6 +566,18 @@ def test_prefixes_of_cut_homes_have_exact_counts(spark, group):
         assert [np.frombuffer(x, np.uint16).tolist() for x in found] == want
 
 
+def test_word_table_reaches_python_without_null_arrays(spark):
+    """A NULL array costs Arrow's writer a pass over its batch, so rows without predictions have NULL bytes."""
+    rows = spark.createDataFrame([(0, " ".join(crowded_words()))], "part int, body string")
+    dealt = lm_mixing.deal(lm_mixing.count_corpus(rows, lm_mixing.Split()), 40)
+    above = lm_mixing.above_homes(dealt)
+    dealt_out = lm_mixing.by_home(dealt, above)
+    assert not [c for c, kind in dealt_out.dtypes if kind.startswith(("array", "map"))]
+    want = {bytes(x.home): b"".join(map(bytes, x.above)) for x in above.collect()}
+    found = {bytes(x.home): bytes(x.above) for x in dealt_out.where("above IS NOT NULL").collect()}
+    assert found == want and all(len(v) == lm_mixing.WAY * (len(h) - lm_mixing.HOME) for h, v in found.items())
+
+
 def test_scores_do_not_depend_on_cut_homes(spark, monkeypatch):
     r = random.Random(13)
     docs = spark.createDataFrame([(i, " ".join(r.choices(crowded_words(), k=30))) for i in range(60)], "doc_id long, text string")

@@ -58,6 +58,7 @@ FREQUENT_BYTES = 64  # longer words are looked up by a join instead
 COUNTED = 1 << 20  # distinct words a counting task holds before it emits them
 CHUNK = 1 << 14  # words that a task works on at a time, and the rest of their home
 CHUNK_BYTES = 1 << 21  # ... or bytes
+WAY = 32  # bytes of the predictions on the way to one byte: 8 from all counts, 8 without the rows set aside
 BLOCK = 3 << 19  # bytes of text worked on at a time
 STEP = 1 << 12  # edges that weights are learned from at a time
 RIDGE = 50.0  # curvature that the first weights stand for
@@ -189,8 +190,11 @@ def above_homes(counts: DataFrame) -> DataFrame:
 
 def by_home(counts: DataFrame, above: DataFrame) -> DataFrame:
     """``counts`` dealt and sorted by home; a home that has a row in ``above``
-    gets it before its words, as a row without word and head."""
-    rows = counts.select("home", "word", "head", "n", "apart").unionByName(above, allowMissingColumns=True)
+    gets it before its words, as a row without word and head, its predictions
+    one after the other. Nearly all rows have a NULL there, and for a NULL array
+    (not for NULL bytes) Arrow's writer goes over the whole batch."""
+    joined = above.selectExpr("home", "aggregate(above, X'', (paths, x) -> concat(paths, x)) AS above")
+    rows = counts.select("home", "word", "head", "n", "apart").unionByName(joined, allowMissingColumns=True)
     return rows.repartition("home").sortWithinPartitions(*map(F.expr, ORDER))
 
 
@@ -333,11 +337,12 @@ def chunks(batches: Iterable[pa.RecordBatch], whole_homes: bool = True) -> Itera
     def out() -> tuple:
         words = [r for r in held if r[1] is not None]
         heads = [r for r in held if r[2] is not None]
-        ways, first = [], {}
+        ways, first, n_ways = [], {}, 0
         for r in held:
             if r[5] is not None:
-                first[r[0]] = len(ways)
-                ways += r[5]
+                first[r[0]] = n_ways
+                ways.append(r[5])
+                n_ways += len(r[5]) // WAY
         numbers = np.array([(r[3], r[4]) for r in [*words, *heads]], np.int64).reshape(-1, 2)
         return ([r[1] for r in words], np.array([len(r[0]) for r in words], np.int64),
                 np.array([r[2] for r in heads], np.int64), numbers[:, 0], numbers[:, 1],
