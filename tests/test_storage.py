@@ -1,5 +1,6 @@
 """The shared folder on a cluster: what is configured is used, and tried once."""
 
+import os
 import types
 
 import pytest
@@ -40,3 +41,27 @@ def test_a_folder_where_rows_are_missing_is_refused(spark, scratch, monkeypatch)
     there.read = half
     with pytest.raises(RuntimeError, match="is not shared"):
         storage.shared_folder(there)
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_a_folder_that_cannot_be_written_is_passed_over(spark, scratch, scheme):
+    with open(f"{scratch}/taken", "w"):
+        pass
+    there = Elsewhere(spark, spark_checkpoint_dir=f"{scheme}{scratch}/taken/shared", spark_sql_warehouse_dir=f"{scheme}{scratch}/tables/")
+    assert storage.shared_folder(there) == storage.shared_folder(there) == f"{scheme}{scratch}/tables"
+
+
+def test_the_session_s_checkpoint_folder_is_the_last_resort(spark, scratch):
+    with open(f"{scratch}/taken", "w"):
+        pass
+    there = Elsewhere(spark, spark_checkpoint_dir=f"{scratch}/taken/a", spark_sql_warehouse_dir=f"{scratch}/taken/b")
+    assert storage.shared_folder(there) == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def test_a_temporary_folder_has_its_full_name(spark, scratch, monkeypatch):
+    """A name that every process reads otherwise (/proc/self) is resolved by the driver."""
+    own = {}
+    alone = types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda k, *_: own.get(k, "local[2]" if k == "spark.master" else None), set=own.__setitem__))
+    os.symlink(scratch, f"{scratch}-link")
+    monkeypatch.setattr(storage.tempfile, "tempdir", f"{scratch}-link")
+    assert storage.shared_folder(alone).startswith(f"{os.path.realpath(scratch)}/vehicle-metrics-")

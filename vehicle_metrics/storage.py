@@ -10,6 +10,7 @@ published its result can remove them with ``drop_materialized``.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR_KEY = "spark.vehicle_metrics.localScratch"
 _written: dict[str, list[str]] = {}
-_probed: set[tuple[str, str]] = set()
+_probed: dict[tuple[str, str], str | None] = {}
 PROBE_TASKS = 200
 
 
@@ -28,42 +29,52 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; without one, the warehouse,
-    which a cluster shares too.
+    """The folder in ``spark.checkpoint.dir``; without one, or if it is not
+    shared, the warehouse, which a cluster shares too, or else the folder given
+    to ``setCheckpointDir``.
 
     Only a session in one process (tests) gets a temporary folder instead.
     Whether a folder without a remote scheme is shared cannot be told from its
     name (a file system mounted on all machines has none), so on a cluster it
     is tried once: see ``_probe``.
     """
-    root, local = spark.conf.get("spark.checkpoint.dir", None), _is_local(spark)
-    if not root and local:
-        root = spark.conf.get(_OWN_DIR_KEY, None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if _is_local(spark):
+        root = root or spark.conf.get(_OWN_DIR_KEY, None)
         if not root:
-            root = tempfile.mkdtemp(prefix="vehicle-metrics-")
+            root = os.path.realpath(tempfile.mkdtemp(prefix="vehicle-metrics-"))
             spark.conf.set(_OWN_DIR_KEY, root)
-    root = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-    if not local:
-        default_fs = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///"
-        if root.startswith("file:") or (":/" not in root and default_fs.startswith("file:")):
-            _probe(spark, root)
-    return root
-
-
-def _probe(spark: SparkSession, root: str) -> None:
-    """Fail unless the driver finds in ``root`` what tasks have written there;
-    tried once per application and folder."""
-    if (_app(spark), root) in _probed:
-        return
-    n = min(spark.sparkContext.defaultParallelism, PROBE_TASKS)
-    path = f"{root}/vehicle_metrics/probe-{uuid.uuid4().hex}"
-    spark.range(0, n, 1, n).write.parquet(path)
-    found = spark.read.schema("id long").parquet(path).count()
-    _delete(spark, path)
-    if found != n:
-        raise RuntimeError(f"{root} is not shared: of {n} rows written there by tasks the driver finds {found}; "
-                           "name a folder in spark.checkpoint.dir that driver and executors share")
-    _probed.add((_app(spark), root))
+        return root.rstrip("/")
+    default_fs, faults = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///", {}
+    for own in (root, spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.getCheckpointDir()):
+        if not own:
+            continue
+        own = own.rstrip("/")
+        on_disk = own.startswith("file:") or (":/" not in own and default_fs.startswith("file:"))
+        fault = _probe(spark, own) if on_disk else None
+        if not fault:
+            return own
+        faults[own] = fault
+    for own in faults:  # to be tried again
+        del _probed[_app(spark), own]
+    raise RuntimeError(f"{'; '.join(faults.values())}; name a folder in spark.checkpoint.dir that driver and executors share")
+
+
+def _probe(spark: SparkSession, root: str) -> str | None:
+    """Why the driver does not find in ``root`` what tasks have written there,
+    None if it does; tried once per application and folder."""
+    key = (_app(spark), root)
+    if key not in _probed:
+        n = min(spark.sparkContext.defaultParallelism, PROBE_TASKS)
+        path = f"{root}/vehicle_metrics/probe-{uuid.uuid4().hex}"
+        try:
+            spark.range(0, n, 1, n).write.parquet(path)
+            found = spark.read.schema("id long").parquet(path).count()
+            _delete(spark, path)
+            _probed[key] = None if found == n else f"{root} is not shared: of {n} rows written there by tasks the driver finds {found}"
+        except Exception as error:  # no right to write there, or what was written is not found
+            _probed[key] = f"{root} is not shared: {' '.join(str(error).split()[:60])}"
+    return _probed[key]
 
 
 def _delete(spark: SparkSession, path: str) -> None:
