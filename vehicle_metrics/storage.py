@@ -33,25 +33,26 @@ def shared_folder(spark: SparkSession) -> str:
     shared, the warehouse, which a cluster shares too, or else the folder given
     to ``setCheckpointDir``.
 
-    Only a session in one process (tests) gets a temporary folder instead.
-    Whether a folder without a remote scheme is shared cannot be told from its
-    name (a file system mounted on all machines has none), so on a cluster it
-    is tried once: see ``_probe``.
+    Only a session in one process gets a temporary folder instead, without a
+    checkpoint folder or if nothing can be written there (``vehicle_metrics``
+    in it may be another user's). Whether a folder without a remote scheme is
+    shared cannot be told from its name (a file system mounted on all machines
+    has none), so it is tried once: see ``_probe``.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = (spark.conf.get("spark.checkpoint.dir", None) or "").rstrip("/")
     if _is_local(spark):
-        root = root or spark.conf.get(_OWN_DIR_KEY, None)
+        if not root or _fault(spark, root):
+            root = spark.conf.get(_OWN_DIR_KEY, None)
         if not root:
             root = os.path.realpath(tempfile.mkdtemp(prefix="vehicle-metrics-"))
             spark.conf.set(_OWN_DIR_KEY, root)
-        return root.rstrip("/")
-    default_fs, faults = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///", {}
+        return root
+    faults = {}
     for own in (root, spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.getCheckpointDir()):
         if not own:
             continue
         own = own.rstrip("/")
-        on_disk = own.startswith("file:") or (":/" not in own and default_fs.startswith("file:"))
-        fault = _probe(spark, own) if on_disk else None
+        fault = _fault(spark, own)
         if not fault:
             return own
         faults[own] = fault
@@ -60,6 +61,13 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError(f"{'; '.join(faults.values())}; name a folder in spark.checkpoint.dir that driver and executors share")
 
 
+def _fault(spark: SparkSession, root: str) -> str | None:
+    """What ``_probe`` says; a folder with a remote scheme is not tried."""
+    default_fs = spark.conf.get("spark.hadoop.fs.defaultFS", None) or "file:///"
+    on_disk = root.startswith("file:") or (":/" not in root and default_fs.startswith("file:"))
+    return _probe(spark, root) if on_disk else None
+
+
 def _probe(spark: SparkSession, root: str) -> str | None:
     """Why the driver does not find in ``root`` what tasks have written there,
     None if it does; tried once per application and folder."""
