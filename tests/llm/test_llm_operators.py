@@ -345,6 +345,38 @@ def test_rows_joined_for_a_crowd_grow_no_faster_than_the_crowd(spark, monkeypatc
     assert rows[1] <= 2.5 * rows[0] + 500
 
 
+def test_only_heavy_keys_go_through_the_driver(spark):
+    """Thousands of fingerprints, where a broadcast of more than a thousand rows is an error."""
+    from xxhash import xxh64_intdigest
+
+    texts = [prose("en", 12, 5000 + i) for i in range(3000)]
+    for i in range(40):
+        base = prose("de", 400, 9000 + i)
+        texts += [base, base, base + " licht", base + " wald am see"]
+    fps = np.zeros(len(texts), np.uint64)
+    for k, t in enumerate(texts):
+        w = t.encode().split()
+        h = np.array([xxh64_intdigest(b" ".join(w[j:j + 4]), 42) for j in range(len(w) - 3)], "<u8")
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        fps[k] = np.packbits(2 * bits.sum(0, dtype=int) > len(h), bitorder="little").view("<u8")[0]
+    pairs = [(a, b) for a in range(len(fps)) for b in np.flatnonzero(np.bitwise_count(fps[a] ^ fps) <= 4).tolist() if a < b]
+    low = list(range(len(fps)))
+    for _ in fps:
+        before = list(low)
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+        if low == before:
+            break
+    assert len(set(fps.tolist())) > 2500 and len(pairs) > 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", 1_100_000)  # 1,081,344 hold 1024 rows with a long key
+    try:
+        got = [tuple(r) for r in simhash_golay.near_duplicates(docs).collect()]
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    same_rows(got, [(k, f"{int(fps[k]):016x}", low[k]) for k in range(len(fps))])
+
+
 # -- sharding ----------------------------------------------------------------------
 
 def test_differencing_keeps_sums_and_beats_dealing_in_turn():

@@ -86,6 +86,14 @@ def add_columns(df: DataFrame, text_col: str, fields: StructType,
     return df.mapInArrow(run, out)
 
 
+def sorted_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join by sorting both sides, whatever their sizes are taken for. Spark
+    sizes rows made by ``inline``, ``explode`` or Python as the rows they are
+    made of, and stored ones as their compressed file; a side that grows with
+    the input would pass for a small one and go through the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 #: A key that holds at least one row in this many is heavy, so at most this many keys are.
 HEAVY_SHARE = 1000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vehicle_metrics.llm.common import heavy_keys, look_up
+from vehicle_metrics.llm.common import heavy_keys, look_up, sorted_join
 from vehicle_metrics.storage import materialize
 
 
@@ -18,8 +18,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     written to the shared folder between rounds. Nothing is gathered per node:
     minima are partial aggregates, and a node with very many neighbours, or a
     label with very many nodes, is looked up by a broadcast of the at most
-    1000 heavy keys, so that its rows stay spread over the tasks. Empty input
-    gives an empty result; loops, repeated edges and NULL ends change nothing.
+    1000 heavy keys, so that its rows stay spread over the tasks; nothing else
+    goes through the driver. Empty input gives an empty result; loops, repeated
+    edges and NULL ends change nothing.
     """
     both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = materialize(both.where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "edges")
@@ -30,11 +31,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     hubs = materialize(heavy_keys(both, "dst", n_edges), "hubs")
 
     while True:
-        near = (look_up(both, hubs, labels.withColumnRenamed("node", "dst"), "dst")
+        near = (look_up(both, hubs, labels.withColumnRenamed("node", "dst").hint("merge"), "dst")
                 .groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near")))
-        jumped = look_up(labels, heavy_keys(labels, "label", n_nodes), labels.selectExpr("node AS label", "label AS next"), "label")
+        above = labels.selectExpr("node AS label", "label AS next").hint("merge")
+        jumped = look_up(labels, heavy_keys(labels, "label", n_nodes), above, "label")
         step = materialize(
-            jumped.join(near, "node").selectExpr("node", "label AS old", "least(label, near, next) AS label"), "labels")
+            sorted_join(jumped, near, "node").selectExpr("node", "label AS old", "least(label, near, next) AS label"), "labels")
         labels = step.select("node", "label")
         if not step.where("label <> old").limit(1).count():
             return labels.withColumnRenamed("label", "component")

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from vehicle_metrics.llm.common import add_columns, fresh
+from vehicle_metrics.llm.common import add_columns, fresh, sorted_join
 from vehicle_metrics.llm.components import connected_components
 from vehicle_metrics.storage import materialize
 
@@ -190,14 +190,14 @@ def _star(rows: DataFrame, keys: list[str], max_bits: int) -> DataFrame:
     """Verified links of each row's ``fp`` to the smallest and the largest one
     with the same keys: at most two for each row, however many share them."""
     ends = rows.groupBy(*keys).agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high")
-    met = rows.join(ends, keys).selectExpr("fp AS src", "explode(array(low, high)) AS dst")
+    met = sorted_join(rows, ends, keys).selectExpr("fp AS src", "explode(array(low, high)) AS dst")
     return met.where("src <> dst AND " + _close("src", "dst", max_bits)).distinct()
 
 
 def _relabel(rows: DataFrame, components: DataFrame) -> DataFrame:
     """``rows`` (fp, label, ...) with labels replaced by their component."""
     found = components.selectExpr("node AS label", "component")
-    return rows.join(found, "label", "left").withColumn("label", F.coalesce("component", "label")).drop("component")
+    return sorted_join(rows, found, "label", "left").withColumn("label", F.coalesce("component", "label")).drop("component")
 
 
 def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -211,7 +211,7 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     views = ", ".join(f"named_struct('view', {i}, 'bits', fp & {_signed(m)})" for i, m in enumerate(_masks()))
     viewed = fps.selectExpr("fp", f"inline(array({views}))")
     first = connected_components(_star(viewed, ["view", "bits"], max_bits))
-    labelled = materialize(fps.join(first.withColumnRenamed("node", "fp"), "fp", "left")
+    labelled = materialize(sorted_join(fps, first.withColumnRenamed("node", "fp"), "fp", "left")
                            .selectExpr("fp", "coalesce(component, fp) AS label"), "golay_labels")
 
     # Keys: one label leaves nothing to find, two members are settled here, and of more the extremes are compared.
@@ -226,26 +226,27 @@ def fingerprint_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     met = (keys.where("n = 2").selectExpr("m0min AS src", "m0max AS dst")
            .unionByName(keys.where("n > 2").selectExpr(f"inline({near})")).distinct())
     of = labelled.selectExpr("fp AS dst", "label AS to")
-    met = met.join(labelled.withColumnRenamed("fp", "src"), "src").join(of, "dst").selectExpr("label AS src", "to AS dst")
+    met = sorted_join(sorted_join(met, labelled.withColumnRenamed("fp", "src"), "src"), of, "dst").selectExpr(
+        "label AS src", "to AS dst")
     second = connected_components(met.where("src <> dst").distinct())
     labelled = materialize(_relabel(labelled, second), "golay_labels")
 
     # What is left: keys of members with several labels, which meet in one of five blocks.
     several = _keyed(labelled, "label").groupBy("key").agg(
         F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("n > 2 AND low < high")
-    shared = materialize(_keyed(labelled, "label").join(several.select("key"), "key"), "golay_shared")
+    shared = materialize(sorted_join(_keyed(labelled, "label"), several.select("key"), "key"), "golay_shared")
     late = None
     for i in range(5):
         bits = f"shiftrightunsigned(fp, {13 * i}) & {(1 << min(13, 64 - 13 * i)) - 1}L AS bits"
         one = shared.selectExpr("key", bits, "fp", "label")
         other = shared.selectExpr("key", bits, "fp AS fp_b", "label AS label_b")
-        met = (one.join(other, ["key", "bits"]).where("label < label_b AND " + _close("fp", "fp_b", max_bits))
+        met = (sorted_join(one, other, ["key", "bits"]).where("label < label_b AND " + _close("fp", "fp_b", max_bits))
                .selectExpr("label AS src", "label_b AS dst"))
         late = met if late is None else late.unionByName(met)
     late = late.distinct()
     merged = materialize(_relabel(labelled, connected_components(late)).selectExpr("fp", "label AS component"), "golay_components")
     linked = merged.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    return merged.join(linked, "component").select("fp", "component")
+    return sorted_join(merged, linked, "component").select("fp", "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
@@ -263,11 +264,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialize(add_fingerprints(rows, "fp", "body", shingle_words).select("id", "fp"), "fingerprints")
     low = materialize(rows.groupBy("fp").agg(F.min("id").alias("low")), "fingerprint_ids")
     linked = fingerprint_components(low, max_bits)
-    merged = low.join(linked, "fp", "left").selectExpr("fp", "low", "coalesce(component, fp) AS component")
+    merged = sorted_join(low, linked, "fp", "left").selectExpr("fp", "low", "coalesce(component, fp) AS component")
     merged = materialize(merged, "fingerprint_components")
     ids = merged.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_fp = merged.join(ids, "component").select("fp", "component_id")
-    return rows.join(by_fp, "fp").selectExpr(
+    by_fp = sorted_join(merged, ids, "component").select("fp", "component_id")
+    return sorted_join(rows, by_fp, "fp").selectExpr(
         f"id AS `{id_col}`", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
 
 
