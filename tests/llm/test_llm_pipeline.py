@@ -94,6 +94,21 @@ def plain_near_duplicates(texts):
     return {i: texts[i] for i in kept}
 
 
+def test_near_duplicates_send_only_heavy_keys_through_the_driver(spark):
+    """Thousands of fingerprints, where a broadcast of more than a thousand rows is an error."""
+    texts = {i: made_up(f"short {i}", SYLLABLES["aa"], 8) for i in range(2200)}
+    for i in range(2200, 2400, 4):
+        base = made_up(f"long {i}", SYLLABLES["bb"], 300)
+        texts |= {i: base, i + 1: base, i + 2: base + " wyd", i + 3: base + " xaf vib"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", 1_100_000)  # 1,081,344 hold 1024 rows with a long key
+    try:
+        got = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert sorted(got) == sorted(plain_near_duplicates(texts)) and 2200 < len(got) <= 2350
+
+
 def edit_distance(item, text):
     """The least number of edits between ``item`` and any part of ``text``, by the whole matrix, row by row."""
     t = np.array([ord(c) for c in text], np.int32)

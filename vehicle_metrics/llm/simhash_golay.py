@@ -282,6 +282,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col(row).alias("row")))
     low = materialize(tagged.groupBy(F.col(fp).alias("fp")).agg(best.alias("best")), "fingerprint_ids")
     linked = fingerprint_components(low, max_bits)
-    keep = (low.join(linked, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component"))
+    keep = (sorted_join(low, linked, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component"))
             .agg(F.min("best").alias("best")).selectExpr(f"best.row AS `{row}`"))
-    return tagged.join(keep, row, "left_semi").select(*docs.columns)
+    return sorted_join(tagged, keep, row, "left_semi").select(*docs.columns)
